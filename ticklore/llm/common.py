@@ -74,7 +74,7 @@ class Poly:
 
     def _powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._up) < n:
-            size = max(n, CHUNK_BYTES + 1024)
+            size = max(n, 1 << 19)
             for name, b in (("_up", self.base), ("_down", self.inverse)):
                 p = np.full(size, b, np.uint64)
                 p[0] = 1
@@ -91,11 +91,13 @@ class Poly:
         _, down = self._powers(len(sums))
         return mix((sums[hi] - sums[lo]) * down[lo] + (hi - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def windows(self, sums: np.ndarray, size: int) -> np.ndarray:
+    def windows(self, sums: np.ndarray, size: int, mixed: bool = True) -> np.ndarray:
         """Of all spans of that many symbols."""
         _, down = self._powers(len(sums))
         n = max(0, len(sums) - size)
-        return mix((sums[size:] - sums[:n]) * down[:n])
+        h = sums[size:] - sums[:n]
+        h *= down[:n]
+        return mix(h) if mixed else h
 
 
 def mix(h: np.ndarray) -> np.ndarray:

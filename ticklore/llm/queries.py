@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from .chat_format import OP6_SQL, op6
+from .interpolation import op9
+from .packing import op7
 from .line_dedup import OP3_SQL, op3
 from .simhash_dedup import op4
 from .substring_dedup import op5
 from .suffix_dedup import op10
+from .toxicity import op8
 
 QUERIES = {
     "op3_line_dedup": op3,
     "op4_simhash_dedup": op4,
     "op5_substring_dedup": op5,
     "op6_chat_format": op6,
+    "op7_curve_packing": op7,
+    "op8_toxicity": op8,
+    "op9_deleted_interpolation": op9,
     "op10_suffix_dedup": op10,
 }
 ORACLES = {"op3_line_dedup": OP3_SQL, "op6_chat_format": OP6_SQL}

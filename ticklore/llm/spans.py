@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 from .common import CHUNK_BYTES, Poly, mix, sliding_min, word_bounds
 
 LOW = np.uint64((1 << 24) - 1)
-#: Symbols of one document that are looked at together; longer ones are cut into pieces that overlap by K - 1.
-PIECE = 4 << 20
+#: Symbols that are looked at together, so that arrays stay in the processor's cache; longer documents are cut into pieces that overlap by K - 1.
+PIECE = 1 << 18
 _ONE, _TWO, _WORD = Poly(11), Poly(23), Poly(37)
 
 
@@ -79,7 +79,7 @@ def paths(c: Chunk, k: int, m: int) -> tuple[np.ndarray, ...]:
     """Minimiser, text hash, first window and number of windows of each path in the chunk."""
     v = c.values
     sums = _ONE.sums(v)
-    grams = _ONE.windows(sums, m)
+    grams = _ONE.windows(sums, m, mixed=False)
     least = sliding_min((grams & ~LOW) | np.arange(len(grams), dtype=np.uint64), k - m + 1)
     at = (least & LOW).astype(np.int64)
     i = np.arange(len(at))
