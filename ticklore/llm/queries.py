@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from .chat_format import OP6_SQL, op6
+from .decontaminate import op1
 from .interpolation import op9
 from .packing import op7
 from .line_dedup import OP3_SQL, op3
 from .simhash_dedup import op4
 from .substring_dedup import op5
 from .suffix_dedup import op10
+from .topk import op2
 from .toxicity import op8
 
 QUERIES = {
+    "op1_decontamination": op1,
+    "op2_top_k": op2,
     "op3_line_dedup": op3,
     "op4_simhash_dedup": op4,
     "op5_substring_dedup": op5,
