@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .chat_format import OP6_SQL, op6
 from .decontaminate import op1
 from .interpolation import op9
@@ -14,6 +16,7 @@ from .topk import op2
 from .toxicity import op8
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1,
     "op2_top_k": op2,
     "op3_line_dedup": op3,
