@@ -28,23 +28,29 @@ SAMPLE = 65_536
 LEAF_ROWS, SHARD_ROWS, BRUTE = 8_192, 32_768, 1_024
 
 
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 (seed 42) of each word shingle; of the whole word sequence where it is shorter."""
+    w = text.lower().split()  # bytes: A-Z, and ASCII white space
+    if not w:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(w)
+    ends = np.cumsum([len(x) + 1 for x in w])
+    lo = np.append(0, ends[:-1])[: max(1, len(w) - words + 1)]
+    hi = ends[words - 1 :] - 1 if len(w) >= words else ends[-1:] - 1
+    return np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(lo.tolist(), hi.tolist())), np.uint64, len(lo))
+
+
+def simhash(h: np.ndarray) -> int:
+    """A bit is set if it is in over half of the hashes; zero without any."""
+    ones = np.zeros(64, np.int64)
+    for i in range(0, len(h), 1 << 16):
+        ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(texts: list[bytes], words: int) -> np.ndarray:
-    """64-bit SimHash of the word shingles, repeats included; zero where there is no word."""
-    out = np.zeros(len(texts), np.uint64)
-    for row, text in enumerate(texts):
-        w = text.lower().split()  # bytes: A-Z, and ASCII white space
-        if not w:
-            continue
-        joined = b" ".join(w)
-        ends = np.cumsum([len(x) + 1 for x in w])
-        lo = np.append(0, ends[:-1])[: max(1, len(w) - words + 1)]
-        hi = ends[words - 1 :] - 1 if len(w) >= words else ends[-1:] - 1
-        h = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], 42) for a, b in zip(lo.tolist(), hi.tolist())), np.uint64, len(lo))
-        ones = np.zeros(64, np.int64)
-        for i in range(0, len(h), 1 << 16):
-            ones += np.unpackbits(h[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[row] = np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0]
-    return out
+    """64-bit SimHash of each text's word shingles, repeats included."""
+    return np.array([simhash(shingle_hashes(t, words)) for t in texts], np.uint64)
 
 
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
@@ -192,5 +198,88 @@ def simhash_dedup(docs: DataFrame, words: int = 5, bits: int = 3, leaf_rows: int
     return each.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: The hashes that a sketch keeps, and those by which documents are brought together.
+SKETCH, KEYS = 256, 5
+#: Bits by which the fingerprints of documents of a similarity of 0.8 differ at most, but for about one in a thousand.
+WIDE = 18
+
+
+def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Jaccard similarity of rows of sketches (least hashes, padded with the greatest number); exact for sets within SKETCH."""
+    top = np.iinfo(a.dtype).max
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    same = np.zeros(both.shape, bool)
+    same[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != top)
+    new = ~same & (both != top)
+    inside = np.cumsum(new, axis=1) <= SKETCH
+    return (same & inside).sum(axis=1) / np.maximum(1, (new & inside).sum(axis=1))
+
+
+def similar_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """A spanning forest (u, v) of the pairs of a shard's members and all its rows that are similar enough."""
+    pdf = pdf.sort_values("member", ascending=False).drop_duplicates("node")
+    fps, nodes, member = pdf["fp"].to_numpy().view(np.uint64), pdf["node"].to_numpy(), np.flatnonzero(pdf["member"].to_numpy())
+    sketch = np.full((len(pdf), SKETCH), np.iinfo(np.uint32).max, np.uint32)
+    for i, s in enumerate(pdf["sketch"]):
+        own = np.frombuffer(s, np.uint32)
+        sketch[i, : len(own)] = own
+    forest = Forest(len(pdf))
+    step = max(1, (1 << 20) // max(1, len(member)))
+    for i in range(0, len(pdf), step):
+        a, m = np.nonzero(np.bitwise_count(fps[i : i + step, None] ^ fps[None, member]) <= WIDE)
+        a, b = a + i, member[m]
+        while True:
+            # Of each row one pair that isn't linked yet; pairs that fail are seen once.
+            top = forest.roots()
+            open_ = top[a] != top[b]
+            a, b = a[open_], b[open_]
+            if not len(a):
+                break
+            first = np.unique(a, return_index=True)[1]
+            ok = np.concatenate([likeness(sketch[a[x]], sketch[b[x]]) >= similarity for x in np.array_split(first, -(-len(first) // 2048))])
+            forest.link(a[first[ok]], b[first[ok]])
+            left = np.ones(len(a), bool)
+            left[first] = False
+            a, b = a[left], b[left]
+    top = forest.roots()
+    own = np.flatnonzero(top != np.arange(len(top)))
+    return pd.DataFrame({"u": nodes[own], "v": nodes[top[own]]})
+
+
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = SHARD_ROWS // 2) -> DataFrame:
+    """doc_id, component_id for each row: components of documents whose shingle sets are at least so similar.
+
+    At that similarity fingerprints differ by up to 18 bits, where no ball is smaller than the space and no tree can prune.
+    So documents meet in shards by their KEYS least shingle hashes (of which similar ones share one, but for 0.03 %); in a
+    shard, fingerprints sort out pairs and sketches decide. Shards over shard_rows are split as those of the tree are.
+    """
+    small_batches(docs.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            fps, sketches, keys = [], [], []
+            for text in texts_of(batch):
+                h = shingle_hashes(text, words)
+                least = np.unique(h)[:SKETCH]
+                fps.append(simhash(h))
+                sketches.append((least >> np.uint64(32)).astype(np.uint32).tobytes())
+                keys.append(least[:KEYS].view(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "sketch", "keys"])
+
+    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, sketch binary, keys array<long>")
+    each = written(told.withColumn("node", F.xxhash64("fp", "sketch")), "sketches")
+    # Equal texts are one node from here on.
+    nodes = written(each.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("keys").alias("keys")), "nodes")
+    keyed_ = nodes.select("node", F.explode("keys").alias("key"))
+    sizes = keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") / shard_rows).cast("int").alias("parts"))
+    met = nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")).join(written(sizes, "shards"), "key")
+    placed = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("member", F.pmod("node", F.col("parts")) == F.col("part"))
+    links = placed.groupBy("key", "part").applyInPandas(lambda pdf: similar_links(pdf, similarity), "u long, v long")
+    named = nodes.select("node", "least").join(components(links).withColumnRenamed("component", "c"), "node", "left").select("node", "least", F.coalesce("c", "node").alias("component"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    classes = written(named.join(least, "component").select("node", "component_id"), "classes")
+    return each.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"), words=3, bits=2)
