@@ -89,7 +89,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches:
 
     at = rows.select("rid", F.posexplode(keys).alias("pos", "key")).filter(F.length("key") >= min_chars)
     drops = at.select("rid", "pos", hashes(F.col("key")).alias("h")).select("rid", "pos", "h.*").join(frequent, KEY, "left_semi").groupBy("rid").agg(F.collect_list("pos").alias("drops"))
-    both = rows.join(drops, "rid", "left").withColumn("drops", F.coalesce("drops", F.array().cast("array<int>")))
+    both = rows.join(drops.hint("shuffle_hash"), "rid", "left").withColumn("drops", F.coalesce("drops", F.array().cast("array<int>")))
     # array_except() is linear, where a look into `drops` for each line would be quadratic in very long documents.
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
     kept = F.when(F.size("drops") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.col("lines")[i]))

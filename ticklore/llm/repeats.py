@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, written
-from .spans import found, packed, windows
+from .spans import Filter, found, packed, windows
 
 
 def repeated_paths(docs: DataFrame, symbols: Callable, k: int, m: int) -> DataFrame:
@@ -16,7 +16,7 @@ def repeated_paths(docs: DataFrame, symbols: Callable, k: int, m: int) -> DataFr
 
     Equal paths are combined in each batch before the one shuffle by minimiser, which serves both aggregations.
     """
-    each = found(docs, symbols, k, m, combine=True).repartition("a")
+    each = found(docs, symbols, k, m).repartition("a")
     path = each.groupBy("a", "g").agg(F.sum("n").alias("n"), F.min(F.struct("rid", "start")).alias("first"), F.max("len").alias("len"))
     same = Window.partitionBy("a")
     return path.withColumn("total", F.sum("n").over(same)).withColumn("kinds", F.count("*").over(same)).filter("total > 1").select("a", "g", "n", "first.rid", "first.start", "len", "kinds")
@@ -30,18 +30,17 @@ def marks(docs: DataFrame, symbols: Callable, k: int, m: int, keep_first: bool)
     small_batches(docs.sparkSession)
     path = written(repeated_paths(docs, symbols, k, m), "paths")
     many = path.filter("n > 1").select("a", "g", F.col("rid").alias("rid0"), F.col("start").alias("start0"))
-    whole = found(docs, symbols, k, m, combine=False).select("a", "g", "rid", "start", "len").join(many, ["a", "g"])
+    whole = found(docs, symbols, k, m, Filter(many.select("a", "g"))).select("a", "g", "rid", "start", "len").join(many, ["a", "g"])
     if keep_first:
         whole = whole.filter("rid > rid0 OR (rid = rid0 AND start > start0)")
-    whole = whole.select("rid", packed(F.col("start"), F.col("len")).alias("mark"))
 
-    fine = path.filter("kinds > 1").groupBy("rid").agg(F.collect_list(F.struct(packed(F.col("start"), F.col("len")).alias("at"), "n")).alias("paths"))
-    each = written(windows(docs.select("rid", "text").join(fine, "rid"), symbols, k, keep_first), "windows")
+    # One of all equal paths stands for them: its windows are compared with those of other paths.
+    each = windows(docs, symbols, k, m, Filter(path.filter("kinds > 1").select("rid", "start")), keep_first)
     same = Window.partitionBy("h1", "h2")
     if keep_first:
         # In suffix order, cut at k symbols, equal windows stand together; lag() is the previous smaller position among them.
-        later = each.filter("h1 IS NOT NULL").withColumn("psv", F.lag("rid").over(same.orderBy("rid", "start"))).filter("psv IS NOT NULL")
+        gone = each.withColumn("psv", F.lag("rid").over(same.orderBy("rid", "start"))).filter("removed OR psv IS NOT NULL")
     else:
-        later = each.filter("h1 IS NOT NULL").withColumn("total", F.sum("n").over(same)).filter("total > 1 AND NOT removed")
-    single = later.select("rid", "start").unionByName(each.filter("removed").select("rid", "start"))
-    return whole.unionByName(single.select("rid", packed(F.col("start"), F.lit(1)).alias("mark"))).groupBy("rid").agg(F.collect_list("mark").alias("marks"))
+        gone = each.withColumn("total", F.sum("n").over(same)).filter("removed OR total > 1")
+    all_ = whole.select("rid", "start", "len").unionByName(gone.select("rid", "start", "len"))
+    return all_.select("rid", packed(F.col("start"), F.col("len")).alias("mark")).groupBy("rid").agg(F.collect_list("mark").alias("marks"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,8 +106,53 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
 FOUND = T.StructType([T.StructField(n, t) for n, t in (("a", T.LongType()), ("g", T.LongType()), ("n", T.LongType()), ("rid", T.LongType()), ("start", T.IntegerType()), ("len", T.IntegerType()))])
 
 
-def found(docs: DataFrame, symbols: Callable, k: int, m: int, combine: bool) -> DataFrame:
-    """A row for each path. With combine, equal paths of one batch are one row: their number, and the first place (least rid, then start)."""
+class Filter:
+    """A Bloom filter over pairs of numbers, in blocks that Spark builds apart. Its size is bounded: beyond it only more passes."""
+
+    BLOCK, MOST, PER_KEY = 1 << 19, 2048, 12
+
+    def __init__(self, pairs: DataFrame):
+        """pairs: two columns of longs."""
+        a, b = pairs.columns
+        self.blocks = min(self.MOST, max(1, -(-pairs.count() * self.PER_KEY // self.BLOCK)))
+
+        def place(batches):
+            for batch in batches:
+                block, key = self.split(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(key.view(np.int64))], names=["block", "key"])
+
+        def fill(pdf):
+            bits = np.zeros(self.BLOCK, bool)
+            for probe in self.probes(pdf["key"].to_numpy().view(np.uint64)):
+                bits[probe] = True
+            return pd.DataFrame({"block": pdf["block"][:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+        self.bits = np.zeros(self.blocks * self.BLOCK // 8, np.uint8)
+        told = pairs.select(F.col(a).cast("long"), F.col(b).cast("long")).mapInArrow(place, "block long, key long")
+        for r in told.groupBy("block").applyInPandas(fill, "block long, bits binary").collect():  # MOST blocks of 64 KB
+            self.bits[r.block * self.BLOCK // 8 : (r.block + 1) * self.BLOCK // 8] = np.frombuffer(r.bits, np.uint8)
+
+    def split(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        key = mix(mix(x.astype(np.int64).view(np.uint64)) + y.astype(np.int64).view(np.uint64))
+        return ((key >> np.uint64(1)) % np.uint64(self.blocks)).astype(np.int64), key
+
+    def probes(self, key: np.ndarray) -> list[np.ndarray]:
+        h = mix(key)
+        return [((h >> np.uint64(s)) & np.uint64(self.BLOCK - 1)).astype(np.int64) for s in (0, 20, 40)]
+
+    def may_have(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        block, key = self.split(x, y)
+        out = np.ones(len(key), bool)
+        for probe in self.probes(key):
+            at = block * self.BLOCK + probe
+            out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def found(docs: DataFrame, symbols: Callable, k: int, m: int, only: Filter | None = None) -> DataFrame:
+    """A row for each path: of those whose key `only` may hold; or without it, equal paths of one batch as one row, with their number and the first place (least rid, then start)."""
+    combine = only is None
+    shared = docs.sparkSession.sparkContext.broadcast(only)
 
     def run(batches):
         for batch in batches:
@@ -115,7 +161,10 @@ def found(docs: DataFrame, symbols: Callable, k: int, m: int, combine: bool) ->
                 a, g, first, lens = paths(c, k, m)
                 row, start = c.where(first)
                 rid, n = rids[row], np.ones(len(a), np.int64)
-                if combine and len(a):
+                if not combine:
+                    ok = shared.value.may_have(a.view(np.int64), g.view(np.int64))
+                    a, g, n, rid, start, lens = a[ok], g[ok], n[ok], rid[ok], start[ok], lens[ok]
+                elif len(a):
                     order = np.lexsort((start, rid, g, a))
                     a, g, rid, start, lens = a[order], g[order], rid[order], start[order], lens[order]
                     head = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (g[1:] != g[:-1])))
@@ -131,56 +180,50 @@ def packed(start, length):
     return F.shiftleft(start.cast("long"), 32) + length.cast("long")
 
 
-WINDOW = T.StructType([T.StructField(n, t) for n, t in (("h1", T.LongType()), ("h2", T.LongType()), ("n", T.LongType()), ("rid", T.LongType()), ("start", T.IntegerType()), ("removed", T.BooleanType()))])
+WINDOW = T.StructType([T.StructField(n, t) for n, t in (("h1", T.LongType()), ("h2", T.LongType()), ("n", T.IntegerType()), ("rid", T.LongType()), ("start", T.IntegerType()), ("len", T.IntegerType()), ("removed", T.BooleanType()))])
 
 
-def windows(docs: DataFrame, symbols: Callable, k: int, keep_first: bool) -> DataFrame:
-    """docs: rid, text, path: list of (packed place, number of equal paths). A row for each window of those paths.
+def windows(docs: DataFrame, symbols: Callable, k: int, m: int, of: Filter, keep_first: bool) -> DataFrame:
+    """The windows of the paths whose place (rid, start) `of` may hold: with a hash of 128 bits each.
 
-    What one batch settles is combined in it. keep_first: a window that stands earlier in the batch is removed, and
-    needs no hash (h1 null). Else, equal windows of a batch are all removed, and one row carries their number on.
+    What one batch settles is combined in it. keep_first: a window that stands earlier in the batch is removed. Else, all
+    equal windows of a batch are removed, and one row carries their number on. Removed neighbours are one row, with
+    another hash of their own.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(of)
 
     def run(batches):
         for batch in batches:
-            rids, texts = batch.column(0).to_numpy(), texts_of(batch)
-            lists = batch.column(2)
-            flat = lists.flatten()
-            at = flat.field(0).to_numpy()
-            times = flat.field(1).to_numpy()
-            offs = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+            rids = batch.column(0).to_numpy()
             out = []
-            for row, text in enumerate(texts):
-                mine, weight = at[offs[row] : offs[row + 1]], times[offs[row] : offs[row + 1]]
-                starts, lens = mine >> 32, mine & 0xFFFFFFFF
-                v = symbols(np.frombuffer(text, np.uint8))
-                for lo in range(0, max(1, len(v) - k + 1), PIECE - k + 1):
-                    own = (starts >= lo) & (starts + lens - 1 + k <= lo + PIECE)
-                    if not own.any():
-                        continue
-                    p = v[lo : lo + PIECE]
-                    s, ln, w = starts[own] - lo, lens[own], weight[own]
-                    i = np.repeat(s - np.append(0, np.cumsum(ln)[:-1]), ln) + np.arange(ln.sum())
-                    s1, s2 = _ONE.sums(p), _TWO.sums(second(p))
-                    out.append((_ONE.spans(s1, i, i + k), _TWO.spans(s2, i, i + k), np.repeat(w, ln), np.full(len(i), rids[row]), i + lo))
+            for c in chunks(texts_of(batch), symbols, k):
+                _, _, first, lens = paths(c, k, m)
+                row, start = c.where(first)
+                own = shared.value.may_have(rids[row], start)
+                if own.any():
+                    lo, ln = first[own], lens[own]
+                    i = np.repeat(lo - np.append(0, np.cumsum(ln)[:-1]), ln) + np.arange(ln.sum())
+                    out.append((_ONE.spans(_ONE.sums(c.values), i, i + k), _TWO.spans(_TWO.sums(second(c.values)), i, i + k), np.repeat(rids[row[own]], ln), i - np.repeat(lo - start[own], ln)))
             if not out:
                 continue
-            h1, h2, n, rid, start = (np.concatenate(x) for x in zip(*out))
+            h1, h2, rid, start = (np.concatenate(x) for x in zip(*out))
             order = np.lexsort((start, rid, h2, h1))
-            h1, h2, n, rid, start = h1[order], h2[order], n[order], rid[order], start[order]
+            h1, h2, rid, start = h1[order], h2[order], rid[order], start[order]
             head = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
-            cut = np.flatnonzero(head)
-            if keep_first:
-                removed, hashed = ~head, head
-            else:
-                total = np.add.reduceat(n, cut)
-                removed = np.repeat(total, np.diff(np.append(cut, len(h1)))) > 1
-                n = n.copy()
-                n[cut] = total
-                hashed = head
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(h1), mask=~hashed), pa.array(as_long(h2), mask=~hashed), pa.array(n), pa.array(rid), pa.array(start.astype(np.int32)), pa.array(removed)], names=WINDOW.names)
-
-    return docs.mapInArrow(run, WINDOW)
+            times = np.diff(np.append(np.flatnonzero(head), len(h1)))
+            gone = ~head if keep_first else np.repeat(times, times) > 1
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(h1[head])), pa.array(as_long(h2[head])), pa.array(times.astype(np.int32)), pa.array(rid[head]), pa.array(start[head].astype(np.int32)), pa.array(np.ones(len(times), np.int32)), pa.array(np.zeros(len(times), bool))], names=WINDOW.names)
+            rid, start = rid[gone], start[gone]
+            if len(rid):
+                order = np.lexsort((start, rid))
+                rid, start = rid[order], start[order]
+                cut = np.flatnonzero(np.append(True, (rid[1:] != rid[:-1]) | (start[1:] != start[:-1] + 1)))
+                n = np.diff(np.append(cut, len(rid)))
+                rid, start = rid[cut], start[cut]
+                key = as_long(mix(rid.view(np.uint64) * np.uint64(31) + start.astype(np.uint64)))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(~key), pa.array(np.ones(len(n), np.int32)), pa.array(rid), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.ones(len(n), bool))], names=WINDOW.names)
+
+    return docs.select("rid", "text").mapInArrow(run, WINDOW)
 
 
 def covered(n: int, marks: np.ndarray, k: int) -> np.ndarray:

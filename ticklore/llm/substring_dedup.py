@@ -45,7 +45,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, gram: int = 14, digest: b
             yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(r, pa.int64()), pa.array(s, pa.string())], names=schema.names)
 
     found = marks(rows, word_symbols, window, gram, keep_first=False)
-    return rows.join(found, "rid", "left").select("doc_id", "text", "marks").mapInArrow(run, schema)
+    return rows.join(found.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "marks").mapInArrow(run, schema)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_b
 DIGEST = T.StructType([*SCHEMA.fields[:4], T.StructField("kept_sha256", T.StringType())])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100, gram: int = 28, digest: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, gram: int = 48, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), and the kept bytes (with digest: their SHA-256).
 
     Removed is each byte under a string of `length` bytes that also starts earlier. gram: bytes of a minimiser.
@@ -49,7 +49,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, gram: int = 28, digest: boo
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in cols[:3]), pa.array(cols[3], pa.string() if digest else pa.binary())], names=schema.names)
 
     found = marks(rows, byte_symbols, length, gram, keep_first=True)
-    return rows.join(found, "rid", "left").select("doc_id", "text", "marks").mapInArrow(run, schema)
+    return rows.join(found.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "marks").mapInArrow(run, schema)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
