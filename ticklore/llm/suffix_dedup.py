@@ -26,7 +26,7 @@ SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_b
 DIGEST = T.StructType([*SCHEMA.fields[:4], T.StructField("kept_sha256", T.StringType())])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 100, gram: int = 48, digest: bool = False) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 100, gram: int = 58, digest: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), and the kept bytes (with digest: their SHA-256).
 
     Removed is each byte under a string of `length` bytes that also starts earlier. gram: bytes of a minimiser.
