@@ -11,6 +11,11 @@ TIME = r"\d{1,2}:\d{2}(?::\d{2})?\.\d{2}"
 SIGNED_TIME = r"[+-]?" + TIME
 
 
+def let(c: Column, f) -> Column:
+    """f(c) with c evaluated, and written in the plan, once."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
 def try_int(c: Column, kind: str = "bigint") -> Column:
     """Whole numbers only; else null."""
     return F.when(c.rlike(r"^\d+$"), c.try_cast(kind))
@@ -18,44 +23,54 @@ def try_int(c: Column, kind: str = "bigint") -> Column:
 
 def parse_time(c: Column) -> Column:
     """mm:ss.cc or h:mm:ss.cc as centiseconds, else null."""
-    parts = F.split(F.trim(c), ":")
-    n = F.size(parts)
-    last = F.split(F.element_at(parts, -1), r"\.")
-    h = F.when(n == 3, try_int(parts[0])).otherwise(F.lit(0).cast("bigint"))
-    m = F.when(n == 3, try_int(F.get(parts, F.lit(1)))).otherwise(try_int(parts[0]))
-    s, cc = try_int(last[0]), try_int(F.get(last, F.lit(1)))
-    whole = ((h * 60 + m) * 60 + s) * 100 + cc
-    return F.when(n.isin(2, 3) & (F.size(last) == 2) & (cc <= 99), whole).cast("int")
+
+    def of(parts):
+        n = F.size(parts)
+        h = F.when(n == 3, try_int(F.get(parts, F.lit(0)))).otherwise(F.lit(0).cast("bigint"))
+        m = F.when(n == 3, try_int(F.get(parts, F.lit(1)))).otherwise(try_int(F.get(parts, F.lit(0))))
+
+        def tail(last):
+            s, cc = try_int(F.get(last, F.lit(0))), try_int(F.get(last, F.lit(1)))
+            return F.when(n.isin(2, 3) & (F.size(last) == 2) & (cc <= 99), ((h * 60 + m) * 60 + s) * 100 + cc).cast("int")
+
+        return let(F.split(F.element_at(parts, -1), r"\."), tail)
+
+    return let(F.split(F.trim(c), ":"), of)
 
 
 def parse_signed_time(c: Column) -> Column:
     """struct(cs, sign); null without a sign."""
-    t = F.trim(c)
-    sign = F.when(t.startswith("-"), -1).when(t.startswith("+"), 1)
-    cs = parse_time(F.substring(t, 2, 1 << 30))
-    return F.when(sign.isNotNull() & cs.isNotNull(), F.struct(cs.alias("cs"), sign.alias("sign")))
+
+    def of(t):
+        sign = F.when(t.startswith("-"), -1).when(t.startswith("+"), 1)
+        return let(parse_time(F.substring(t, 2, 1 << 30)), lambda cs: F.when(sign.isNotNull() & cs.isNotNull(), F.struct(cs.alias("cs"), sign.alias("sign"))))
+
+    return let(F.trim(c), of)
 
 
 def format_time(cs: Column) -> Column:
     """mm:ss.cc, hours only if there are any; below zero as zero."""
-    c = F.greatest(cs.cast("bigint"), F.lit(0).cast("bigint"))
-    h, m, s, cc = F.floor(c / 360000), F.floor(c / 6000) % 60, F.floor(c / 100) % 60, c % 100
-    return F.when(cs.isNull(), None).when(h > 0, F.format_string("%d:%02d:%02d.%02d", h, m, s, cc)).otherwise(F.format_string("%02d:%02d.%02d", m, s, cc))
+
+    def of(c):
+        h, m, s, cc = F.floor(c / 360000), F.floor(c / 6000) % 60, F.floor(c / 100) % 60, c % 100
+        return F.when(h > 0, F.format_string("%d:%02d:%02d.%02d", h, m, s, cc)).when(c.isNotNull(), F.format_string("%02d:%02d.%02d", m, s, cc))
+
+    return let(F.when(cs < 0, F.lit(0).cast("bigint")).otherwise(cs.cast("bigint")), of)
 
 
 def normalize_time(c: Column) -> Column:
-    return F.coalesce(format_time(parse_time(c)), c)
+    return let(c, lambda x: F.coalesce(format_time(parse_time(x)), x))
 
 
 def normalize_signed_time(c: Column) -> Column:
-    p = parse_signed_time(c)
-    return F.coalesce(F.concat(F.when(p["sign"] < 0, "-").otherwise("+"), format_time(p["cs"])), c)
+    one = lambda x: let(parse_signed_time(x), lambda p: F.coalesce(F.concat(F.when(p["sign"] < 0, "-").otherwise("+"), format_time(p["cs"])), x))
+    return let(c, one)
 
 
 def implied_record(run: Column, split: Column) -> Column:
     """struct(cs, inferred) from a run and its split to the record: a split below zero makes the run the record."""
-    r, s = parse_time(run), parse_signed_time(split)
-    return F.when(s["sign"] < 0, F.struct(r.alias("cs"), F.lit(False).alias("inferred"))).when((s["sign"] > 0) & (r > s["cs"]), F.struct((r - s["cs"]).alias("cs"), F.lit(True).alias("inferred")))
+    of = lambda r, s: F.when(s["sign"] < 0, F.struct(r.alias("cs"), F.lit(False).alias("inferred"))).when((s["sign"] > 0) & (r > s["cs"]), F.struct((r - s["cs"]).alias("cs"), F.lit(True).alias("inferred")))
+    return let(parse_time(run), lambda r: let(parse_signed_time(split), lambda s: of(r, s)))
 
 
 def normalize_class(c: Column) -> Column:

@@ -69,7 +69,7 @@ def bigram_counts(texts: DataFrame, stop: list[str] = STOP_WORDS, text: str = "t
     """Neighbouring tokens, neither of which is a stop word."""
     t = texts.select(tokens(F.col(text)).alias("t"))
     pair = F.arrays_zip(F.slice("t", F.lit(1), F.greatest(F.size("t") - 1, F.lit(0))).alias("a"), F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))).alias("b"))
-    p = t.select(F.explode(pair).alias("p")).select(F.col("p")["0"].alias("a"), F.col("p")["1"].alias("b"))
+    p = t.select(F.explode(pair).alias("p")).select(F.col("p")["a"].alias("a"), F.col("p")["b"].alias("b"))
     return p.filter(~F.col("a").isin(stop) & ~F.col("b").isin(stop)).groupBy(F.concat_ws(" ", "a", "b").alias("phrase")).agg(F.count("*").alias("n"))
 
 
@@ -113,5 +113,6 @@ def chat_neighbours(chats: DataFrame, users: DataFrame, k: int = 3) -> DataFrame
     own = c.withColumn("who", F.when(~F.coalesce("is_bot", F.lit(False)), F.col("player_key")))
     w = Window.partitionBy("session_id").orderBy("index")
     side = lambda f: F.array(*[f("who", i).over(w) for i in range(1, k + 1)])
-    near = own.select("who", F.explode(F.array(side(F.lead), side(F.lag))).alias("near")).filter("who IS NOT NULL")
+    sides = own.select("who", side(F.lead).alias("ahead"), side(F.lag).alias("behind"))
+    near = sides.select("who", F.explode(F.array("ahead", "behind")).alias("near")).filter("who IS NOT NULL")
     return near.select("who", F.explode(F.array_distinct(F.array_compact("near"))).alias("other")).filter("who <> other").groupBy(F.col("who").alias("player_key"), F.col("other").alias("peer_key")).agg(F.count("*").alias("n"))

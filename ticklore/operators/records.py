@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, implied_record, normalize_class, normalize_signed_time, normalize_time, parse_time, serialize_candidates
+from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, implied_record, let, normalize_class, normalize_signed_time, normalize_time, parse_time, serialize_candidates
 from ticklore.operators.filters import likely_record, likely_relay, map_family
 from ticklore.operators.playtime import top_n
 
@@ -28,7 +28,8 @@ def _form(text: Column, pattern: str, make) -> Column:
     p = "(?id)" + pattern
     g = lambda i: F.nullif(F.regexp_extract(text, p, i), F.lit(""))
     entry, valid = make(g)
-    return F.when(text.rlike(p) & valid & (parse_time(entry["record_time"]) > 0), entry)
+    both = let(F.struct(entry.alias("e"), valid.alias("ok")), lambda x: F.when(x["ok"] & (parse_time(x["e"]["record_time"]) > 0), x["e"]))
+    return F.when(text.rlike(p), both)
 
 
 def parse_record(text: Column, map_: Column, prefix: str = PREFIX, only_map: str | None = None) -> Column:
@@ -101,6 +102,11 @@ def parse_relay(text: Column, only_map: str | None = None) -> Column:
     return F.coalesce(_form(line, head + rf"broke ([^ ]+) WR: ({TIME}) \((?:(WR|SR|PR)\s*)?({SIGNED_TIME})\)!?$", make("IRC", True)), _form(line, head + rf"set ([^ ]+) WR: ({TIME})!?$", make("IRCSet", False)))
 
 
+def parsed(e: Column) -> Column:
+    """One row for a line that parses, none for others. As a generator, so that the long expression stands in the plan once."""
+    return F.explode(F.array_compact(F.array(e)))
+
+
 def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     """Adds id64, clean_id, candidates: by the line's user, else by exact name, else by the beginning of a name cut to `abc...`.
 
@@ -127,7 +133,7 @@ def extract_records(chats: DataFrame, sessions: DataFrame, index: DataFrame, use
     s = sessions.select("session_id", F.col("map").alias("session_map"))
     lines = chats.filter(likely_record(F.col("text"), prefix) | likely_relay(F.col("text"), prefix)).join(s, "session_id", "left")
     e = F.coalesce(F.when(likely_record(F.col("text"), prefix), parse_record(F.col("text"), F.col("session_map"), prefix, only_map)), F.when(likely_relay(F.col("text"), prefix), parse_relay(F.col("text"), only_map)))
-    told = lines.select("session_id", F.col("index").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", e.alias("e")).filter("e IS NOT NULL").select("*", "e.*").drop("e")
+    told = lines.select("session_id", F.col("index").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", parsed(e).alias("e")).select("*", "e.*").drop("e")
     dated = told.join(index.select(F.col("id").alias("session_id"), "date"), "session_id", "left")
     return resolve_identity(dated, users)
 

@@ -167,7 +167,7 @@ def _records(spark, d):
     t = _events(spark, d)
     lines = t.record_chat().join(t.index().select(F.col("id").alias("session_id"), "date"), "session_id")
     e = F.coalesce(records.parse_record(F.col("text"), F.col("map")), records.parse_relay(F.col("text")))
-    told = lines.select("session_id", F.col("index").cast("int").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", "date", e.alias("e")).filter("e IS NOT NULL").select("*", "e.*").drop("e")
+    told = lines.select("session_id", F.col("index").cast("int").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", "date", records.parsed(e).alias("e")).select("*", "e.*").drop("e")
     none = F.lit(None).cast("string")
     return told.withColumns({"id64": F.col("from_user_id").cast("string"), "clean_id": none, "candidates": none})
 
@@ -203,9 +203,9 @@ def index_lines(spark, d):
 def landed_spawns(spark, d):
     """Sessions are written as JSON documents, and landed again."""
     t = _events(spark, d)
-    s = t.spawns.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("index", F.col("tick").cast("int").alias("tick"), F.col("user_id").alias("user"), "class"))).alias("spawns"))
+    s = t.spawns.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("index", (F.col("tick") % 1000000).cast("int").alias("tick"), F.col("user_id").alias("user"), "class"))).alias("spawns"))
     header = F.struct(F.lit("m").alias("map"), F.lit(1).alias("ticks"))
-    docs = s.select("session_id", F.to_json(F.struct(header.alias("header"), F.transform("spawns", lambda x: F.struct(x["user"].alias("user"), x["class"].alias("class"), (x["tick"] % 1000000).cast("int").alias("tick"))).alias("spawns"))).alias("body"))
+    docs = s.select("session_id", F.to_json(F.struct(header.alias("header"), F.transform("spawns", lambda x: F.struct(x["user"].alias("user"), x["class"].alias("class"), x["tick"].alias("tick"))).alias("spawns"))).alias("body"))
     return ingest.land_sessions(docs)["spawns"].select("session_id", "index", "tick", "user_id", "class")
 
 
