@@ -35,6 +35,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def columns(df: DataFrame) -> list[np.ndarray]:
+    """The columns of a bounded result as arrays. By Arrow: rows as Python objects would take ten times the driver's memory."""
+    told = df.toArrow()
+    return [c.to_numpy() for c in told.columns]
+
+
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
