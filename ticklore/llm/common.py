@@ -28,10 +28,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The same rows, read back from a table in the shared folder: cuts the lineage, and survives lost executors."""
+def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """The same rows, read back from a table in the shared folder: cuts the lineage, and survives lost executors.
+
+    file_rows: rows that a file holds at most, where each is large; 0 for no bound.
+    """
     path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", file_rows).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
