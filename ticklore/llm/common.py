@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes, A-Z lower-cased.
+_BYTES = np.arange(256, dtype=np.uint8)
+LOWER_BYTES = np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + np.uint8(32), _BYTES)
 #: Rows that one Arrow batch holds; documents are long, so this is far below Spark's default.
 BATCH_ROWS = 256
 #: Bytes of text that are hashed at once inside a task.
