@@ -103,7 +103,9 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     return [b"" if x is None else x for x in col.cast(pa.binary()).to_pylist()]
 
 
-FOUND = T.StructType([T.StructField(n, t) for n, t in (("a", T.LongType()), ("g", T.LongType()), ("n", T.LongType()), ("rid", T.LongType()), ("start", T.IntegerType()), ("len", T.IntegerType()))])
+FOUND = T.StructType([T.StructField(n, t) for n, t in (("a", T.LongType()), ("g", T.LongType()), ("rid", T.LongType()), ("spot", T.LongType()))])
+#: A spot is start, length and number in one long, of so many bits: a number is at most PIECE, so shuffled rows stay short.
+LEN_BITS, NUMBER_BITS = 13, 19
 
 
 class Filter:
@@ -150,7 +152,9 @@ class Filter:
 
 
 def found(docs: DataFrame, symbols: Callable, k: int, m: int, only: Filter | None = None) -> DataFrame:
-    """A row for each path: of those whose key `only` may hold; or without it, equal paths of one batch as one row, with their number and the first place (least rid, then start)."""
+    """A row for each path (its spot as start, length, number): of those whose key `only` may hold; or without it, equal paths of one batch as one row, with their number and the first place (least rid, then start)."""
+    if k - m + 1 >= 1 << LEN_BITS:
+        raise ValueError("gram is too short for such a window")
     combine = only is None
     shared = docs.sparkSession.sparkContext.broadcast(only)
 
@@ -170,17 +174,22 @@ def found(docs: DataFrame, symbols: Callable, k: int, m: int, only: Filter | Non
                     head = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (g[1:] != g[:-1])))
                     n = np.diff(np.append(head, len(a)))
                     a, g, rid, start, lens = a[head], g[head], rid[head], start[head], lens[head]
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(a)), pa.array(as_long(g)), pa.array(n), pa.array(rid), pa.array(start.astype(np.int32)), pa.array(lens.astype(np.int32))], names=FOUND.names)
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(a)), pa.array(as_long(g)), pa.array(rid), pa.array(start.astype(np.int64) << (LEN_BITS + NUMBER_BITS) | lens.astype(np.int64) << NUMBER_BITS | n)], names=FOUND.names)
 
     return docs.select("rid", "text").mapInArrow(run, FOUND)
 
 
+def unspot(spot):
+    """Start, length and number of a spot."""
+    return F.shiftright(spot, LEN_BITS + NUMBER_BITS), F.shiftright(spot, NUMBER_BITS).bitwiseAND((1 << LEN_BITS) - 1), spot.bitwiseAND((1 << NUMBER_BITS) - 1)
+
+
 def packed(start, length):
     """A place and a number of windows in one long."""
     return F.shiftleft(start.cast("long"), 32) + length.cast("long")
 
 
-WINDOW = T.StructType([T.StructField(n, t) for n, t in (("h1", T.LongType()), ("h2", T.LongType()), ("n", T.IntegerType()), ("rid", T.LongType()), ("start", T.IntegerType()), ("len", T.IntegerType()), ("removed", T.BooleanType()))])
+WINDOW = T.StructType([T.StructField(n, t) for n, t in (("h1", T.LongType()), ("h2", T.LongType()), ("n", T.IntegerType()), ("rid", T.LongType()), ("mark", T.LongType()))])
 
 
 def windows(docs: DataFrame, symbols: Callable, k: int, m: int, of: Filter, keep_first: bool) -> DataFrame:
@@ -188,7 +197,7 @@ def windows(docs: DataFrame, symbols: Callable, k: int, m: int, of: Filter, keep
 
     What one batch settles is combined in it. keep_first: a window that stands earlier in the batch is removed. Else, all
     equal windows of a batch are removed, and one row carries their number on. Removed neighbours are one row, with
-    another hash of their own.
+    another hash of their own and the number 0. mark: packed start and number of windows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(of)
 
@@ -212,7 +221,7 @@ def windows(docs: DataFrame, symbols: Callable, k: int, m: int, of: Filter, keep
             head = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
             times = np.diff(np.append(np.flatnonzero(head), len(h1)))
             gone = ~head if keep_first else np.repeat(times, times) > 1
-            yield pa.RecordBatch.from_arrays([pa.array(as_long(h1[head])), pa.array(as_long(h2[head])), pa.array(times.astype(np.int32)), pa.array(rid[head]), pa.array(start[head].astype(np.int32)), pa.array(np.ones(len(times), np.int32)), pa.array(np.zeros(len(times), bool))], names=WINDOW.names)
+            yield pa.RecordBatch.from_arrays([pa.array(as_long(h1[head])), pa.array(as_long(h2[head])), pa.array(times.astype(np.int32)), pa.array(rid[head]), pa.array(start[head].astype(np.int64) << 32 | 1)], names=WINDOW.names)
             rid, start = rid[gone], start[gone]
             if len(rid):
                 order = np.lexsort((start, rid))
@@ -221,7 +230,7 @@ def windows(docs: DataFrame, symbols: Callable, k: int, m: int, of: Filter, keep
                 n = np.diff(np.append(cut, len(rid)))
                 rid, start = rid[cut], start[cut]
                 key = as_long(mix(rid.view(np.uint64) * np.uint64(31) + start.astype(np.uint64)))
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(~key), pa.array(np.ones(len(n), np.int32)), pa.array(rid), pa.array(start.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(np.ones(len(n), bool))], names=WINDOW.names)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(~key), pa.array(np.zeros(len(n), np.int32)), pa.array(rid), pa.array(start.astype(np.int64) << 32 | n)], names=WINDOW.names)
 
     return docs.select("rid", "text").mapInArrow(run, WINDOW)
 
