@@ -2,14 +2,14 @@
 
 Word n-grams (n up to `order`) are counted over all training texts, and mixed:
     P(w | h) = sum over n of weight[bucket of h][n] * P_n(w | h) + weight[..][0] / (V + 1)
-P_n is the maximum-likelihood estimate; what a context's unlisted n-grams leave over goes to the next lower order. The
-buckets are by how often the longest listed context was seen. The weights come from expectation-maximisation on the
-held-out counts of one fold of the training texts, with that fold's counts deleted from the estimates.
+P_n is the maximum-likelihood estimate, or that of the next lower order where the context was never seen. The buckets are
+by the length of the longest context that was seen, and how often it was. The weights come from expectation-maximisation
+on the held-out counts of one fold of the training texts, with that fold's counts deleted from the estimates.
 
-Listed are n-grams of at least a given share of the training tokens (UNIGRAM for words that contexts are made of, NGRAM
-for longer ones): so each list has at most 1/share entries at any corpus size, and is broadcast. Single words are all
-counted, by a join: each part of the corpus asks for the words it holds, and gets their counts. Words are told apart by
-hashes of 64 bits.
+All n-grams of all orders are counted, those seen once too, by a partitioned join: each part of the corpus asks for the
+n-grams it holds, the ranges of their hashes add up what the parts have, and each part gets its counts. Requests and
+answers travel as packed arrays, a row for each part and range; nothing that grows with the corpus is broadcast or
+collected. N-grams are told apart by hashes of 61 bits.
 
 Null and empty texts are the end token alone. Each row is a document. Null doc_ids are trained on. Empty tables give no
 rows. Columns other than doc_id and text are not read.
@@ -24,35 +24,38 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BATCH_ROWS, LOWER_BYTES, Poly, keyed, mix, small_batches, table, word_bounds, written
+from .common import LOWER_BYTES, Poly, keyed, mix, small_batches, table, word_bounds, written
 from .toxicity import held_out
 
-UNIGRAM, NGRAM = 5e-6, 1e-6
 #: Bytes of text in a part; a part is one group of one task.
 PART_BYTES = 12 << 20
-BUCKETS = 12
+#: N-grams, repeats in a part included, that a range of hashes holds in the mean; a range is one group of one task.
+RANGE_GRAMS = 4_000_000
+#: Buckets of each order of context, a factor of four in counts each.
+STEPS = 8
 TRAIN, FOLD, HELD = 0, 1, 2
 #: Texts are hashed together up to so many bytes, and looked up together up to so many tokens; arrays then stay in the processor's cache.
 HASHED, TOGETHER = 1 << 18, 1 << 16
 _WORD = Poly(71)
 #: Hash of the end token: no word has a blank in it.
 END = _WORD.spans(_WORD.sums(_WORD.bytes[[32]]), np.array([0]), np.array([1])).view(np.int64)
+#: Of a key, the two bits for TRAIN, FOLD or HELD, and the bit that tells single words.
+SIDE, SINGLE = np.uint64(3), np.uint64(4)
 
 
-def sizes(docs: DataFrame) -> tuple[int, int]:
-    """Bytes of all texts, and tokens of the training texts."""
+def sizes(docs: DataFrame) -> tuple[int, int, int, int]:
+    """Bytes and tokens of all texts, and tokens of the training texts and of the fold among them."""
 
     def run(batches):
         for batch in batches:
-            n_bytes = tokens = 0
-            for text, held in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
+            n_bytes, tokens = 0, [0, 0, 0]
+            for text, fold in zip(batch.column(0).cast(pa.binary()).to_pylist(), batch.column(1).to_pylist()):
                 n_bytes += len(text or b"")
-                if held != HELD:
-                    tokens += 1 + (len(word_bounds(np.frombuffer(text, np.uint8))[0]) if text else 0)
-            yield pa.RecordBatch.from_arrays([pa.array([n_bytes]), pa.array([tokens])], names=["b", "t"])
+                tokens[fold] += 1 + (len(word_bounds(np.frombuffer(text, np.uint8))[0]) if text else 0)
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (n_bytes, sum(tokens), tokens[TRAIN] + tokens[FOLD], tokens[FOLD])], names=["b", "a", "t", "f"])
 
-    r = docs.select("text", "fold").mapInArrow(run, "b long, t long").agg(F.sum("b").alias("b"), F.sum("t").alias("t")).first()
-    return r.b or 0, r.t or 0
+    r = docs.select("text", "fold").mapInArrow(run, "b long, a long, t long, f long").agg(*(F.sum(x).alias(x) for x in "batf")).first()
+    return r.b or 0, r.a or 0, r.t or 0, r.f or 0
 
 
 def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -71,197 +74,144 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(sizes)
 
 
-def asked(parted: DataFrame) -> DataFrame:
-    """part, word, n, fold_n: which words a part holds, and how often its training texts (and its fold texts) have them."""
+def grams(hashes: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
+    """(order, tokens) keys of the n-grams that end at each token, 0 where the text is too short; the SIDE bits are free."""
+    place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    word = hashes.view(np.uint64) & ~(SIDE | SINGLE) | SINGLE
+    keys = [word]
+    for n in range(2, order + 1):
+        before = np.append(np.uint64(0), keys[-1][:-1])
+        key = mix(before * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(n)) & ~(SIDE | SINGLE)
+        keys.append(np.where(place >= n - 1, key, np.uint64(0)))
+    return np.stack(keys)
 
-    def run(batches):
-        seen: dict[int, list[list[np.ndarray]]] = {}
-        size = 0
-        for batch in batches:
-            part, fold = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            hashes, sizes = words([t or b"" for t in batch.column(4).cast(pa.binary()).to_pylist()])
-            part, fold = np.repeat(part, sizes), np.repeat(fold, sizes)
-            for p in np.unique(part):
-                own = seen.setdefault(int(p), [[], [], []])
-                for f in (TRAIN, FOLD, HELD):
-                    own[f].append(hashes[(part == p) & (fold == f)])
-            size += len(hashes)
-            if size > 4_000_000:
-                yield from told(seen)
-                seen, size = {}, 0
-        yield from told(seen)
-
-    def told(seen):
-        for part, own in seen.items():
-            each = [np.unique(np.concatenate(x), return_counts=True) for x in own]
-            word = np.unique(np.concatenate([w for w, _ in each]))
-            n = np.zeros((3, len(word)), np.int64)
-            for f, (w, times) in enumerate(each):
-                n[f, np.searchsorted(word, w)] = times
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), part, np.int32)), pa.array(word), pa.array(n[TRAIN] + n[FOLD]), pa.array(n[FOLD])], names=["part", "word", "n", "fold_n"])
-
-    return parted.mapInArrow(run, "part int, word long, n long, fold_n long")
-
-
-CODED = "rid long, doc_id long, fold int, n_tokens long, n_known long, log_c double, codes binary, deleted binary, homes long, listed binary"
-
-
-def coded(docs: DataFrame, parts: int, least: float) -> DataFrame:
-    """Each text as codes: a listed word's number (over 0), or the negative count of another. deleted (fold texts only): counts without the fold.
-
-    homes: in one row of each part, how many known words first stand in it; listed: number, count and fold count of those listed.
+
+def heads(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equals begins."""
+    return np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+
+
+def pack(a: np.ndarray) -> bytes:
+    """Numbers not below 0, compressed byte plane by byte plane."""
+    width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
+    planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8).reshape(packed[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : packed[0]] = planes.T
+    return out.view("<u8").ravel()
+
+
+def bounds(ranges: int) -> np.ndarray:
+    """The least key of each range but the first."""
+    return np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+
+
+def asked(parted: DataFrame, order: int, ranges: int) -> DataFrame:
+    """part, range, keys (sorted, as differences), n, fold_n: which n-grams a part holds, and how often its training texts (and its fold texts) have them."""
+
+    def ask(pdf: pd.DataFrame) -> pd.DataFrame:
+        hashes, sizes = words([(t or "").encode() for t in pdf["text"]])
+        keys = grams(hashes, sizes, order)
+        keys = np.where(keys > 0, keys | np.repeat(pdf["fold"].to_numpy(np.uint64), sizes), np.uint64(0)).ravel()
+        keys = np.sort(keys[keys > 0])
+        own, side = keys & ~SIDE, keys & SIDE
+        head = heads(own)
+        n, fold_n = (np.add.reduceat(x, head, dtype=np.int64) for x in (side != HELD, side == FOLD))
+        own, out = own[head], []
+        cut = np.concatenate([[0], np.searchsorted(own, bounds(ranges)), [len(own)]])
+        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+            if a < b:
+                out.append((pdf["part"].iloc[0], r, pack(np.diff(own[a:b], prepend=np.uint64(0))), pack(n[a:b]), pack(fold_n[a:b])))
+        return pd.DataFrame(out, columns=["part", "range", "keys", "n", "fold_n"])
+
+    return parted.groupBy("part").applyInPandas(ask, "part int, range int, keys binary, n binary, fold_n binary")
+
+
+def answered(want: DataFrame) -> DataFrame:
+    """part, range, n, fold_n: for each request, its n-grams' counts over all parts; vocabulary: in one row of each range, its words seen in training."""
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        each = [np.cumsum(unpack(k), dtype=np.uint64) for k in pdf["keys"]]
+        keys = np.concatenate(each)
+        order = np.argsort(keys)
+        keys = keys[order]
+        head = heads(keys)
+        times = np.diff(np.append(head, len(keys)))
+        cut, out = np.cumsum([len(k) for k in each])[:-1], {"part": pdf["part"], "range": pdf["range"]}
+        for c in ("n", "fold_n"):
+            sums = np.add.reduceat(np.concatenate([unpack(x) for x in pdf[c]]).astype(np.int64)[order], head)
+            if c == "n":
+                vocabulary = int(((keys[head] & SINGLE > 0) & (sums > 0)).sum())
+            own = np.empty(len(keys), np.int64)
+            own[order] = np.repeat(sums, times)
+            out[c] = [pack(x) for x in np.split(own, cut)]
+        return pd.DataFrame({**out, "vocabulary": [vocabulary] + [0] * (len(pdf) - 1)})
+
+    return want.groupBy("range").applyInPandas(add, "part int, range int, n binary, fold_n binary, vocabulary long")
+
+
+CODED = "rid long, doc_id long, fold int, n_tokens long, n_known long, log_c double, counts binary, deleted binary, vocabulary long"
+
+
+def coded(docs: DataFrame, parts: int, ranges: int, order: int) -> DataFrame:
+    """Each text as counts (order, tokens) of the n-grams that end at its tokens. deleted (fold texts only): counts without the fold.
+
+    vocabulary: sums up to the number of words seen in training.
     The texts are shuffled once: the same partitions ask for counts and get the answers.
     """
     parted = docs.select(F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int").alias("part"), "rid", "fold", "doc_id", "text").repartition(parts, "part")
-    want = asked(parted).repartition("word")
-    total = want.groupBy("word").agg(F.sum("n").alias("c"), F.sum("fold_n").alias("fold_c"), F.min(F.when(F.col("n") > 0, F.col("part"))).alias("home"))
-    answer = want.select("part", "word").join(total, "word").select("part", "word", "c", "fold_c", F.coalesce(F.col("home") == F.col("part"), F.lit(False)).alias("home"))
+    answer = answered(asked(parted, order, ranges).repartition(ranges, "range"))
 
     def code(key, own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        press = zstandard.ZstdCompressor(level=3)
-        got = got.drop_duplicates("word")
-        hashes, c, fold_c = (got[x].to_numpy(np.int64) for x in ("word", "c", "fold_c"))
-        places = Places(hashes)
-        hashes, c, fold_c, home = hashes[places.order], c[places.order], fold_c[places.order], got["home"].to_numpy(bool)[places.order]
-        listed = c >= least
-        number = np.where(listed, (hashes.view(np.uint64) >> np.uint64(24)).astype(np.int64) + 1, 0)
-        codes_of, log_c = np.where(listed, number, -c), np.log10(c + 1)
+        hashes, sizes = words([(t or "").encode() for t in own["text"]])
+        keys = grams(hashes, sizes, order)
+        got = got.sort_values("range")
+        at = np.flatnonzero(keys)
+        by = np.argsort(keys.ravel()[at])
+        at = at[by]
+        times = np.diff(np.append(heads(keys.ravel()[at]), len(at)))
+        n, fold_n = np.zeros((2, keys.size), np.int64)
+        for to, c in ((n, "n"), (fold_n, "fold_n")):
+            to[at] = np.repeat(np.concatenate([unpack(x) for x in got[c]]).astype(np.int64), times)
+        n, fold_n = n.reshape(keys.shape), fold_n.reshape(keys.shape)
+        ends = np.cumsum(sizes)
+        begin = ends - sizes
+        known, base = np.add.reduceat(n[0] > 0, begin, dtype=np.int64), np.add.reduceat(np.log10(n[0] + 1), begin)
         out = []
-        for lo in range(0, len(own), BATCH_ROWS):
-            some = own.iloc[lo : lo + BATCH_ROWS]
-            tokens, sizes = words([(t or "").encode() for t in some["text"]])
-            at = places.find(tokens)
-            n, ends = c[at], np.cumsum(sizes)
-            begin = ends - sizes
-            codes, gone = codes_of[at].astype("<i8"), (n - fold_c[at]).astype("<i8")
-            known, base = np.add.reduceat(n > 0, begin, dtype=np.int64), np.add.reduceat(log_c[at], begin)
-            for i, (rid, doc_id, fold) in enumerate(zip(some["rid"], some["doc_id"], some["fold"])):
-                s = slice(begin[i], ends[i])
-                out.append((rid, doc_id, fold, int(sizes[i]), int(known[i]), float(base[i]), press.compress(codes[s].tobytes()), press.compress(gone[s].tobytes()) if fold == FOLD else None, 0, None))
+        for i, (rid, doc_id, fold) in enumerate(zip(own["rid"], own["doc_id"], own["fold"])):
+            s = slice(begin[i], ends[i])
+            out.append((rid, doc_id, fold, int(sizes[i]), int(known[i]), float(base[i]), pack(n[:, s].ravel()), pack((n[:, s] - fold_n[:, s]).ravel()) if fold == FOLD else None, 0))
         df = pd.DataFrame(out, columns=[x.split()[0] for x in CODED.split(", ")])
         df["doc_id"] = df["doc_id"].astype("Int64")
-        if len(df):
-            known = np.flatnonzero(home & listed)
-            df["homes"] = [int((home & (c > 0)).sum())] + [0] * (len(df) - 1)
-            df["listed"] = [np.stack([number[known], c[known], fold_c[known]]).astype("<i8").tobytes()] + [None] * (len(df) - 1)
+        df["vocabulary"] = [int(got["vocabulary"].sum())] + [0] * (len(df) - 1)
         return df
 
     return parted.groupBy("part").cogroup(answer.groupBy("part")).applyInPandas(code, CODED)
 
 
-class Places:
-    """Finds keys by the leading bits of their hashes, then one neighbour after the other. The keys are put in the order of these hashes."""
-
-    def __init__(self, keys: np.ndarray):
-        h = mix(keys.view(np.uint64))
-        bits = len(keys).bit_length() + 1
-        self.shift, self.order = np.uint64(64 - bits), np.argsort(h)
-        self.keys = keys[self.order]
-        self.begin = np.append(0, np.cumsum(np.bincount((h >> self.shift).astype(np.int64), minlength=1 << bits))).astype(np.int32)
-
-    def find(self, wanted: np.ndarray) -> np.ndarray:
-        """Places of the wanted keys, -1 where there is none."""
-        out = np.full(len(wanted), -1)
-        bucket = (mix(wanted.view(np.uint64)) >> self.shift).astype(np.int64)
-        i, end = self.begin[bucket], self.begin[bucket + 1]
-        live = np.flatnonzero(i < end)
-        i, end, key = i[live], end[live], wanted[live]
-        while len(live):
-            hit = self.keys[i] == key
-            out[live[hit]] = i[hit]
-            i += 1
-            on = ~hit & (i < end)
-            live, i, end, key = live[on], i[on], end[on], key[on]
-        return out
-
-
-class Lists:
-    """The listed n-grams of each order: where their keys stand, counts, and counts in the fold. A context's total and listed sum give what is left over."""
-
-    def __init__(self, unigrams: np.ndarray, total: int, fold_total: int, vocabulary: int):
-        self.places, self.counts, self.folds = [], [], []
-        self.total, self.fold_total, self.vocabulary = total, fold_total, vocabulary
-        self.listed: list = []
-        self.put(*unigrams)
-
-    def put(self, keys: np.ndarray, counts: np.ndarray, folds: np.ndarray) -> None:
-        places = Places(np.ascontiguousarray(keys))
-        self.counts.append(counts[places.order])
-        self.folds.append(folds[places.order])
-        places.order = None
-        self.places.append(places)
-
-    def find(self, n: int, wanted: np.ndarray) -> np.ndarray:
-        """Places of the wanted keys (over 0) in the list of order n; -1 for others."""
-        out = np.full(len(wanted), -1)
-        at = np.flatnonzero(wanted > 0)
-        out[at] = self.places[n - 1].find(wanted[at])
-        return out
-
-    def ends(self, codes: np.ndarray, first: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """For each order below, which listed n-gram ends at each token (-1: none); and the keys of the next order (0: none). first: where texts begin."""
-        words = self.find(1, codes)
-        found = [words]
-        for n in range(2, order + 1):
-            key = self.key(found[-1], words, first)
-            if n == order:
-                return found, key
-            found.append(self.find(n, key))
-        return found, np.zeros(len(codes), np.int64)
-
-    @staticmethod
-    def before(found: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """What ends at the token before, in the same text."""
-        out = np.append(-1, found[:-1])
-        out[first] = -1
-        return out
-
-    def key(self, context: np.ndarray, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Key of an n-gram, from the place of the (n-1)-gram before its last word, and the place of that word."""
-        before = self.before(context, first)
-        return np.where((before >= 0) & (words >= 0), (before + 1) * (1 << 31) + words + 1, 0)
-
-    def add(self, keys: np.ndarray, counts: np.ndarray, folds: np.ndarray) -> None:
-        self.put(keys, counts, folds)
-        # How much of each context its listed n-grams take.
-        context = (keys >> 31) - 1
-        n = len(self.counts[-2])
-        self.listed.append((np.bincount(context, counts, n), np.bincount(context, folds, n)))
-
-    def estimates(self, codes: np.ndarray, first: np.ndarray, deleted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-        """(orders + 1, tokens) estimates P_0 to P_n, and each token's bucket. deleted: counts of unlisted words without the fold."""
-        gone = deleted is not None
-        found, _ = self.ends(codes, first, len(self.counts) + 1)
-        total = max(1, self.total - (self.fold_total if gone else 0))
-        c = np.where(codes > 0, 0, -codes).astype(float)
-        at = found[0]
-        c[at >= 0] = self.counts[0][at[at >= 0]]
-        if gone:
-            c = deleted.astype(float)
-        p = [np.full(len(codes), 1 / (self.vocabulary + 1)), c / total]
-        seen = np.zeros(len(codes))
-        for n in range(2, len(self.counts) + 1):
-            before = self.before(found[n - 2], first)
-            has = before >= 0
-            whole, listed = self.counts[n - 2][before].astype(float), self.listed[n - 2][0][before]
-            mine = np.where(found[n - 1] >= 0, self.counts[n - 1][found[n - 1]] if len(self.counts[n - 1]) else 0, 0).astype(float)
-            if gone:
-                whole, listed = whole - self.folds[n - 2][before], listed - self.listed[n - 2][1][before]
-                mine -= np.where(found[n - 1] >= 0, self.folds[n - 1][found[n - 1]] if len(self.folds[n - 1]) else 0, 0)
-            has &= whole > 0
-            whole = np.where(has, whole, 1)
-            left = np.clip(1 - listed / whole, 0, 1)
-            p.append(np.where(has, mine / whole + left * p[-1], p[-1]))
-            seen = np.where(has, whole / total * 10.0**n, seen)
-        bucket = np.where(seen > 0, np.clip(np.log2(np.maximum(seen, 1e-12)) / 2 + 8, 1, BUCKETS - 1), 0).astype(np.int64)
-        return np.stack(p), bucket
-
-
-def unpacked(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of some texts side by side, and where each begins."""
-    press = zstandard.ZstdDecompressor()
-    each = [np.frombuffer(press.decompress(x), "<i8") for x in packed]
-    return np.concatenate(each), np.cumsum([0, *map(len, each[:-1])])
+def unpacked(packed: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Counts (order, tokens) of some texts side by side, and where each begins."""
+    each = [unpack(x).astype(np.int64).reshape(order, -1) for x in packed]
+    return np.concatenate(each, axis=1), np.cumsum([0, *(x.shape[1] for x in each[:-1])])
+
+
+def estimates(counts: np.ndarray, first: np.ndarray, total: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """(orders + 1, tokens) estimates P_0 to P_n, and each token's bucket. first: where texts begin."""
+    p = [np.full(counts.shape[1], 1 / (vocabulary + 1)), counts[0] / max(1, total)]
+    bucket = np.zeros(counts.shape[1], np.int64)
+    for n in range(2, len(counts) + 1):
+        # An n-gram's context is the (n-1)-gram that ends at the token before, in the same text.
+        whole = np.append(0, counts[n - 2][:-1])
+        whole[first] = 0
+        has = whole > 0
+        whole = np.where(has, whole, 1)
+        p.append(np.where(has, counts[n - 1] / whole, p[-1]))
+        bucket = np.where(has, 1 + (n - 2) * STEPS + np.minimum(STEPS - 1, np.log2(whole) / 2).astype(np.int64), bucket)
+    return np.stack(p), bucket
 
 
 def together(n_tokens: np.ndarray) -> list[slice]:
@@ -270,67 +220,35 @@ def together(n_tokens: np.ndarray) -> list[slice]:
     return [slice(a, b) for a, b in zip(np.append(0, cut), np.append(cut, len(n_tokens))) if a < b]
 
 
-def next_order(coded_: DataFrame, lists: Lists, order: int, least: float) -> tuple[np.ndarray, ...]:
-    """Keys, counts and fold counts of the n-grams of one order with at least that count; both shorter n-grams in them are listed."""
-    shared = coded_.sparkSession.sparkContext.broadcast(lists)
+def weights(coded_: DataFrame, order: int, total: int, vocabulary: int, rounds: int = 40) -> np.ndarray:
+    """(buckets, orders + 1), by EM on the fold's tokens: a histogram of their estimates, in steps of a third of a power of two.
 
-    def run(batches):
-        seen, size = [[], []], 0
-        for batch in batches:
-            fold, packed = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            for s in together(batch.column(2).to_numpy()):
-                codes, first = unpacked(packed[s])
-                _, key = shared.value.ends(codes, first, order)
-                held = np.repeat(fold[s] == FOLD, np.diff(np.append(first, len(codes))))
-                for side, some in zip(seen, (key[(key > 0) & ~held], key[(key > 0) & held])):
-                    side.append(some)
-                    size += len(some)
-            if size > 2_000_000:
-                yield told(seen)
-                seen, size = [[], []], 0
-        if size:
-            yield told(seen)
-
-    def told(seen):
-        each = [np.unique(np.concatenate(x), return_counts=True) for x in seen]
-        keys = np.unique(np.concatenate([k for k, _ in each]))
-        n = np.zeros((2, len(keys)), np.int64)
-        for side, (k, times) in enumerate(each):
-            n[side, np.searchsorted(keys, k)] = times
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n[0] + n[1]), pa.array(n[1])], names=["key", "n", "fold_n"])
-
-    counted = coded_.filter(F.col("fold") != HELD).select("fold", "codes", "n_tokens").mapInArrow(run, "key long, n long, fold_n long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("fold_n").alias("fold_n"))
-    kept = counted.filter(F.col("n") >= least).toPandas()  # at most 1 / NGRAM rows
-    return tuple(kept[c].to_numpy(np.int64) for c in ("key", "n", "fold_n"))
-
-
-def weights(coded_: DataFrame, lists: Lists, rounds: int = 40) -> np.ndarray:
-    """(buckets, orders + 1), by EM on the fold's tokens: a histogram of their estimates, in steps of a third of a power of two."""
-    shared = coded_.sparkSession.sparkContext.broadcast(lists)
-    orders = len(lists.counts) + 1
-    names = ["bucket", *(f"p{i}" for i in range(1, orders))]
+    total: training tokens without the fold's.
+    """
+    names = ["bucket", *(f"p{i}" for i in range(1, order + 1))]
 
     def run(batches):
         for batch in batches:
             rows = []
-            packed, gone = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for s in together(batch.column(2).to_numpy()):
-                p, bucket = shared.value.estimates(*unpacked(packed[s]), unpacked(gone[s])[0])
+            gone = batch.column(0).to_pylist()
+            for s in together(batch.column(1).to_numpy()):
+                p, bucket = estimates(*unpacked(gone[s], order), total, vocabulary)
                 rows.append(np.vstack([bucket, np.where(p[1:] > 0, np.round(3 * np.log2(np.maximum(p[1:], 1e-30))), -999)]))
             if rows:
                 bins, n = np.unique(np.concatenate(rows, axis=1).astype(np.int32), axis=1, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(b) for b in bins), pa.array(n, pa.int64())], names=[*names, "n"])
 
-    bins = coded_.filter(F.col("fold") == FOLD).select("codes", "deleted", "n_tokens").mapInArrow(run, ", ".join(f"{x} int" for x in names) + ", n long").groupBy(*names).agg(F.sum("n").alias("n")).toPandas()  # bounded by the number of bins
-    w = np.full((BUCKETS, orders), 1 / orders)
+    bins = coded_.filter(F.col("fold") == FOLD).select("deleted", "n_tokens").mapInArrow(run, ", ".join(f"{x} int" for x in names) + ", n long").groupBy(*names).agg(F.sum("n").alias("n")).toPandas()  # bounded by the number of bins
+    buckets = 1 + (order - 1) * STEPS
+    w = np.full((buckets, order + 1), 1 / (order + 1))
     if len(bins):
-        p = np.vstack([np.full(len(bins), 1 / (lists.vocabulary + 1)), *(np.where(bins[f"p{i}"] == -999, 0, 2.0 ** (bins[f"p{i}"] / 3)) for i in range(1, orders))])
+        p = np.vstack([np.full(len(bins), 1 / (vocabulary + 1)), *(np.where(bins[f"p{i}"] == -999, 0, 2.0 ** (bins[f"p{i}"] / 3)) for i in range(1, order + 1))])
         b, n = bins["bucket"].to_numpy(), bins["n"].to_numpy(float)
         for _ in range(rounds):
             part = w[b].T * p
             part *= n / part.sum(axis=0)
             # One more token than seen for each weight: none becomes 0.
-            sums = np.stack([np.bincount(b, x, BUCKETS) for x in part], axis=1) + 1
+            sums = np.stack([np.bincount(b, x, buckets) for x in part], axis=1) + 1
             w = sums / sums.sum(axis=1, keepdims=True)
     return w
 
@@ -347,30 +265,22 @@ def lm_score(docs: DataFrame, order: int = 3, mod: int = 7, rest: int = 2, part_
     rows = keyed(docs)
     fold = F.when(held_out(F.col("doc_id"), mod, rest), HELD).when(held_out(F.col("doc_id"), mod, (rest + 1) % mod), FOLD).otherwise(TRAIN)
     rows = rows.withColumn("fold", fold)
-    n_bytes, total = sizes(rows)
-    # The lists' least counts follow the number of training tokens.
-    told = written(coded(rows, max(1, -(-n_bytes // part_bytes)), max(2, UNIGRAM * total)), "coded")
-    home = told.filter("listed IS NOT NULL").select("homes", "listed").collect()  # a row for each part, 1 / UNIGRAM words in all
-    unigrams = np.concatenate([np.frombuffer(r.listed, "<i8").reshape(3, -1) for r in home], axis=1) if home else np.zeros((3, 0), np.int64)
-    vocabulary = sum(r.homes for r in home)
-    fold_total = told.filter(F.col("fold") == FOLD).agg(F.sum("n_tokens")).first()[0] or 0
-    lists = Lists(unigrams, total, fold_total, vocabulary)
-    for n in range(2, order + 1):
-        lists.add(*next_order(told, lists, n, max(2, NGRAM * total)))
-    w = weights(told, lists)
-    shared = told.sparkSession.sparkContext.broadcast(lists)
+    n_bytes, tokens, total, fold_total = sizes(rows)
+    told = written(coded(rows, max(1, -(-n_bytes // part_bytes)), max(8, -(-order * tokens // RANGE_GRAMS)), order), "coded")
+    vocabulary = told.agg(F.sum("vocabulary")).first()[0] or 0
+    w = weights(told, order, total - fold_total, vocabulary)
     base = np.log10(total + vocabulary + 1)
 
     def run(batches):
         for batch in batches:
             score, packed, n = [np.zeros(0)], batch.column(5).to_pylist(), batch.column(2).to_numpy()
             for s in together(n):
-                codes, first = unpacked(packed[s])
-                p, bucket = shared.value.estimates(codes, first, None)
+                counts, first = unpacked(packed[s], order)
+                p, bucket = estimates(counts, first, total, vocabulary)
                 score.append(np.add.reduceat(np.log10((w[bucket].T * p).sum(axis=0)), first))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), batch.column(3), pa.array(np.full(len(n), total, np.int64)), pa.array(batch.column(4).to_numpy() - n * base), pa.array(np.concatenate(score))], names=[x.split()[0] for x in SCORED.split(", ")])
 
-    return told.select("doc_id", (F.col("fold") == HELD).alias("held_out"), "n_tokens", "n_known", "log_c", "codes").mapInArrow(run, SCORED)
+    return told.select("doc_id", (F.col("fold") == HELD).alias("held_out"), "n_tokens", "n_known", "log_c", "counts").mapInArrow(run, SCORED)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
