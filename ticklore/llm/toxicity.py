@@ -2,7 +2,7 @@
 
 A character trigram model is counted over all documents. Tokens that look disguised (digits or signs for letters,
 letters set apart, letters repeated) become lattices of what each sign may stand for, and Viterbi finds the likeliest
-spellings. Texts are then scored by a list of telling word beginnings, in the text as it stands and in what was restored.
+spellings. Gaps may be word breaks in the lattice; long passages and tokens are decoded in overlapping windows. Texts are then scored by a list of telling word beginnings, in the text as it stands and in what was restored.
 
 The list is learned from labelled rows that are not held out: beginnings that toxic rows of a bounded sample (TOXIC,
 CLEAN rows) share are counted over all those labelled rows, and taken greedily while they explain toxic rows that no
@@ -35,13 +35,17 @@ SHORTEST, LONGEST = 3, 9
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 GAPS = " .-_*"
 EDGES = ".,;:?!\"'()[]{}<>#%*-_"
-#: In a token: signs between or before letters, a letter three times in a row, or short parts set apart by signs.
-DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+*]+[^\W\d_]|(?:^|[^\w@.])[0-9@$|+]+[^\W\d_]|([^\W\d_])\1\1|[^\W\d_]{1,4}(?:[.\-_*][^\W\d_]{1,4}){2,}")
+#: In a token: signs between, before or after letters, a letter three times in a row, or short parts set apart by signs.
+DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+*]+[^\W\d_]|(?:^|[^\w@.])[0-9@$!|+]+[^\W\d_]|[^\W\d_][0-9@$!|+]+(?:$|[^\w@.])|([^\W\d_])\1\1|[^\W\d_]{1,4}(?:[.\-_*][^\W\d_]{1,4}){2,}")
 TRIPLE = re.compile(r"(\w)\1\1")
 #: Over tokens: single letters, each on its own.
 SPACED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
-ADDRESS = re.compile(r"\w@\w+\.|://|\.\w+\.\w")
-LONGEST_TOKEN = 48
+#: Dots set apart a word's letters where its parts are short, or one letter repeated; longer parts are those of an address.
+ADDRESS = re.compile(r"\w@\w+\.|://|^www\.|(?:^|\.)(?!(\w)\1*\.)\w{5,}\.\w+\.\w|\.(?!(\w)\2*\.)\w{5,}\.\w")
+#: Tokens longer than that are decoded each time that they come, not remembered.
+REMEMBERED = 48
+#: Runs of equal signs by which a window moves on; it holds twice as many.
+WINDOW_STEP = 64
 WORD = re.compile(r"[^\W\d_]+")
 ALPHABET = 28  # 0 other, 1-26 letters, 27 letters beyond ASCII
 
@@ -81,15 +85,33 @@ def char_model(docs: DataFrame) -> np.ndarray:
 
 
 def restore(token: str, cost: np.ndarray, best: int = 4) -> list[str]:
-    """The likeliest plain spellings of a disguised token, by Viterbi over (last two letters) with a few paths each."""
+    """Words of the likeliest plain spellings of a disguised token or passage: with gaps as nothing (its beginning), and as breaks or nothing."""
     runs: list[tuple[str, int]] = []
     for ch in token.lower():
         if runs and runs[-1][0] == ch:
             runs[-1] = ch, runs[-1][1] + 1
         else:
             runs.append((ch, 1))
+    out = decode(runs[: 2 * WINDOW_STEP], cost, best, False)
+    for lo in range(0, max(1, len(runs) - WINDOW_STEP), WINDOW_STEP):
+        window = runs[lo : lo + 2 * WINDOW_STEP]
+        # Without a break, a window says no more than the beginning did.
+        if any(breaks(ch) for ch, _ in window):
+            # Words that the window's ends may have cut stand whole in the next one.
+            cut = slice(1 if lo else 0, None if lo + 2 * WINDOW_STEP >= len(runs) else -1)
+            for s in decode(window, cost, best, True):
+                out += s.split(" ")[cut]
+    return out
+
+
+def breaks(ch: str) -> bool:
+    return ch in GAPS or not (ch.isalnum() or ch in STANDS_FOR)
+
+
+def decode(runs: list[tuple[str, int]], cost: np.ndarray, best: int, split: bool) -> list[str]:
+    """The likeliest spellings, by Viterbi over (last two letters) with a few paths each; with split, a gap may be a space."""
     beams = {(0, 0): [(0.0, "")]}
-    for ch, n in runs[:64]:
+    for ch, n in runs:
         options = []
         if ch in GAPS:
             options.append((0.0, ""))
@@ -98,12 +120,14 @@ def restore(token: str, cost: np.ndarray, best: int = 4) -> list[str]:
             options += [(0.3 if c != ch else 0.0, c), (1.0 + abs(n - 2) if n != 2 else 0.3, c + c)]
         if not options:
             options.append((2.0, ""))
+        if split and breaks(ch):
+            options.append((0.0, " "))
         found: dict = {}
         for (a, b), paths in beams.items():
             for price, out in options:
                 x, y, more = a, b, price
                 for c in out:
-                    k = ord(c) - 96 if "a" <= c <= "z" else 27
+                    k = ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
                     more += cost[(x * ALPHABET + y) * ALPHABET + k]
                     x, y = y, k
                 found.setdefault((x, y), []).extend((p + more, s + out) for p, s in paths)
@@ -125,11 +149,16 @@ class Finder:
             if len(self.seen) > 400_000:
                 self.seen.clear()
             core = token.strip(EDGES)
+            # A mark of exclamation ends a word, but begins none.
+            if core and token.lstrip(EDGES.replace("!", "")).startswith("!"):
+                core = "!" + core
             plain = core.isalpha()
             words = [core] if plain else WORD.findall(core)
-            if len(core) <= LONGEST_TOKEN and (TRIPLE if plain else DISGUISED).search(core) and not ADDRESS.search(core):
+            if (TRIPLE if plain else DISGUISED).search(core) and not ADDRESS.search(core):
                 words += restore(core, self.cost)
-            found = self.seen[token] = tuple({x for w in words for x in self.what(w)})
+            found = tuple({x for w in words for x in self.what(w)})
+            if len(token) <= REMEMBERED:
+                self.seen[token] = found
         return found
 
     def __call__(self, text: str) -> set:
