@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import array
 import base64
+import json
+import os
 import re
 import zlib
 from functools import lru_cache
@@ -32,9 +34,9 @@ END = 0
 
 
 class Encoder:
-    """Text -> its ids as bytes of uint16. Strings of special tokens are ordinary text."""
+    """Text -> its ids as bytes of uint16. added: tokens taken out of the text before it is cut into pieces, and their ids."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
         with open(path, "rb") as f:
@@ -43,9 +45,28 @@ class Encoder:
         self.full = make("byte_bpe", pattern)
         self.fast = make("byte_bpe_one_blank", pattern.replace(BLANKS, ONE_BLANK)) if pattern.endswith(BLANKS) else self.full
 
+        self.added = added
+        # The first that begins, and of those the longest.
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+
     def ids(self, text: str) -> bytes:
-        way = self.full if RUN.search(text) else self.fast
-        return array.array("H", way.encode_ordinary(text)).tobytes()
+        out = array.array("H")
+        for i, part in enumerate(self.cut.split(text) if self.cut else [text]):
+            way = self.full if RUN.search(part) else self.fast
+            out.extend([self.added[part]] if i % 2 else way.encode_ordinary(part))
+        return out.tobytes()
+
+
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of the tokenizers file beside a rank file; none where there is no such file."""
+    path = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in tokens):
+        raise ValueError(f"{path}: added tokens that depend on what stands around them")
+    return {t["content"]: t["id"] for t in tokens}
 
 
 @lru_cache(maxsize=2)
@@ -53,7 +74,8 @@ def encoder(path: str | None) -> Encoder:
     """path: a tiktoken rank file of under 65,536 ids; by default the byte-level BPE of 50k, whose ids the tokenizers file of that name gives too."""
     import public_tokenizers
 
-    return Encoder(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    path = str(path or public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return Encoder(path, public_tokenizers.PATTERN, added_tokens(path))
 
 
 @lru_cache(maxsize=1)
