@@ -196,7 +196,7 @@ def candidates(docs: DataFrame, labels: DataFrame, cost: np.ndarray) -> list[str
 
 
 def hits(docs: DataFrame, keys: list[str], cost: np.ndarray) -> DataFrame:
-    """doc_id, hits (which keys begin a word of the text, or of a restored spelling) of every row."""
+    """doc_id, rid, hits (which keys begin a word of the text, or of a restored spelling) of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(({k: i for i, k in enumerate(keys)}, cost))  # bounded: see candidates()
 
     def run(batches):
@@ -204,9 +204,9 @@ def hits(docs: DataFrame, keys: list[str], cost: np.ndarray) -> DataFrame:
         find = Finder(costs, lambda w: [number[b] for b in beginnings(w) if b in number])
         for batch in batches:
             out = [sorted(find(t or "")) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "hits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "rid", "hits"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, hits array<int>")
+    return docs.select("doc_id", "text", "rid").mapInArrow(run, "doc_id long, rid long, hits array<int>")
 
 
 def learn(found: DataFrame, labels: DataFrame, n_keys: int) -> tuple[dict[int, float], float]:
@@ -239,10 +239,10 @@ def learn(found: DataFrame, labels: DataFrame, n_keys: int) -> tuple[dict[int, f
     return chosen, ((r.t or 0) + 0.5) / (r.n + 1) if r.n else 0.0
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row. mod, rest: which rows are held out of learning."""
+def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, key: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row. mod, rest: which rows are held out of learning. key: a column of longs that comes along as rid."""
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(key) if key else F.lit(None)).cast("long").alias("rid"))
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")).filter(~held_out(F.col("doc_id"), mod, rest))
     cost = char_model(rows)
     keys = candidates(rows, known, cost)
@@ -255,9 +255,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0) ->
     def run(batches):
         for batch in batches:
             score = [max([none, *(table_[k] for k in own if table_[k])]) for own in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()), batch.column(3)], names=["doc_id", "held_out", "score", "predicted", "rid"])
 
-    return found.select("doc_id", held_out(F.col("doc_id"), mod, rest).alias("held_out"), "hits").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    scored = found.select("doc_id", held_out(F.col("doc_id"), mod, rest).alias("held_out"), "hits", "rid").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, rid long")
+    return scored if key else scored.drop("rid")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
