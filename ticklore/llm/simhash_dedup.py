@@ -216,7 +216,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def similar_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """A spanning forest (u, v) of the pairs of a shard's members and all its rows that are similar enough."""
+    """A spanning forest (u, v) of the similar enough pairs of a group's members and its other rows; of the members alone where there are no others."""
     pdf = pdf.sort_values("member", ascending=False).drop_duplicates("node")
     fps, nodes, member = pdf["fp"].to_numpy().view(np.uint64), pdf["node"].to_numpy(), np.flatnonzero(pdf["member"].to_numpy())
     sketch = np.full((len(pdf), SKETCH), np.iinfo(np.uint32).max, np.uint32)
@@ -224,10 +224,11 @@ def similar_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
         own = np.frombuffer(s, np.uint32)
         sketch[i, : len(own)] = own
     forest = Forest(len(pdf))
+    others = np.arange(len(member), len(pdf)) if len(member) < len(pdf) else member  # members come first
     step = max(1, (1 << 20) // max(1, len(member)))
-    for i in range(0, len(pdf), step):
-        a, m = np.nonzero(np.bitwise_count(fps[i : i + step, None] ^ fps[None, member]) <= WIDE)
-        a, b = a + i, member[m]
+    for i in range(0, len(others), step):
+        a, m = np.nonzero(np.bitwise_count(fps[others[i : i + step], None] ^ fps[None, member]) <= WIDE)
+        a, b = others[a + i], member[m]
         while True:
             # Of each row one pair that isn't linked yet; pairs that fail are seen once.
             top = forest.roots()
@@ -246,12 +247,23 @@ def similar_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
     return pd.DataFrame({"u": nodes[own], "v": nodes[top[own]]})
 
 
+def block_pairs(met: DataFrame, shard_rows: int) -> DataFrame:
+    """met: node, key, n (rows of the key), and others. Adds i, j, member: the rows of parts i and j of a key meet, about shard_rows at most.
+
+    Of the two parts, that of i are the members; each pair of parts meets once.
+    """
+    parts = F.when(F.col("n") > shard_rows, F.ceil(F.col("n") * 2.2 / shard_rows)).otherwise(1).cast("int")
+    own = met.withColumn("parts", parts).withColumn("own", F.pmod("node", F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "n")
+
+
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = SHARD_ROWS // 2) -> DataFrame:
     """doc_id, component_id for each row: components of documents whose shingle sets are at least so similar.
 
     At that similarity fingerprints differ by up to 18 bits, where no ball is smaller than the space and no tree can prune.
     So documents meet in shards by their KEYS least shingle hashes (of which similar ones share one, but for 0.03 %); in a
-    shard, fingerprints sort out pairs and sketches decide. Shards over shard_rows are split as those of the tree are.
+    shard, fingerprints sort out pairs and sketches decide. Shards over shard_rows are split, and all pairs of
+    their parts meet.
     """
     small_batches(docs.sparkSession)
 
@@ -271,10 +283,9 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_r
     # Equal texts are one node from here on.
     nodes = written(each.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("keys").alias("keys")), "nodes")
     keyed_ = nodes.select("node", F.explode("keys").alias("key"))
-    sizes = keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key", F.ceil(F.col("n") / shard_rows).cast("int").alias("parts"))
+    sizes = keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")).join(written(sizes, "shards"), "key")
-    placed = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("member", F.pmod("node", F.col("parts")) == F.col("part"))
-    links = placed.groupBy("key", "part").applyInPandas(lambda pdf: similar_links(pdf, similarity), "u long, v long")
+    links = block_pairs(met, shard_rows).groupBy("key", "i", "j").applyInPandas(lambda pdf: similar_links(pdf, similarity), "u long, v long")
     named = nodes.select("node", "least").join(components(links).withColumnRenamed("component", "c"), "node", "left").select("node", "least", F.coalesce("c", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = written(named.join(least, "component").select("node", "component_id"), "classes")
