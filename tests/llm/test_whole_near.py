@@ -1,4 +1,4 @@
-"""Near copies meet in groups of bounded size."""
+"""Near copies are told by their sets of shingles, and meet in groups of bounded size."""
 
 from itertools import combinations
 
@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from ticklore.llm import simhash_dedup as s
 
 
+def test_repeated_phrase(spark):
+    text = " ".join(f"v{i}" for i in range(200))
+    phrase = " ".join(f"v{i}" for i in range(12))
+    rows = [(1, text + " " + phrase + " " + phrase), (2, text + " " + " ".join([phrase] * 1000))]
+    got = s.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {1}
+
+
 def test_groups(spark):
     met = spark.range(400).select(F.xxhash64("id").alias("node"), F.lit(1).alias("key"), F.lit(400).alias("n"))
     groups = s.block_pairs(met, 100).groupBy("i", "j").agg(F.collect_list("node").alias("nodes"), F.count("*").alias("n")).collect()

@@ -262,7 +262,7 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_r
 
     At that similarity fingerprints differ by up to 18 bits, where no ball is smaller than the space and no tree can prune.
     So documents meet in shards by their KEYS least shingle hashes (of which similar ones share one, but for 0.03 %); in a
-    shard, fingerprints sort out pairs and sketches decide. Shards over shard_rows are split, and all pairs of
+    shard, fingerprints of the sets sort out pairs and sketches decide. Shards over shard_rows are split, and all pairs of
     their parts meet.
     """
     small_batches(docs.sparkSession)
@@ -273,7 +273,7 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_r
             for text in texts_of(batch):
                 h = shingle_hashes(text, words)
                 least = np.unique(h)[:SKETCH]
-                fps.append(simhash(h))
+                fps.append(simhash(np.unique(h)))
                 sketches.append((least >> np.uint64(32)).astype(np.uint32).tobytes())
                 keys.append(least[:KEYS].view(np.int64).tolist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "sketch", "keys"])
