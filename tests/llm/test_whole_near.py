@@ -8,8 +8,8 @@ from ticklore.llm import simhash_dedup as s
 
 
 def test_repeated_phrase(spark):
-    text = " ".join(f"v{i}" for i in range(200))
-    phrase = " ".join(f"v{i}" for i in range(12))
+    text = " ".join(f"c{i}" for i in range(200))
+    phrase = " ".join(f"c{i}" for i in range(12))
     rows = [(1, text + " " + phrase + " " + phrase), (2, text + " " + " ".join([phrase] * 1000))]
     got = s.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.component_id for r in got} == {1}
