@@ -9,6 +9,7 @@ from ticklore.functions.scalars import calendar_keys, count_char, message_body,
 from ticklore.operators.filters import any_keyword, contains_ci, is_player_chat, mentions
 from ticklore.operators.joins import chats_of, chats_with_users, with_session
 
+# Words that tell a kind of message.
 LAUGHTER, THANKS, SORRY = ("lol", "lmao", "rofl", "haha"), ("ty", "thanks", "thx"), ("sorry", "sry")
 # Words that word and phrase counts leave out.
 STOP_WORDS = """
@@ -60,17 +61,19 @@ def server_records(chats: DataFrame, sessions: DataFrame, like: str) -> DataFram
     return chats.filter(F.col("text").contains("broke")).join(own, "session_id").select("session_id", "index", "map", "server", "text")
 
 
-def word_counts(texts: DataFrame, stop: list[str] = STOP_WORDS, text: str = "text") -> DataFrame:
-    w = texts.select(F.explode(tokens(F.col(text))).alias("word")).filter(~F.col("word").isin(stop))
-    return w.groupBy("word").agg(F.count("*").alias("n"))
+def word_counts(texts: DataFrame, stop: list[str] = STOP_WORDS, text: str = "text", by: list[str] | None = None) -> DataFrame:
+    by = by or []
+    w = texts.select(*by, F.explode(tokens(F.col(text))).alias("word")).filter(~F.col("word").isin(stop))
+    return w.groupBy(*by, "word").agg(F.count("*").alias("n"))
 
 
-def bigram_counts(texts: DataFrame, stop: list[str] = STOP_WORDS, text: str = "text") -> DataFrame:
+def bigram_counts(texts: DataFrame, stop: list[str] = STOP_WORDS, text: str = "text", by: list[str] | None = None) -> DataFrame:
     """Neighbouring tokens, neither of which is a stop word."""
-    t = texts.select(tokens(F.col(text)).alias("t"))
+    by = by or []
+    t = texts.select(*by, tokens(F.col(text)).alias("t"))
     pair = F.arrays_zip(F.slice("t", F.lit(1), F.greatest(F.size("t") - 1, F.lit(0))).alias("a"), F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))).alias("b"))
-    p = t.select(F.explode(pair).alias("p")).select(F.col("p")["a"].alias("a"), F.col("p")["b"].alias("b"))
-    return p.filter(~F.col("a").isin(stop) & ~F.col("b").isin(stop)).groupBy(F.concat_ws(" ", "a", "b").alias("phrase")).agg(F.count("*").alias("n"))
+    p = t.select(*by, F.explode(pair).alias("p")).select(*by, F.col("p")["a"].alias("a"), F.col("p")["b"].alias("b"))
+    return p.filter(~F.col("a").isin(stop) & ~F.col("b").isin(stop)).groupBy(*by, F.concat_ws(" ", "a", "b").alias("phrase")).agg(F.count("*").alias("n"))
 
 
 def message_style(chats: DataFrame, by: list[str] | None = None) -> DataFrame:

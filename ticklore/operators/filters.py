@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
-
 def contains_ci(c: Column, v: str) -> Column:
     """LIKE '%v%' without case; % and _ in v stay wildcards."""
     return c.ilike(f"%{v}%")
@@ -30,6 +28,7 @@ def map_family(c: Column, m: str) -> Column:
 
 def likely_record(c: Column, prefix: str) -> Column:
     """Cheap test before the patterns of parse_record()."""
+    # The wording of the server's messages.
     forms = ["%beat the map record%", "%set the first map record%", "%is ranked%with time%", "%set Bonus%", "%set Course%", "%set C%", "%broke%Bonus%", "%broke%Course%", "%broke C%", "% WR)%"]
     return c.ilike(f"{prefix}(%") & reduce(or_, [c.ilike(f) for f in forms], c.ilike("%map run%") & c.ilike("%WR%"))
 
@@ -72,8 +71,6 @@ def in_year(c: Column, year: int) -> Column:
     return (c >= lo) & (c < hi)
 
 
-def all_of(*tests: Column) -> Column:
-    return reduce(and_, tests)
-
-
-__all__ = ["all_of", "any_keyword", "contains_ci", "in_year", "is_player", "is_player_chat", "likely_record", "likely_relay", "likely_run", "map_family", "map_family_like", "mentions", "name_matches"]
+def class_matches(c: Column, letter: str) -> Column:
+    """S for soldiers, anything else for demomen; class names as normalize_class() gives them."""
+    return F.lower(c) == ("solly" if letter == "S" else "demo")

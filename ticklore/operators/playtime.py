@@ -55,3 +55,8 @@ def top_n(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
     if not keys:
         return df.orderBy(*order).limit(n)
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= n)
+
+
+def peer_lists(peers: DataFrame, n: int = 20) -> dict[str, DataFrame]:
+    """For each player the peers that watch them longest, and those that they watch longest."""
+    return {by: top_n(peers.filter(F.col(by) > 0), ["player_key"], [F.desc(by), "peer_key"], n) for by in ("watched_by_seconds", "watching_seconds")}

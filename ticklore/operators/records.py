@@ -7,15 +7,19 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, implied_record, let, normalize_class, normalize_signed_time, normalize_time, parse_time, serialize_candidates
-from ticklore.operators.filters import likely_record, likely_relay, map_family
+from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, format_time, let, normalize_class, parse_time, serialize_candidates
+from ticklore.operators.filters import class_matches, likely_record, likely_relay, likely_run, map_family, map_family_like, name_matches
 from ticklore.operators.playtime import top_n
 
 #: What messages of the server begin with.
 PREFIX = "SRV | "
 FIELDS = ("player", "class", "map", "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
 SPLIT = rf" \((?:(WR|SR|PR)\s*)?({SIGNED_TIME})\)(?: \| ({TIME}) improvement!?)?!?$"
+#: After the head of a message: time, label, split, improvement.
+RUN = rf"map run ({TIME}){SPLIT}"
 MARKS = r"\s+(?:~[^~]+~\s*)*"
+#: Stands between the groups of a match; taken out of texts before.
+CUT = "\x01"
 
 
 def _entry(**v: Column) -> Column:
@@ -23,26 +27,53 @@ def _entry(**v: Column) -> Column:
     return F.struct(*[v.get(f, F.lit(None)).cast(kinds.get(f, "string")).alias(f) for f in FIELDS])
 
 
-def _form(text: Column, pattern: str, make) -> Column:
-    """Null unless the pattern matches and the entry's time is over zero. make gets a function from group number to text (null if empty)."""
-    p = "(?id)" + pattern
-    g = lambda i: F.nullif(F.regexp_extract(text, p, i), F.lit(""))
-    entry, valid = make(g)
-    both = let(F.struct(entry.alias("e"), valid.alias("ok")), lambda x: F.when(x["ok"] & (parse_time(x["e"]["record_time"]) > 0), x["e"]))
-    return F.when(text.rlike(p), both)
+def _form(text: Column, key: Column, pattern: str, make) -> Column:
+    """Null unless the pattern matches and the entry is valid. make gets a function from group number to text (null if empty).
+
+    key: a cheap test that all matches pass. The pattern then runs once: its groups come out of one replacement, split at a sign that texts do not hold.
+    """
+    n = re.compile(pattern).groups
+    told = F.split(F.regexp_replace(text, "(?id)" + pattern, CUT + CUT.join(f"${i}" for i in range(1, n + 1)) + CUT), CUT, -1)
+
+    def read(g):
+        entry, valid = make(lambda i: F.nullif(F.get(g, F.lit(i)), F.lit("")))
+        return F.when((F.size(g) == n + 2) & valid, entry)
+
+    return F.when(key, let(told, read))
+
+
+def _time(t: Column) -> Column:
+    """A time that TIME matches, written as normalize_time() does; by fixed places, which costs the planner far less than its parts do."""
+    p = F.lpad(t, 11, "0")
+    two = lambda at: F.substring(p, at, 2).cast("bigint")
+    return F.when(t.isNotNull(), format_time(((two(1) * 60 + two(-8)) * 60 + two(-5)) * 100 + two(-2)))
+
+
+def _signed(t: Column) -> Column:
+    return F.when(t.rlike("^[+-]"), F.concat(F.substring(t, 1, 1), _time(F.substring(t, 2, 20)))).otherwise(t)
+
+
+def _tidy(e: Column) -> Column:
+    """The entry with its times written out; null where its time is zero. One pass after the forms, so that they hold no times' arithmetic each."""
+    times = {"record_time": _time, "run_time": _time, "split": _signed, "improvement": _time}
+    return let(e, lambda x: F.when(x["record_time"].rlike("[1-9]"), F.struct(*[(times[f](x[f]) if f in times else x[f]).alias(f) for f in FIELDS])))
+
+
+def head_of(prefix: str) -> str:
+    return "^" + re.escape(prefix).replace("\\ ", " ") + r"\(([^)]+)\) (.*?) "
 
 
 def parse_record(text: Column, map_: Column, prefix: str = PREFIX, only_map: str | None = None) -> Column:
     """The first of eleven message forms that fits; null if none does. only_map: forms that name a map must name one of that family."""
-    head = "^" + re.escape(prefix).replace("\\ ", " ") + r"\(([^)]+)\) (.*?) "
+    head = head_of(prefix)
     yes, no, true = F.lit(True), F.lit(False), F.lit(True)
     family = (lambda m: map_family(m, only_map)) if only_map else (lambda m: true)
     base = lambda g: {"class": normalize_class(g(1)), "player": F.trim(F.coalesce(g(2), F.lit(""))), "map": map_, "record_type": F.lit("WR"), "inferred": no, "is_lookup": no}
 
     def plain(source, time_group, split=None, first=False):
         def make(g):
-            more = {"split": normalize_signed_time(g(split)), "improvement": normalize_time(g(split + 1))} if split else {}
-            return _entry(**base(g), source=F.concat(source(g), F.lit(" First" if first else "")), record_time=normalize_time(g(time_group)), **more), true
+            more = {"split": g(split), "improvement": g(split + 1)} if split else {}
+            return _entry(**base(g), source=F.concat(source(g), F.lit(" First" if first else "")), record_time=g(time_group), **more), true
 
         return make
 
@@ -52,38 +83,52 @@ def parse_record(text: Column, map_: Column, prefix: str = PREFIX, only_map: str
         part = raw.rlike(cut)
         name = F.when(part, F.regexp_extract(raw, cut, 1)).otherwise(raw)
         source = F.when(part, F.trim(F.concat_ws(" ", F.regexp_extract(raw, cut, 2), F.regexp_extract(raw, cut, 3)))).otherwise("Compact")
-        e = _entry(**{"class": normalize_class(g(1)), "player": F.trim(g(5)), "map": name, "record_type": F.upper(g(2)), "source": source, "record_time": normalize_time(g(4)), "inferred": no, "is_lookup": yes})
+        e = _entry(**{"class": normalize_class(g(1)), "player": F.trim(g(5)), "map": name, "record_type": F.upper(g(2)), "source": source, "record_time": g(4), "inferred": no, "is_lookup": yes})
         return e, F.upper(g(2)).isin("WR", "SR") & family(name)
 
     def run(g):
-        r = implied_record(g(3), g(5))
-        e = _entry(**base(g), source=F.lit("MapRun"), record_time=normalize_time(g(3)), run_time=normalize_time(g(3)), split=normalize_signed_time(g(5)), improvement=normalize_time(g(6)))
-        return e, F.coalesce(F.upper(g(4)).isin("WR", "SR") & ~r["inferred"], no)
+        # A split below zero makes the run the record (implied_record()); with others the record is only implied.
+        e = _entry(**base(g), source=F.lit("MapRun"), record_time=g(3), run_time=g(3), split=g(5), improvement=g(6))
+        return e, F.coalesce(F.upper(g(4)).isin("WR", "SR") & g(5).startswith("-"), no)
 
     def ranked(g):
         source = F.when(g(6).isNotNull(), F.concat_ws(" ", g(6), g(7))).otherwise("Ranked")
-        e = _entry(**(base(g) | {"map": g(5), "inferred": yes, "is_lookup": yes}), source=source, record_time=normalize_time(g(8)))
+        e = _entry(**(base(g) | {"map": g(5), "inferred": yes, "is_lookup": yes}), source=source, record_time=g(8))
         return e, (F.regexp_replace(g(3), "^0+", "") == "1") & family(g(5))
 
     fixed = lambda s: lambda g: F.lit(s)
     zone = lambda kind: lambda g: F.concat(F.lit(kind + " "), g(3))
     part = lambda g: F.concat(F.lit("C"), g(3), F.lit(" - "), F.trim(g(4)))
     t = f"({TIME})"
+    # The wording of the server's messages.
     forms = [
-        ("^" + re.escape(prefix).replace("\\ ", " ") + rf"\(([^)]+?) (WR|SR|PR)\) (.+?) :: {t} :: (.+)$", compact),
-        (head + rf"set the first map record: {t}!?$", plain(fixed("FirstRecord"), 3)),
-        (head + rf"beat the map record: {t}{SPLIT}", plain(fixed("MapRecord"), 3, 5)),
-        (head + rf"beat the map record: {t}!?$", plain(fixed("MapRecord"), 3)),
-        (head + rf"set Bonus\s*#?(\d+) {t}!?$", plain(zone("Bonus"), 4, first=True)),
-        (head + rf"set Course\s*#?(\d+) {t}!?$", plain(zone("Course"), 4, first=True)),
-        (head + rf"set{MARKS}C(\d+)\s*-\s*(.+?) {t}!?$", plain(part, 5, first=True)),
-        (head + rf"broke{MARKS}Bonus\s*#?(\d+) {t}{SPLIT}", plain(zone("Bonus"), 4, 6)),
-        (head + rf"broke{MARKS}Course\s*#?(\d+) {t}{SPLIT}", plain(zone("Course"), 4, 6)),
-        (head + rf"broke{MARKS}C(\d+)\s*-\s*(.+?) {t}{SPLIT}", plain(part, 5, 7)),
-        (head + rf"map run {t}{SPLIT}", run),
-        (head + rf"is ranked (\d+)/(\d+) on ([^ ]+)(?:\s+(Bonus|Course)\s+(\d+))? with time: {t}!?$", ranked),
+        (" :: ", "^" + re.escape(prefix).replace("\\ ", " ") + rf"\(([^)]+?) (WR|SR|PR)\) (.+?) :: {t} :: (.+)$", compact),
+        ("set the first map record", head + rf"set the first map record: {t}!?$", plain(fixed("FirstRecord"), 3)),
+        ("beat the map record", head + rf"beat the map record: {t}{SPLIT}", plain(fixed("MapRecord"), 3, 5)),
+        ("beat the map record", head + rf"beat the map record: {t}!?$", plain(fixed("MapRecord"), 3)),
+        ("set bonus", head + rf"set Bonus\s*#?(\d+) {t}!?$", plain(zone("Bonus"), 4, first=True)),
+        ("set course", head + rf"set Course\s*#?(\d+) {t}!?$", plain(zone("Course"), 4, first=True)),
+        ("set", head + rf"set{MARKS}C(\d+)\s*-\s*(.+?) {t}!?$", plain(part, 5, first=True)),
+        ("broke", head + rf"broke{MARKS}Bonus\s*#?(\d+) {t}{SPLIT}", plain(zone("Bonus"), 4, 6)),
+        ("broke", head + rf"broke{MARKS}Course\s*#?(\d+) {t}{SPLIT}", plain(zone("Course"), 4, 6)),
+        ("broke", head + rf"broke{MARKS}C(\d+)\s*-\s*(.+?) {t}{SPLIT}", plain(part, 5, 7)),
+        ("map run", head + RUN, run),
+        ("is ranked", head + rf"is ranked (\d+)/(\d+) on ([^ ]+)(?:\s+(Bonus|Course)\s+(\d+))? with time: {t}!?$", ranked),
     ]
-    return F.coalesce(*[_form(text, p, make) for p, make in forms])
+    clean, low = F.translate(text, CUT, " "), F.lower(text)
+    return _tidy(F.coalesce(*[_form(clean, low.contains(key), p, make) for key, p, make in forms]))
+
+
+def parse_run(text: Column, map_: Column, prefix: str = PREFIX) -> Column:
+    """A map run of any label and split: struct(player, class, map, label, run_time, split, improvement); null for other lines."""
+    n = re.compile(head_of(prefix) + RUN).groups
+    told = F.split(F.regexp_replace(F.translate(text, CUT, " "), "(?id)" + head_of(prefix) + RUN, CUT + CUT.join(f"${i}" for i in range(1, n + 1)) + CUT), CUT, -1)
+    g = lambda x, i: F.nullif(F.get(x, F.lit(i)), F.lit(""))
+    entry = lambda x: F.struct(
+        F.trim(F.coalesce(g(x, 2), F.lit(""))).alias("player"), normalize_class(g(x, 1)).alias("class"), map_.alias("map"), F.upper(g(x, 4)).alias("label"),
+        _time(g(x, 3)).alias("run_time"), _signed(g(x, 5)).alias("split"), _time(g(x, 6)).alias("improvement"),
+    )
+    return F.when(likely_run(text, prefix), let(told, lambda x: F.when(F.size(x) == n + 2, entry(x))))
 
 
 def parse_relay(text: Column, only_map: str | None = None) -> Column:
@@ -92,14 +137,16 @@ def parse_relay(text: Column, only_map: str | None = None) -> Column:
 
     def make(source, split):
         def entry(g):
-            more = {"split": normalize_signed_time(g(6))} if split else {}
-            e = _entry(**{"class": normalize_class(g(1)), "player": F.trim(g(2)), "map": g(3), "record_type": F.lit("WR"), "source": F.lit(source), "record_time": normalize_time(g(4)), "inferred": F.lit(False), "is_lookup": F.lit(False)}, **more)
+            more = {"split": g(6)} if split else {}
+            e = _entry(**{"class": normalize_class(g(1)), "player": F.trim(g(2)), "map": g(3), "record_type": F.lit("WR"), "source": F.lit(source), "record_time": g(4), "inferred": F.lit(False), "is_lookup": F.lit(False)}, **more)
             return e, map_family(g(3), only_map) if only_map else F.lit(True)
 
         return entry
 
     head = r"^:: \(([^)]+)\) (.+?) "
-    return F.coalesce(_form(line, head + rf"broke ([^ ]+) WR: ({TIME}) \((?:(WR|SR|PR)\s*)?({SIGNED_TIME})\)!?$", make("IRC", True)), _form(line, head + rf"set ([^ ]+) WR: ({TIME})!?$", make("IRCSet", False)))
+    broke, put = head + rf"broke ([^ ]+) WR: ({TIME}) \((?:(WR|SR|PR)\s*)?({SIGNED_TIME})\)!?$", head + rf"set ([^ ]+) WR: ({TIME})!?$"
+    clean, key = F.translate(line, CUT, " "), F.lower(line).contains(" wr: ")
+    return _tidy(F.coalesce(_form(clean, key, broke, make("IRC", True)), _form(clean, key, put, make("IRCSet", False))))
 
 
 def parsed(e: Column) -> Column:
@@ -115,17 +162,17 @@ def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     who = F.struct(F.col("name"), F.col("id64").cast("string").alias("id64"), F.coalesce("clean_id", "raw_id").alias("clean_id"))
     direct = users.select("session_id", F.col("user_id").alias("from_user_id"), F.col("id64").cast("string").alias("d64"), F.coalesce("clean_id", "raw_id").alias("did"))
     named = users.filter("trim(name) <> ''").select("session_id", F.lower(F.trim("name")).alias("low"), who.alias("who")).groupBy("session_id", "low").agg(F.sort_array(F.collect_set("who")).alias("same"))
-    rows = df.withColumn("rid", F.monotonically_increasing_id()).withColumn("low", F.lower(F.trim("player")))
-    rows = rows.join(direct, ["session_id", "from_user_id"], "left").join(named, ["session_id", "low"], "left")
-    # The cut-name arm is an equi-join on the session with the beginning as its condition, for those rows only.
-    cut = rows.filter("same IS NULL AND low LIKE '%...'").select("rid", "session_id", F.expr("substring(low, 1, length(low) - 3)").alias("stem"))
-    begun = cut.join(named.select("session_id", F.col("low").alias("full"), F.col("same").alias("some")), "session_id").filter("startswith(full, stem)").groupBy("rid").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
-    rows = rows.join(begun, "rid", "left").withColumn("found", F.coalesce("same", "begun"))
+    rows = df.withColumn("low", F.lower(F.trim("player"))).join(direct, ["session_id", "from_user_id"], "left").join(named, ["session_id", "low"], "left")
+    # The cut-name arm is an equi-join on the session with the beginning as its condition, for those names only, each once.
+    rows = rows.withColumn("stem", F.when(F.col("same").isNull() & F.col("low").endswith("..."), F.expr("substring(low, 1, length(low) - 3)")))
+    cut = rows.filter("stem IS NOT NULL").select("session_id", "stem").distinct()
+    begun = cut.join(named.select("session_id", F.col("low").alias("full"), F.col("same").alias("some")), "session_id").filter("startswith(full, stem)").groupBy("session_id", "stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
+    rows = rows.join(begun, ["session_id", "stem"], "left").withColumn("found", F.coalesce("same", "begun"))
     known = F.col("d64").isNotNull() | F.col("did").isNotNull()
     # Identities, not names, tell whether it is one.
     ids = F.array_distinct(F.transform("found", lambda x: F.coalesce(x["id64"], x["clean_id"])))
     one = F.when(F.size(ids) == 1, F.get("found", F.lit(0)))
-    return rows.withColumns({"id64": F.when(known, F.col("d64")).otherwise(one["id64"]), "clean_id": F.when(known, F.col("did")).otherwise(one["clean_id"]), "candidates": F.when(~known & (F.size(ids) > 1), serialize_candidates(F.col("found")))}).drop("rid", "low", "d64", "did", "same", "begun", "found")
+    return rows.withColumns({"id64": F.when(known, F.col("d64")).otherwise(one["id64"]), "clean_id": F.when(known, F.col("did")).otherwise(one["clean_id"]), "candidates": F.when(~known & (F.size(ids) > 1), serialize_candidates(F.col("found")))}).drop("stem", "low", "d64", "did", "same", "begun", "found")
 
 
 def extract_records(chats: DataFrame, sessions: DataFrame, index: DataFrame, users: DataFrame, prefix: str = PREFIX, only_map: str | None = None) -> DataFrame:
@@ -199,9 +246,9 @@ def fold_changes(m: DataFrame, group_cols: list[str], include_all: bool = False)
     return m.join(kept, [*keys, "ord"], "left_semi").drop("low", "anchor", "g")
 
 
-def attribute_observed(kept: DataFrame, all_rows: DataFrame) -> DataFrame:
-    """Observed rows take their holder from the best other row of the same map, class, segment and time."""
-    keys = ["map", "class", "seg", "cs"]
+def attribute_observed(kept: DataFrame, all_rows: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Observed rows take their holder from the best other row of the same map, class, segment and time (and the extra columns)."""
+    keys = [*(extra or []), "map", "class", "seg", "cs"]
     rank = F.when(~F.col("is_lookup") & ~F.col("inferred"), 0).when(~F.col("is_lookup"), 1).when(~F.col("inferred"), 2).otherwise(3)
     named = all_rows.filter("kind <> 'observed' AND trim(player) <> ''")
     best = named.groupBy(*keys).agg(F.min_by(F.struct("player", "id64", "clean_id", "candidates"), F.struct(rank.alias("r"), F.coalesce("id64", "clean_id").isNull().alias("n"), F.col("session_id").isNull().alias("s"), "session_id", "chat_index")).alias("h"))
@@ -213,9 +260,9 @@ def attribute_observed(kept: DataFrame, all_rows: DataFrame) -> DataFrame:
     return both.withColumns(put).withColumn("how", F.when(o, "wr_split").otherwise(F.col("how"))).drop("h")
 
 
-def dedupe_days(h: DataFrame) -> DataFrame:
-    """One row for each map, class, type, segment, day and time: the best one, at the earliest one's place."""
-    keys = ["map", "class", "record_type", "seg", F.floor(F.col("date") / 86400), "cs"]
+def dedupe_days(h: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """One row for each map, class, type, segment, day and time (and the extra columns): the best one, at the earliest one's place."""
+    keys = [*(extra or []), "map", "class", "record_type", "seg", F.floor(F.col("date") / 86400), "cs"]
     rank = F.when(F.col("kind") == "record", 0).when(F.col("kind") == "announcement", 1).when(F.col("kind") == "command", 2).otherwise(3)
     quality = [rank, F.lower("player") == "unknown", F.coalesce("id64", "clean_id").isNull(), F.col("candidates").isNull(), F.col("session_id").isNull(), F.col("session_id"), F.col("chat_index")]
     w = Window.partitionBy(*keys)
@@ -226,7 +273,8 @@ def record_history(records: DataFrame, group_cols: list[str] | None = None, incl
     group_cols = group_cols if group_cols is not None else ["map", "class"]
     m = marked(records)
     kept = fold_changes(suppress_duplicates(m, group_cols), group_cols, include_all)
-    return dedupe_days(attribute_observed(kept, m))
+    extra = [c for c in group_cols if c not in ("map", "class")]
+    return dedupe_days(attribute_observed(kept, m, extra), extra)
 
 
 def export_history(h: DataFrame) -> DataFrame:
@@ -244,14 +292,33 @@ def audit_records(records: DataFrame) -> DataFrame:
     return faster_than_record(records).withColumn("line", audit_text(F.col("text"))).select("session_id", "chat_index", "map", "class", "seg", "kind", "cs", "best", "line")
 
 
-def map_runs(records: DataFrame, player_id: str | None = None, only_map: str | None = None) -> DataFrame:
-    """Runs of a player, resolved to that identity, in order of date and session."""
-    r = records.filter("source = 'MapRun' AND (id64 IS NOT NULL OR clean_id IS NOT NULL)")
-    if player_id:
-        r = r.filter((F.col("id64") == player_id) | (F.col("clean_id") == player_id))
-    if only_map:
-        r = r.filter(map_family(F.col("map"), only_map))
-    return r.select("date", "session_id", "map", "class", "player", "id64", "record_time", "run_time", "split").orderBy("date", "session_id")
+def map_runs(chats: DataFrame, sessions: DataFrame, index: DataFrame, users: DataFrame, player: str | None = None, only_map: str | None = None, class_: str | None = None, include_record: bool = False, prefix: str = PREFIX) -> DataFrame:
+    """Runs labelled PR (with include_record: WR too) of a player, or of all whose identity is known, in order of date and session."""
+    s = sessions.select("session_id", "map")
+    s = s.filter(map_family_like(F.col("map"), only_map)) if only_map else s
+    told = chats.filter(likely_run(F.col("text"), prefix)).select("session_id", F.col("index").alias("chat_index"), "from_user_id", "text").join(s, "session_id")
+    runs = told.select("session_id", "chat_index", "from_user_id", parsed(parse_run(F.col("text"), F.col("map"), prefix)).alias("e")).select("*", "e.*").drop("e")
+    runs = runs.filter(F.col("label").isin(["PR", "WR"] if include_record else ["PR"]))
+    runs = runs.filter(class_matches(F.col("class"), class_)) if class_ else runs
+    known = resolve_identity(runs.join(index.select(F.col("id").alias("session_id"), "date"), "session_id", "left"), users).filter("id64 IS NOT NULL OR trim(clean_id) <> ''")
+    if player:
+        by_id = F.lower("clean_id") == player.lower()
+        known = known.filter(F.when(F.col("id64").isNotNull(), F.col("id64") == player).otherwise(by_id) if player.isdigit() else by_id)
+    return known.select("date", "session_id", "chat_index", "map", "class", "label", "run_time", "split", "improvement", F.coalesce("id64", "clean_id").alias("player_id")).orderBy("date", "session_id", "chat_index")
+
+
+def player_records(records: DataFrame, users: DataFrame) -> DataFrame:
+    """Records by those who hold them: adds player_key where the record's name is one of the player's names in that session, or its beginning.
+
+    users: session_id, player_key, name.
+    """
+    names = users.filter("trim(name) <> ''").groupBy("session_id", "player_key").agg(F.collect_set("name").alias("names"))
+    return records.join(names, "session_id").filter(name_matches(F.col("player"), F.col("names"))).drop("names")
+
+
+def include_counts(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """How many rows include() leaves out for each reason, and how many stay with both."""
+    return records.groupBy(*(keys or [])).agg(F.count("*").alias("n"), F.count_if("inferred").alias("n_inferred"), F.count_if("is_lookup").alias("n_lookup"), F.count_if(~F.col("inferred") & ~F.col("is_lookup")).alias("n_plain"))
 
 
 def include(records: DataFrame, inferred: bool = True, lookups: bool = True) -> DataFrame:

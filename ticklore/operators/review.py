@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklore.functions.scalars import calendar_keys, player_key
+from ticklore.functions.scalars import calendar_keys, message_body, player_key
 from ticklore.operators.chat import bigram_counts, by_each, chat_counts, chat_neighbours, message_style, peaks, word_counts
 from ticklore.operators.filters import in_year
 from ticklore.operators.joins import chats_of, with_session
-from ticklore.operators.playtime import top_n
-from ticklore.operators.records import include, record_history
+from ticklore.operators.playtime import map_playtime, top_n
+from ticklore.operators.records import include, include_counts, player_records, record_history
+from ticklore.operators.sentiment import extreme_messages, sentiment, sentiment_overall, superlatives
 
 
 def archive_stats(index: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
@@ -61,22 +62,58 @@ def friend_lists(f: DataFrame, n: int = 10) -> dict[str, DataFrame]:
     return {k: top_n(f, ["player_key"], v, n) for k, v in order.items()}
 
 
+def message_span(chats: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """The first and the last date with a message."""
+    dated = chats.join(index.select(F.col("id").alias("session_id"), "date"), "session_id")
+    return dated.groupBy(*keys).agg(F.min("date").alias("first_message"), F.max("date").alias("last_message"))
+
+
+def counts_sheet(users: DataFrame, chats: DataFrame, per_session: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Of each player: sessions, those with time alive, messages, and maps and servers played on."""
+    seen = users.groupBy("player_key").agg(F.count_distinct("session_id").alias("sessions"))
+    said = chats.groupBy("player_key").agg(F.count("*").alias("messages"))
+    played = per_session.groupBy("session_id", "player_key").agg(F.sum(F.col("soldier") + F.col("demoman")).alias("t")).filter("t > 0")
+    where = played.join(sessions.select("session_id", "map", "server"), "session_id", "left")
+    time = where.groupBy("player_key").agg(F.count("*").alias("sessions_with_time"), F.count_distinct("map").alias("maps"), F.count_distinct("server").alias("servers"))
+    both = seen.join(said, "player_key", "left").join(time, "player_key", "left")
+    return both.select("player_key", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("sessions", "sessions_with_time", "messages", "maps", "servers")])
+
+
+def top_words(chats: DataFrame, n: int) -> DataFrame:
+    return top_n(word_counts(chats, by=["player_key"]), ["player_key"], [F.desc("n"), "word"], n)
+
+
+def top_phrases(chats: DataFrame, n: int) -> DataFrame:
+    return top_n(bigram_counts(chats, by=["player_key"]), ["player_key"], [F.desc("n"), "phrase"], n)
+
+
 def year_review(tables: dict[str, DataFrame], year: int, n: int = 10) -> dict[str, DataFrame]:
-    """tables: chats, users, sessions, index, and if there are any per_session and records. Every player at once."""
+    """A DataFrame for each part of the review, with every player in it at once.
+
+    tables: chats, users, sessions, index; with per_session the parts on time, with records (as extract_records() gives them)
+    those on records, with lexicon those on sentiment.
+    """
     index = tables["index"].filter(in_year(F.col("date"), year))
     own = index.select(F.col("id").alias("session_id"))
-    chats = chats_of(tables["chats"].join(own, "session_id", "left_semi"), tables["users"])
-    users = tables["users"].join(own, "session_id", "left_semi")
-    counts = chat_counts(chats, tables["sessions"], index, ["player_key"])
-    f = friends(tables["chats"].join(own, "session_id", "left_semi"), users, tables.get("per_session"))
+    here = {k: tables[k].join(own, "session_id", "left_semi") for k in ("chats", "users", "per_session", "records") if k in tables}
+    chats, sessions = chats_of(here["chats"], here["users"]).withColumn("body", message_body(F.col("text"))), tables["sessions"]
+    named = here["users"].withColumn("player_key", player_key(F.col("id64"), F.col("clean_id"))).filter("player_key IS NOT NULL")
+    counts = chat_counts(chats, sessions, index, ["player_key"])
+    f = friends(here["chats"], here["users"], here.get("per_session"))
     out = {
+        "activity": activity(named, index), "messages": message_span(chats, index, ["player_key"]),
         "chat_counts": counts, "chat_peaks": peaks(counts, ["player_key"]), "style": message_style(chats, ["player_key"]),
-        "top_words": top_n(word_counts(chats), [], [F.desc("n"), "word"], n), "top_phrases": top_n(bigram_counts(chats), [], [F.desc("n"), "phrase"], n),
+        "top_words": top_words(chats.withColumn("text", F.col("body")), n), "top_phrases": top_phrases(chats.withColumn("text", F.col("body")), n),
         **{f"friends_{k}": v for k, v in friend_lists(f, n).items()},
     }
     if "per_session" in tables:
-        p = playtime_counts(tables["per_session"], tables["sessions"], index, ["player_key"])
-        out |= {"playtime_counts": p, "playtime_peaks": peaks(p, ["player_key"])}
+        p = playtime_counts(here["per_session"], sessions, index, ["player_key"])
+        out |= {"counts": counts_sheet(named, chats, here["per_session"], sessions), "playtime_counts": p, "playtime_peaks": peaks(p, ["player_key"]), "playtime_top": top_n(p, ["player_key", "grouping"], [F.desc("value"), "key"], n)}
+        out["class"] = favourite_class(map_playtime(here["per_session"], sessions))
     if "records" in tables:
-        out["records"] = include(record_history(tables["records"].filter(in_year(F.col("date"), year))))
+        h = record_history(player_records(here["records"], named), ["player_key", "map", "class"])
+        out |= {"records": include(h), "record_counts": include_counts(h, ["player_key"])}
+    if "lexicon" in tables:
+        scored = sentiment(chats, "body", tables["lexicon"], ["session_id", "index"]).join(index.select(F.col("id").alias("session_id"), "date"), "session_id")
+        out |= {"sentiment": sentiment_overall(scored, ["player_key"]), "extremes": extreme_messages(scored, ["player_key"]), "superlatives": superlatives(scored, ["player_key"])}
     return out

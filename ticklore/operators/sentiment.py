@@ -2,31 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklore.functions.scalars import epoch_timestamp
+from ticklore.functions.scalars import count_char, epoch_timestamp, tokens
+from ticklore.operators.chat import LAUGHTER
 from ticklore.operators.playtime import common_name
 
+# Negations, boosters and constants of the published rules.
 NEGATIONS = ["not", "no", "never", "none", "nor", "cannot", "cant", "can't", "dont", "don't", "isnt", "isn't", "wont", "won't", "without"]
 BOOSTERS = {"very": 0.293, "really": 0.293, "so": 0.293, "extremely": 0.293, "totally": 0.293, "slightly": -0.293, "somewhat": -0.293, "barely": -0.293, "kinda": -0.293}
-NEGATED, ALPHA = -0.74, 15.0
+NEGATED, CAPITALS, EXCLAIMED, ALPHA = -0.74, 0.733, 0.292, 15.0
 DAMPING = [1.0, 0.95, 0.9]
 
 
-def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, keys: list[str]) -> DataFrame:
-    """keys identify a row. Adds compound (-1 to 1): the summed valence s as s / sqrt(s^2 + 15); boosters and negations of the three words before count."""
-    told = df.select(*keys, F.posexplode(F.regexp_extract_all(F.lower(text_col), F.lit("[a-z0-9']+"), F.lit(0))).alias("pos", "token"))
-    w = Window.partitionBy(*keys).orderBy("pos")
+def _shouts(x: Column) -> Column:
+    return (x == F.upper(x)) & (x != F.lower(x))
+
+
+def _seen(low: Column, words: Column, mixed: Column, but: Column) -> Column:
+    """Of an array of words: struct(token, shift, neg, caps, part) of each. All looks are at places of the array, so rows stay whole."""
     boost = F.create_map(*[F.lit(x) for kv in BOOSTERS.items() for x in kv])
-    marked = told.withColumn("b", F.coalesce(F.get(F.map_values(F.map_filter(boost, lambda k, v: k == F.col("token"))), F.lit(0)), F.lit(0.0))).withColumn("neg", F.col("token").isin(NEGATIONS).cast("int"))
-    for i in (1, 2, 3):
-        marked = marked.withColumn(f"b{i}", F.coalesce(F.lag("b", i).over(w), F.lit(0.0))).withColumn(f"n{i}", F.coalesce(F.lag("neg", i).over(w), F.lit(0)))
-    hit = marked.join(lexicon.select("token", "valence"), "token")
-    shift = sum((F.col(f"b{i}") * d for i, d in zip((1, 2, 3), DAMPING)), F.lit(0.0))
-    value = (F.col("valence") + F.signum("valence") * shift) * F.when(F.col("n1") + F.col("n2") + F.col("n3") > 0, NEGATED).otherwise(1.0)
+
+    def one(x, i):
+        before = [F.get(low, i - j) for j in (1, 2, 3)]
+        shift = sum((F.coalesce(F.try_element_at(boost, w), F.lit(0.0)) * d for w, d in zip(before, DAMPING)), F.lit(0.0))
+        neg = F.lit(False)
+        for w in before:
+            neg = neg | F.coalesce(w.isin(NEGATIONS), F.lit(False))
+        part = F.when((but < 0) | (i == but), 1.0).when(i < but, 0.5).otherwise(1.5)
+        return F.struct(F.lower(x).alias("token"), shift.alias("shift"), neg.alias("neg"), (mixed & _shouts(x)).alias("caps"), part.alias("part"))
+
+    return F.transform(words, one)
+
+
+def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+    """keys identify a row. Adds compound (-1 to 1): the summed valence s as s / sqrt(s^2 + 15).
+
+    Boosters and negations of the three words before count, as do words in capitals among others, what stands before or after the first
+    "but" (by 0.5 and 1.5), exclamation marks (up to four) and question marks. Idioms and emoji are left to the lexicon.
+    """
+    # Columns of their own: looked at from each place, evaluated once a row.
+    told = df.select(*keys, F.regexp_extract_all(text_col, F.lit("[A-Za-z0-9']+"), F.lit(0)).alias("words")).withColumn("low", F.transform("words", F.lower))
+    quiet = F.exists("words", lambda x: ~_shouts(x) & (F.upper(x) != F.lower(x)))
+    told = told.withColumn("mixed", F.exists("words", _shouts) & quiet).withColumn("but", F.array_position("low", "but") - 1)
+    told = told.select(*keys, F.explode(_seen(F.col("low"), F.col("words"), F.col("mixed"), F.col("but"))).alias("w")).select(*keys, "w.*")
+    hit = told.join(lexicon.select("token", "valence"), "token")
+    sign = F.signum("valence")
+    value = (F.col("valence") + sign * (F.col("shift") + F.when(F.col("caps"), CAPITALS).otherwise(0.0))) * F.when(F.col("neg"), NEGATED).otherwise(1.0) * F.col("part")
     s = hit.withColumn("value", value).groupBy(*keys).agg(F.sum(F.col("value").cast("decimal(18,6)")).cast("double").alias("s"))
-    return df.join(s, keys, "left").withColumn("compound", F.coalesce(F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4), F.lit(0.0))).drop("s")
+    loud, asks = count_char(F.col(text_col), "!"), count_char(F.col(text_col), "?")
+    marks = F.least(loud, F.lit(4)) * EXCLAIMED + F.when(asks > 3, 0.96).when(asks > 1, asks * 0.18).otherwise(0.0)
+    total = F.col("s") + F.signum("s") * marks
+    return df.join(s, keys, "left").withColumn("s", F.coalesce(total, F.lit(0.0))).withColumn("compound", F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4)).drop("s")
 
 
 def user_sentiment(scored: DataFrame) -> DataFrame:
@@ -56,3 +84,24 @@ def extreme_messages(scored: DataFrame, keys: list[str], n: int = 5) -> DataFram
     tail = [F.desc(F.length("text")), "session_id", "index"]
     up, down = (F.row_number().over(Window.partitionBy(*keys).orderBy(o, *tail)) for o in (F.desc("compound"), F.asc("compound")))
     return scored.withColumn("up", up).withColumn("down", down).filter((F.col("up") <= n) | (F.col("down") <= n))
+
+
+def sentiment_overall(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """Mean and number for each key, over all months (null month) and by month."""
+    month = F.date_format(epoch_timestamp(F.col("date")), "yyyy-MM")
+    c = F.col("compound").cast("decimal(10,4)")
+    both = scored.select(*keys, month.alias("month"), c.alias("c"))
+    grouped = both.groupingSets([[*[F.col(k) for k in keys], F.col("month")], [F.col(k) for k in keys]], *[F.col(k) for k in keys], F.col("month"))
+    return grouped.agg(F.round(F.avg("c"), 6).cast("double").alias("mean"), F.count("*").alias("n"))
+
+
+def superlatives(scored: DataFrame, keys: list[str]) -> DataFrame:
+    """funniest: of the most positive message with laughter (without any, the most positive); rudest: the most negative. The first wins ties.
+
+    Each as struct(session_id, index, compound); scored has `body`.
+    """
+    laughs = F.arrays_overlap(tokens(F.col("body")), F.array(*[F.lit(w) for w in LAUGHTER]))
+    told = F.struct("session_id", "index", "compound")
+    first = F.struct("date", "session_id", "index")
+    up = scored.withColumn("laughs", laughs).withColumn("told", told).withColumn("up", F.struct((~laughs).alias("l"), (-F.col("compound")).alias("c"), first.alias("f"))).withColumn("low", F.struct(F.col("compound").alias("c"), first.alias("f")))
+    return up.groupBy(*keys).agg(F.min_by("told", "up").alias("funniest"), F.min_by("told", "low").alias("rudest"))

@@ -4,112 +4,92 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticklore.operators import chat, intervals, joins, playtime, records, review, sentiment
-from ticklore.functions import scalars
+from ticklore.operators import chat, intervals, joins, playtime, records, review
+from ticklore.plans import landing_queries, review_queries
+from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_session_of, records_of, watching_of
+from ticklore.plans.sql import COUNTS, CV, EV, MG, PER, REC, SAID, SIX, STOP, TOK, days, fold
 from ticklore.sources import adapters as ad
-from ticklore.sources import ingest, schemas
-
-
-def _conv(spark, d):
-    c = ad.table(spark, d, "conversations")
-    return ad.chat_lines(c), ad.chat_users(c), ad.chat_sessions(c), ad.chat_index(c)
-
-
-def _events(spark, d):
-    return ad.EventTables(ad.table(spark, d, "events"))
-
-
-def _alive(t):
-    e = intervals.player_events(t.spawns, t.deaths, t.changes)
-    return intervals.alive_intervals(e, intervals.session_ends(t.sessions, e, ["user_id"]))
-
-
-def _watching(t):
-    own = t.spawns.select("session_id", "user_id", "tick").unionByName(t.changes.select("session_id", "user_id", "tick"))
-    return intervals.spectator_intervals(t.changes, t.spawns, intervals.session_ends(t.sessions, own, ["user_id"]))
-
-
-def _per_session(t):
-    return playtime.session_playtime(_alive(t), t.users.join(t.sessions.select("session_id", "interval_per_tick"), "session_id"))
+from ticklore.sources import ingest
 
 
 def alive(spark, d):
-    return _alive(_events(spark, d)).select("session_id", "user_id", "class", "start_tick", "end_tick")
+    return alive_of(event_tables(spark, d)).select("session_id", "user_id", "class", "start_tick", "end_tick")
 
 
 def watching(spark, d):
-    return _watching(_events(spark, d)).select("session_id", "user_id", "start_tick", "end_tick")
+    return watching_of(event_tables(spark, d)).select("session_id", "user_id", "start_tick", "end_tick")
 
 
 def map_playtime(spark, d):
-    t = _events(spark, d)
-    return playtime.map_playtime(_per_session(t), t.sessions)
+    t = event_tables(spark, d)
+    return playtime.map_playtime(per_session_of(t), t.sessions)
 
 
 def map_spectating(spark, d):
-    t = _events(spark, d)
-    return playtime.map_spectating(_watching(t), t.users, t.sessions)
+    t = event_tables(spark, d)
+    return playtime.map_spectating(watching_of(t), t.users, t.sessions)
 
 
 def merged(spark, d):
-    t = _events(spark, d)
-    return intervals.merge_intervals(_alive(t).join(t.users, ["session_id", "user_id"]), ["session_id", "player_key"])
+    t = event_tables(spark, d)
+    return intervals.merge_intervals(alive_of(t).join(t.users, ["session_id", "user_id"]), ["session_id", "player_key"])
 
 
 def peers(spark, d):
-    t = _events(spark, d)
-    return playtime.spectator_peers(_alive(t), _watching(t), t.users)
+    t = event_tables(spark, d)
+    return playtime.spectator_peers(alive_of(t), watching_of(t), t.users)
 
 
 def playtime_counts(spark, d):
-    t = _events(spark, d)
-    return review.playtime_counts(_per_session(t), t.sessions, t.index())
+    t = event_tables(spark, d)
+    return review.playtime_counts(per_session_of(t), t.sessions, t.index())
 
 
 def keyword_rank(spark, d):
-    chats, users, _, _ = _conv(spark, d)
+    chats, users, _, _ = chat_tables(spark, d)
     return chat.keyword_rank(chats, users, ["the", "onth"])
 
 
 def speakers(spark, d):
-    chats, users, _, _ = _conv(spark, d)
+    chats, users, _, _ = chat_tables(spark, d)
     return joins.resolve_speakers(chats, users).withColumn("candidates", F.array_join("candidates", ","))
 
 
 def stats(spark, d):
-    return review.archive_stats(_conv(spark, d)[3])
+    _, _, sessions, index = chat_tables(spark, d)
+    return review.archive_stats(index, sessions)
 
 
 def maps(spark, d):
-    return review.map_names(_conv(spark, d)[2])
+    return review.map_names(chat_tables(spark, d)[2])
 
 
 def pending(spark, d):
-    return ingest.pending(_conv(spark, d)[3], include_failed=True)
+    return ingest.pending(chat_tables(spark, d)[3], include_failed=True)
 
 
 def repaired(spark, d):
-    _, _, sessions, index = _conv(spark, d)
+    _, _, sessions, index = chat_tables(spark, d)
     return joins.repair_flags(index, sessions)
 
 
 def search(spark, d):
-    chats, _, sessions, index = _conv(spark, d)
+    chats, _, sessions, index = chat_tables(spark, d)
     return chat.search_messages(chats, sessions, index, "onth")
 
 
 def map_chat(spark, d):
-    chats, _, sessions, _ = _conv(spark, d)
+    chats, _, sessions, _ = chat_tables(spark, d)
     return chat.export_map_chat(chats, sessions, "map_3")
 
 
 def mention_context(spark, d):
-    chats, users, _, _ = _conv(spark, d)
+    chats, users, _, _ = chat_tables(spark, d)
     return chat.export_mentions(chats, users, "tion", 1)
 
 
 def chat_counts(spark, d):
-    chats, _, sessions, index = _conv(spark, d)
+    chats, _, sessions, index = chat_tables(spark, d)
     return chat.chat_counts(chats, sessions, index)
 
 
@@ -118,7 +98,7 @@ def chat_peaks(spark, d):
 
 
 def style(spark, d):
-    return chat.message_style(_conv(spark, d)[0])
+    return chat.message_style(chat_tables(spark, d)[0])
 
 
 def words(spark, d):
@@ -130,67 +110,35 @@ def bigrams(spark, d):
 
 
 def neighbours(spark, d):
-    chats, users, _, _ = _conv(spark, d)
+    chats, users, _, _ = chat_tables(spark, d)
     return chat.chat_neighbours(chats, users)
 
 
-def friends(spark, d):
-    chats, users, _, _ = _conv(spark, d)
-    return review.friends(chats, users)
-
-
-def lexicon(spark, d):
-    """A table that grows with the texts: the commonest words of the conversations, with a valence from their length."""
-    w = chat.word_counts(ad.table(spark, d, "conversations")).filter("n >= 5")
-    return w.select(F.col("word").alias("token"), ((F.length("word") % 7 - 3) / 2.0).alias("valence")).filter("valence <> 0")
-
-
-def _scored(spark, d):
-    chats, users, _, index = _conv(spark, d)
-    s = sentiment.sentiment(chats.withColumn("body", scalars.message_body(F.col("text"))), "body", lexicon(spark, d), ["session_id", "index"])
-    return joins.chats_with_users(s, users).join(index.select(F.col("id").alias("session_id"), "date"), "session_id")
-
-
-def user_sentiment(spark, d):
-    return sentiment.user_sentiment(_scored(spark, d))
-
-
-def timeline(spark, d):
-    return sentiment.sentiment_timeline(_scored(spark, d))
-
-
-def lowest(spark, d):
-    return sentiment.lowest_messages(_scored(spark, d)).select("session_id", "index", "compound")
-
-
-def _records(spark, d):
-    t = _events(spark, d)
-    lines = t.record_chat().join(t.index().select(F.col("id").alias("session_id"), "date"), "session_id")
-    e = F.coalesce(records.parse_record(F.col("text"), F.col("map")), records.parse_relay(F.col("text")))
-    told = lines.select("session_id", F.col("index").cast("int").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", "date", records.parsed(e).alias("e")).select("*", "e.*").drop("e")
-    none = F.lit(None).cast("string")
-    return told.withColumns({"id64": F.col("from_user_id").cast("string"), "clean_id": none, "candidates": none})
-
-
 def record_rows(spark, d):
-    return _records(spark, d).select("session_id", "chat_index", "player", "class", F.col("map").alias("map_name"), "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
+    return records_of(event_tables(spark, d)).select("session_id", "chat_index", "player", "class", F.col("map").alias("map_name"), "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
 
 
 def record_fold(spark, d):
-    m = records.suppress_duplicates(records.marked(_records(spark, d)), ["map", "class"])
+    m = records.suppress_duplicates(records.marked(records_of(event_tables(spark, d))), ["map", "class"])
     return records.fold_changes(m, ["map", "class"]).select(F.col("map").alias("map_name"), "class", "seg", "chat_index", "cs")
 
 
 def record_history(spark, d):
-    return records.export_history(records.record_history(_records(spark, d))).withColumnRenamed("map", "map_name")
+    return records.export_history(records.record_history(records_of(event_tables(spark, d)))).withColumnRenamed("map", "map_name")
 
 
 def record_audit(spark, d):
-    return records.audit_records(_records(spark, d)).select("session_id", "chat_index", F.col("map").alias("map_name"), "class", "seg", "kind", "cs", "best")
+    return records.audit_records(records_of(event_tables(spark, d))).select("session_id", "chat_index", F.col("map").alias("map_name"), "class", "seg", "kind", "cs", "best", "line")
 
 
 def runs(spark, d):
-    return records.map_runs(_records(spark, d)).withColumnRenamed("map", "map_name").drop("date")
+    t = event_tables(spark, d)
+    return records.map_runs(t.record_chat(), t.sessions, t.index(), t.named_users(), include_record=True).withColumnRenamed("map", "map_name")
+
+
+def personal_runs(spark, d):
+    t = event_tables(spark, d)
+    return records.map_runs(t.record_chat(), t.sessions, t.index(), t.named_users(), only_map="map_3", class_="S").withColumnRenamed("map", "map_name")
 
 
 def index_lines(spark, d):
@@ -200,120 +148,60 @@ def index_lines(spark, d):
     return ingest.ingest_index(o.select(line.alias("value"), F.col("o_orderkey").alias("line_no")), known).select("id", "url", "date")
 
 
-def landed_spawns(spark, d):
-    """Sessions are written as JSON documents, and landed again."""
-    t = _events(spark, d)
-    s = t.spawns.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("index", (F.col("tick") % 1000000).cast("int").alias("tick"), F.col("user_id").alias("user"), "class"))).alias("spawns"))
-    header = F.struct(F.lit("m").alias("map"), F.lit(1).alias("ticks"))
-    docs = s.select("session_id", F.to_json(F.struct(header.alias("header"), F.transform("spawns", lambda x: F.struct(x["user"].alias("user"), x["class"].alias("class"), x["tick"].alias("tick"))).alias("spawns"))).alias("body"))
-    return ingest.land_sessions(docs)["spawns"].select("session_id", "index", "tick", "user_id", "class")
-
-
-def review_words(spark, d):
-    chats, users, sessions, index = _conv(spark, d)
-    return review.year_review({"chats": chats, "users": users, "sessions": sessions, "index": index}, 2024)["chat_peaks"]
-
-
 QUERIES = {
     "alive_intervals": alive, "spectator_intervals": watching, "map_playtime": map_playtime, "map_spectating": map_spectating, "merged_intervals": merged, "spectator_peers": peers,
     "playtime_counts": playtime_counts, "keyword_rank": keyword_rank, "speaker_resolution": speakers, "archive_stats": stats, "map_names": maps, "pending_sessions": pending, "repair_flags": repaired,
     "search_chat": search, "map_chat": map_chat, "mention_context": mention_context, "chat_counts": chat_counts, "chat_peaks": chat_peaks, "message_style": style, "word_counts": words, "bigram_counts": bigrams,
-    "chat_neighbours": neighbours, "friends": friends, "user_sentiment": user_sentiment, "sentiment_timeline": timeline, "lowest_messages": lowest, "record_rows": record_rows, "record_fold": record_fold,
-    "record_history": record_history, "record_audit": record_audit, "map_runs": runs, "ingest_index": index_lines, "landed_spawns": landed_spawns, "year_review_peaks": review_words,
+    "chat_neighbours": neighbours, "record_rows": record_rows, "record_fold": record_fold,
+    "record_history": record_history, "record_audit": record_audit, "map_runs": runs, "personal_runs": personal_runs, "ingest_index": index_lines,
+    **landing_queries.QUERIES, **review_queries.QUERIES,
 }
 
-_EV = """
-e AS (SELECT (us // 86400000000) * 8 + user_id % 8 AS session_id, user_id, event_id AS idx, us % 86400000000 AS tick, event_type, value,
-  '64:' || (user_id % 40) AS player_key FROM (SELECT *, epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01') AS us FROM events)),
-s AS (SELECT DISTINCT session_id, 'map_' || (session_id % 7) AS map, 'srv ' || (session_id % 3) AS server, CASE WHEN session_id % 5 <> 0 THEN 86400000000 END AS ticks FROM e),
-pe AS (SELECT *, CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 1 WHEN 'purchase' THEN 1 ELSE 2 END AS kind FROM e),
-nx AS (SELECT *, lead(tick) OVER (PARTITION BY session_id, user_id ORDER BY tick, kind, idx) AS nt, max(tick) OVER (PARTITION BY session_id, user_id) AS lt FROM pe),
-al AS (SELECT session_id, user_id, player_key, CASE event_type WHEN 'signup' THEN 'soldier' ELSE 'demoman' END AS class, tick AS start_tick, coalesce(nt, ticks, lt) AS end_tick
-  FROM nx JOIN s USING (session_id) WHERE kind = 2 AND coalesce(nt, ticks, lt) > tick),
-sc AS (SELECT *, CASE WHEN event_type = 'view' THEN 0 ELSE 1 END AS k, max(tick) OVER (PARTITION BY session_id, user_id) AS lt FROM e WHERE event_type <> 'error'),
-sl AS (SELECT *, lag(k) OVER w AS pk, min(CASE WHEN k = 1 THEN tick END) OVER (PARTITION BY session_id, user_id ORDER BY tick, k, idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS stop
-  FROM sc WINDOW w AS (PARTITION BY session_id, user_id ORDER BY tick, k, idx)),
-sp AS (SELECT session_id, user_id, player_key, tick AS start_tick, coalesce(stop, ticks, lt) AS end_tick FROM sl JOIN s USING (session_id) WHERE k = 0 AND coalesce(pk, 1) = 1 AND coalesce(stop, ticks, lt) > tick)
-"""
-_MG = """
-{0}f AS (SELECT session_id, player_key, start_tick, end_tick, max(end_tick) OVER (PARTITION BY session_id, player_key ORDER BY start_tick, end_tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM {0}),
-{0}g AS (SELECT *, sum(CASE WHEN far IS NULL OR start_tick > far THEN 1 ELSE 0 END) OVER (PARTITION BY session_id, player_key ORDER BY start_tick, end_tick ROWS UNBOUNDED PRECEDING) AS g FROM {0}f),
-{0}m AS (SELECT session_id, player_key, min(start_tick) AS start_tick, max(end_tick) AS end_tick FROM {0}g GROUP BY session_id, player_key, g)
-"""
-_CV = """
-ix AS (SELECT DISTINCT conv_id AS id, 'http://x/' || conv_id AS url, 1704067200.0::DOUBLE + conv_id * 86400 AS date, conv_id % 5 <> 0 AS processed, conv_id % 10 = 0 AS failed, CASE WHEN conv_id % 10 = 0 THEN 'invalid' END AS failure_reason FROM conversations),
-ss AS (SELECT DISTINCT conv_id AS session_id, 'map_' || (conv_id % 7) AS map, 'srv ' || (conv_id % 3) AS server FROM conversations),
-ch AS (SELECT conv_id AS session_id, turn AS "index", role || ' : ' || text AS text, text AS body, role AS from_name, CASE role WHEN 'user' THEN 1 WHEN 'assistant' THEN 2 ELSE 3 END AS uid FROM conversations),
-us AS (SELECT DISTINCT session_id, uid, from_name AS name, 76561197960265728 + 2 * uid + session_id % 4 AS id64, from_name = 'system' AS is_bot, uid % 2 AS entity FROM ch)
-"""
-_STOP = ", ".join(f"'{w}'" for w in chat.STOP_WORDS)
-_TOK = "list_filter(regexp_extract_all(lower({0}), '[a-z0-9'']+'), lambda x: length(x) >= 2)"
-_COUNTS = """
-cc AS (SELECT c.session_id, map, server, make_timestamp((date * 1000000)::BIGINT) AS t FROM ch c JOIN ss USING (session_id) JOIN ix ON id = c.session_id),
-ct AS (SELECT grouping, key, count(*) AS value FROM (
-  SELECT 'map' AS grouping, map AS key FROM cc UNION ALL SELECT 'server', server FROM cc UNION ALL SELECT 'month', strftime(t, '%Y-%m') FROM cc
-  UNION ALL SELECT 'day', strftime(t, '%Y-%m-%d') FROM cc UNION ALL SELECT 'hour', strftime(t, '%H') FROM cc UNION ALL SELECT 'weekday', strftime(t, '%A') FROM cc) GROUP BY ALL)
-"""
-_REC = """
-r AS (SELECT session_id, idx AS chat_index, user_id, cs, idx % 12 AS k, 'user_' || user_id AS player, CASE WHEN user_id % 2 = 0 THEN 'Solly' ELSE 'Demo' END AS class, 'map_' || (user_id % 5) AS map_name,
-  1704067200.0::DOUBLE + (session_id // 8) * 86400 AS date,
-  CASE WHEN cs >= 360000 THEN (cs // 360000) || ':' ELSE '' END || lpad(((cs // 6000) % 60)::VARCHAR, 2, '0') || ':' || lpad(((cs // 100) % 60)::VARCHAR, 2, '0') || '.' || lpad((cs % 100)::VARCHAR, 2, '0') AS tm
-  FROM (SELECT *, round(value * 100)::INT + 1 AS cs FROM e)),
-rr AS (SELECT *, CASE k WHEN 0 THEN 'MapRecord' WHEN 1 THEN 'MapRecord' WHEN 2 THEN 'FirstRecord' WHEN 3 THEN 'Bonus 1' WHEN 4 THEN 'Bonus 1 First' WHEN 5 THEN 'Course 2' WHEN 6 THEN 'C2 - Jump One' WHEN 7 THEN 'MapRun'
-  WHEN 9 THEN 'IRCSet' WHEN 10 THEN 'Ranked' WHEN 11 THEN 'Compact' END AS source, k = 10 AS inferred, k >= 10 AS is_lookup,
-  CASE WHEN k IN (3, 4) THEN 'Bonus 1' WHEN k = 5 THEN 'Course 2' WHEN k = 6 THEN 'C2 - Jump One' ELSE 'Map' END AS seg,
-  CASE WHEN k >= 10 THEN 'command' WHEN k = 9 THEN 'announcement' ELSE 'record' END AS kind,
-  CASE WHEN k = 10 THEN 100 WHEN k IN (0, 1) THEN 1 WHEN k = 2 THEN 2 WHEN k = 11 THEN 3 WHEN k = 9 THEN 4 WHEN k = 7 THEN 5 ELSE 50 END AS p FROM r WHERE k <> 8)
-"""
 ORACLES = {
-    "alive_intervals": f"WITH {_EV} SELECT session_id, user_id, class, start_tick, end_tick FROM al",
-    "spectator_intervals": f"WITH {_EV} SELECT session_id, user_id, start_tick, end_tick FROM sp",
-    "map_playtime": f"""WITH {_EV}, v AS (SELECT DISTINCT session_id, user_id, player_key FROM e), t AS (SELECT session_id, user_id, sum(CASE WHEN class = 'soldier' THEN end_tick - start_tick ELSE 0 END) AS so, sum(CASE WHEN class = 'demoman' THEN end_tick - start_tick ELSE 0 END) AS de FROM al GROUP BY ALL),
-      q AS (SELECT session_id, player_key, sum(coalesce(so, 0)) AS so, sum(coalesce(de, 0)) AS de FROM v LEFT JOIN t USING (session_id, user_id) GROUP BY ALL)
+    "alive_intervals": f"WITH {EV} SELECT session_id, user_id, class, start_tick, end_tick FROM al",
+    "spectator_intervals": f"WITH {EV} SELECT session_id, user_id, start_tick, end_tick FROM sp",
+    "map_playtime": f"""WITH {EV}, {PER}
       SELECT player_key, map, round(sum(so)::BIGINT * 1e-6, 6) AS soldier_seconds, round(sum(de)::BIGINT * 1e-6, 6) AS demoman_seconds, round(sum(so + de)::BIGINT * 1e-6, 6) AS total_seconds, count(*) FILTER (so + de > 0) AS sessions FROM q JOIN s USING (session_id) GROUP BY ALL""",
-    "map_spectating": f"WITH {_EV} SELECT player_key, map, round(sum(end_tick - start_tick)::BIGINT * 1e-6, 6) AS seconds, count(DISTINCT session_id) AS sessions FROM sp JOIN s USING (session_id) GROUP BY ALL",
-    "merged_intervals": f"WITH {_EV}, {_MG.format('al')} SELECT * FROM alm",
-    "spectator_peers": f"""WITH {_EV}, {_MG.format('al')}, {_MG.format('sp')},
+    "map_spectating": f"WITH {EV} SELECT player_key, map, round(sum(end_tick - start_tick)::BIGINT * 1e-6, 6) AS seconds, count(DISTINCT session_id) AS sessions FROM sp JOIN s USING (session_id) GROUP BY ALL",
+    "merged_intervals": f"WITH {EV}, {MG.format('al')} SELECT * FROM alm",
+    "spectator_peers": f"""WITH {EV}, {MG.format('al')}, {MG.format('sp')},
       o AS (SELECT session_id, a.player_key AS p, b.player_key AS q, sum(least(a.end_tick, b.end_tick) - greatest(a.start_tick, b.start_tick)) AS t FROM alm a JOIN spm b USING (session_id)
         WHERE a.player_key <> b.player_key AND a.start_tick < b.end_tick AND b.start_tick < a.end_tick GROUP BY ALL),
       u AS (SELECT p AS player_key, q AS peer_key, t AS a, 0 AS b FROM o UNION ALL SELECT q, p, 0, t FROM o)
       SELECT player_key, peer_key, round(sum(a)::BIGINT * 1e-6, 6) AS watched_by_seconds, count(*) FILTER (a > 0) AS watched_by_sessions, round(sum(b)::BIGINT * 1e-6, 6) AS watching_seconds, count(*) FILTER (b > 0) AS watching_sessions FROM u GROUP BY ALL""",
-    "keyword_rank": f"WITH {_CV} SELECT id64, NULL::VARCHAR AS id, name, count(*) AS n FROM ch JOIN us USING (session_id, uid) WHERE text ILIKE '%the%' OR text ILIKE '%onth%' GROUP BY ALL",
-    "speaker_resolution": f"""WITH {_CV} SELECT c.session_id, c."index", count(u.uid) AS candidate_count, coalesce(string_agg(u.uid::VARCHAR, ',' ORDER BY u.uid), '') AS candidates, CASE WHEN count(u.uid) = 1 THEN max(u.uid) END AS resolved_user_id
+    "playtime_counts": f"""WITH {EV}, {PER}, w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM q JOIN s USING (session_id) WHERE so + de > 0)
+      SELECT grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL""",
+    "keyword_rank": f"WITH {CV} SELECT id64, NULL::VARCHAR AS id, name, count(*) AS n FROM ch JOIN us USING (session_id, uid) WHERE text ILIKE '%the%' OR text ILIKE '%onth%' GROUP BY ALL",
+    "speaker_resolution": f"""WITH {CV} SELECT c.session_id, c."index", count(u.uid) AS candidate_count, coalesce(string_agg(u.uid::VARCHAR, ',' ORDER BY u.uid), '') AS candidates, CASE WHEN count(u.uid) = 1 THEN max(u.uid) END AS resolved_user_id
       FROM ch c LEFT JOIN us u ON c.session_id = u.session_id AND c.uid % 2 = u.entity GROUP BY c.session_id, c."index" """,
-    "archive_stats": f"WITH {_CV} SELECT count(*) FILTER (processed) AS processed, count(*) FILTER (failed) AS failed, count(*) FILTER (NOT processed AND NOT failed) AS neither, count(*) AS total FROM ix",
-    "map_names": f"WITH {_CV} SELECT DISTINCT map FROM ss",
-    "pending_sessions": f"WITH {_CV} SELECT * FROM ix WHERE NOT processed",
-    "repair_flags": f"WITH {_CV} SELECT id, url, date, true AS processed, failed AND processed AS failed, CASE WHEN processed THEN failure_reason END AS failure_reason FROM ix",
-    "search_chat": f"""WITH {_CV} SELECT c.session_id, "index", map, server, date, text FROM ch c JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE text ILIKE '%onth%'""",
-    "map_chat": f"""WITH {_CV} SELECT c.session_id, "index", from_name, text FROM ch c JOIN ss USING (session_id) WHERE map = 'map_3'""",
-    "mention_context": f"""WITH {_CV}, n AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos, regexp_matches(body, '(?i)(^|[^\\p{{L}}\\p{{N}}_])tion(s|[''’]s|s[''’])?([^\\p{{L}}\\p{{N}}_]|$)') AS hit FROM ch),
+    "archive_stats": f"WITH {CV} SELECT count(*) FILTER (processed) AS processed, count(*) FILTER (failed) AS failed, count(*) FILTER (NOT processed AND NOT failed) AS neither, count(*) AS total, (SELECT sum(session_id * 10 + 3) FROM ss)::BIGINT AS download_size, (SELECT sum(session_id * 30 + 7) FROM ss)::BIGINT AS extracted_size FROM ix",
+    "map_names": f"WITH {CV} SELECT DISTINCT map FROM ss",
+    "pending_sessions": f"WITH {CV} SELECT * FROM ix WHERE NOT processed",
+    "repair_flags": f"WITH {CV} SELECT id, url, date, true AS processed, failed AND processed AS failed, CASE WHEN processed THEN failure_reason END AS failure_reason FROM ix",
+    "search_chat": f"""WITH {CV} SELECT c.session_id, "index", map, server, date, text FROM ch c JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE text ILIKE '%onth%'""",
+    "map_chat": f"""WITH {CV} SELECT c.session_id, "index", from_name, text FROM ch c JOIN ss USING (session_id) WHERE map = 'map_3'""",
+    "mention_context": f"""WITH {CV}, n AS (SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos, regexp_matches(body, '(?i)(^|[^\\p{{L}}\\p{{N}}_])tion(s|[''’]s|s[''’])?([^\\p{{L}}\\p{{N}}_]|$)') AS hit FROM ch),
       w AS (SELECT session_id, min(pos) - 1 AS lo, max(pos) + 1 AS hi FROM n WHERE hit GROUP BY 1) SELECT n.session_id, "index", text, hit FROM n JOIN w USING (session_id) WHERE pos BETWEEN lo AND hi""",
-    "chat_counts": f"WITH {_CV}, {_COUNTS} SELECT * FROM ct",
-    "chat_peaks": f"WITH {_CV}, {_COUNTS} SELECT grouping, key, value FROM ct QUALIFY row_number() OVER (PARTITION BY grouping ORDER BY value DESC, key) = 1",
-    "message_style": f"""WITH {_CV}, t AS (SELECT body, {_TOK.format('body')} AS t FROM ch) SELECT count(*) AS messages, round(avg(length(body)), 6) AS mean_length, quantile_cont(length(body), 0.5)::DOUBLE AS median_length,
+    "chat_counts": f"WITH {CV}, {COUNTS} SELECT * FROM ct",
+    "chat_peaks": f"WITH {CV}, {COUNTS} SELECT grouping, key, value FROM ct QUALIFY row_number() OVER (PARTITION BY grouping ORDER BY value DESC, key) = 1",
+    "message_style": f"""WITH {CV}, t AS (SELECT body, {TOK.format('body')} AS t FROM ch) SELECT count(*) AS messages, round(avg(length(body)), 6) AS mean_length, quantile_cont(length(body), 0.5)::DOUBLE AS median_length,
       sum(length(body) - length(replace(body, '!', '')))::BIGINT AS exclamations, sum(length(body) - length(replace(body, '?', '')))::BIGINT AS questions,
       count(*) FILTER (list_has_any(t, ['lol', 'lmao', 'rofl', 'haha'])) AS laughter, count(*) FILTER (list_has_any(t, ['ty', 'thanks', 'thx'])) AS thanks, count(*) FILTER (list_has_any(t, ['sorry', 'sry'])) AS sorry FROM t""",
-    "word_counts": f"SELECT word, count(*) AS n FROM (SELECT unnest({_TOK.format('text')}) AS word FROM documents) WHERE word NOT IN ({_STOP}) GROUP BY 1",
-    "bigram_counts": f"SELECT a || ' ' || b AS phrase, count(*) AS n FROM (SELECT unnest(t[:-2]) AS a, unnest(t[2:]) AS b FROM (SELECT {_TOK.format('text')} AS t FROM documents) WHERE len(t) > 1) WHERE a NOT IN ({_STOP}) AND b NOT IN ({_STOP}) GROUP BY 1",
-    "chat_neighbours": f"""WITH {_CV}, l AS (SELECT session_id, CASE WHEN NOT is_bot THEN '64:' || id64 END AS who, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos FROM ch JOIN us USING (session_id, uid)),
+    "word_counts": f"SELECT word, count(*) AS n FROM (SELECT unnest({TOK.format('text')}) AS word FROM documents) WHERE word NOT IN ({STOP}) GROUP BY 1",
+    "bigram_counts": f"SELECT a || ' ' || b AS phrase, count(*) AS n FROM (SELECT unnest(t[:-2]) AS a, unnest(t[2:]) AS b FROM (SELECT {TOK.format('text')} AS t FROM documents) WHERE len(t) > 1) WHERE a NOT IN ({STOP}) AND b NOT IN ({STOP}) GROUP BY 1",
+    "chat_neighbours": f"""WITH {CV}, l AS (SELECT session_id, CASE WHEN NOT is_bot THEN '64:' || id64 END AS who, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos FROM ch JOIN us USING (session_id, uid)),
       p AS (SELECT DISTINCT a.session_id, a.pos, a.pos > b.pos AS side, a.who AS player_key, b.who AS peer_key FROM l a JOIN l b ON a.session_id = b.session_id AND abs(a.pos - b.pos) BETWEEN 1 AND 3 AND a.who <> b.who) SELECT player_key, peer_key, count(*) AS n FROM p GROUP BY 1, 2""",
-    "friends": f"""WITH {_CV}, u AS (SELECT DISTINCT session_id, '64:' || id64 AS k FROM us WHERE NOT is_bot), n AS (SELECT session_id, '64:' || id64 AS k, count(*) AS c FROM ch JOIN us USING (session_id, uid) GROUP BY 1, 2),
-      l AS (SELECT session_id, CASE WHEN NOT is_bot THEN '64:' || id64 END AS who, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos FROM ch JOIN us USING (session_id, uid)),
-      p AS (SELECT DISTINCT a.session_id, a.pos, a.pos > b.pos AS side, a.who AS x, b.who AS y FROM l a JOIN l b ON a.session_id = b.session_id AND abs(a.pos - b.pos) BETWEEN 1 AND 3 AND a.who <> b.who), r AS (SELECT x, y, count(*) AS n FROM p GROUP BY 1, 2)
-      SELECT a.k AS player_key, b.k AS peer_key, count(*) AS shared_sessions, 0.0::DOUBLE AS shared_seconds, sum(coalesce(c, 0))::BIGINT AS chat_lines, coalesce(any_value(r.n), 0) AS replies
-      FROM u a JOIN u b ON a.session_id = b.session_id AND a.k <> b.k LEFT JOIN n ON n.session_id = b.session_id AND n.k = b.k LEFT JOIN r ON r.x = a.k AND r.y = b.k GROUP BY 1, 2""",
-    "record_rows": f"""WITH {_EV}, {_REC} SELECT session_id, chat_index, player, class, map_name, 'WR' AS record_type, source, tm AS record_time, CASE WHEN k = 7 THEN tm END AS run_time,
+    "record_rows": f"""WITH {EV}, {REC} SELECT session_id, chat_index, player, class, map_name, 'WR' AS record_type, source, tm AS record_time, CASE WHEN k = 7 THEN tm END AS run_time,
       CASE WHEN k IN (0, 3, 6, 7) THEN '-00:00.10' WHEN k = 5 THEN '-00:00.25' END AS split, CASE WHEN k = 3 THEN '00:00.10' END AS improvement, inferred, is_lookup FROM rr""",
-    # The plain fold, row by row: independent of the anchors that the operator splits at.
-    "record_fold": f"""WITH RECURSIVE {_EV}, {_REC}, d AS (SELECT *, max(kind = 'record') OVER (PARTITION BY map_name, class, seg, cs) AS sure FROM rr),
-      o AS (SELECT *, row_number() OVER (PARTITION BY map_name, class, seg ORDER BY date, session_id, chat_index, p, cs) AS n FROM d WHERE kind = 'record' OR NOT sure),
-      f AS (SELECT map_name, class, seg, n, chat_index, cs, cs AS cur, true AS kept FROM o WHERE n = 1
-        UNION ALL SELECT o.map_name, o.class, o.seg, o.n, o.chat_index, o.cs, CASE WHEN (o.cs < f.cur - o.inferred::INT OR (o.cs > f.cur AND NOT o.inferred AND (o.kind = 'record' OR o.source = 'IRCSet'))) THEN o.cs ELSE f.cur END,
-          (o.cs < f.cur - o.inferred::INT OR (o.cs > f.cur AND NOT o.inferred AND (o.kind = 'record' OR o.source = 'IRCSet'))) FROM f JOIN o ON o.map_name = f.map_name AND o.class = f.class AND o.seg = f.seg AND o.n = f.n + 1)
-      SELECT map_name, class, seg, chat_index, cs FROM f WHERE kept""",
-    "record_audit": f"""WITH {_EV}, {_REC}, b AS (SELECT *, min(cs) FILTER (kind = 'record') OVER (PARTITION BY map_name, class, seg) AS best FROM rr) SELECT session_id, chat_index, map_name, class, seg, kind, cs, best FROM b WHERE kind <> 'record' AND cs < best""",
-    "map_runs": f"WITH {_EV}, {_REC} SELECT session_id, map_name, class, player, user_id::VARCHAR AS id64, tm AS record_time, tm AS run_time, '-00:00.10' AS split FROM rr WHERE k = 7",
+    "record_fold": f"WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')} SELECT map_name, class, seg, chat_index, cs FROM f WHERE kept",
+    "record_history": f"""WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')}, {days('map_name, class, seg')}
+      SELECT strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d') AS date, map_name, class, seg AS segment, 'WR' AS record_type, kind AS evidence, {SAID}, player, player_id, NULL::VARCHAR AS candidates, CASE WHEN kind = 'record' THEN session_id END AS session_id FROM hd""",
+    "record_audit": f"""WITH {EV}, {REC}, b AS (SELECT *, min(cs) FILTER (kind = 'record') OVER (PARTITION BY map_name, class, seg) AS best FROM rr) SELECT session_id, chat_index, map_name, class, seg, kind, cs, best, CASE k WHEN 9 THEN ':: (' || long || ') ' || player || ' set ' || map_name || ' WR: ' || tm || '!' WHEN 10 THEN 'SRV | (' || long || ') ' || player || ' is ranked 1/12 on ' || map_name || ' with time: ' || tm
+        ELSE 'SRV | (' || long || ' WR) ' || map_name || ' :: ' || tm || ' :: ' || player END AS line FROM (SELECT *, CASE class WHEN 'Solly' THEN 'Soldier' ELSE 'Demoman' END AS long FROM b) WHERE kind <> 'record' AND cs < best""",
+    "map_runs": f"""WITH {EV}, {REC} SELECT date, session_id, chat_index, 'map_' || (session_id % 7) AS map_name, class, CASE WHEN k0 = 8 AND user_id % 3 = 0 THEN 'PR' ELSE 'WR' END AS label, tm AS run_time, CASE WHEN k0 = 8 THEN '+00:00.10' ELSE '-00:00.10' END AS split,
+      CASE WHEN k0 = 8 AND user_id % 3 = 0 THEN '00:00.05' END AS improvement, player_id FROM (SELECT *, chat_index % 12 AS k0 FROM r) WHERE k0 IN (7, 8)""",
+    "personal_runs": f"""WITH {EV}, {REC} SELECT date, session_id, chat_index, 'map_' || (session_id % 7) AS map_name, class, 'PR' AS label, tm AS run_time, '+00:00.10' AS split, '00:00.05' AS improvement, player_id
+      FROM r WHERE chat_index % 12 = 8 AND user_id % 3 = 0 AND class = 'Solly' AND session_id % 7 = 3""",
     "ingest_index": "SELECT o_orderkey AS id, o_orderpriority AS url, (o_custkey * 10)::DOUBLE AS date FROM orders WHERE o_orderkey % 9 <> 0 AND o_orderkey % 4 <> 0",
-    "landed_spawns": f"WITH {_EV} SELECT session_id, row_number() OVER (PARTITION BY session_id ORDER BY idx) - 1 AS \"index\", tick % 1000000 AS tick, user_id, CASE event_type WHEN 'signup' THEN 'soldier' ELSE 'demoman' END AS class FROM e WHERE event_type IN ('signup', 'click')",
+    **landing_queries.ORACLES, **review_queries.ORACLES,
 }

@@ -21,7 +21,7 @@ def chat_index(c: DataFrame) -> DataFrame:
 
 
 def chat_sessions(c: DataFrame) -> DataFrame:
-    return c.select(F.col("conv_id").alias("session_id")).distinct().select("session_id", F.concat(F.lit("map_"), F.col("session_id") % 7).alias("map"), F.concat(F.lit("srv "), F.col("session_id") % 3).alias("server"), F.lit(None).cast("int").alias("ticks"), F.lit(0.015).alias("interval_per_tick"))
+    return c.select(F.col("conv_id").alias("session_id")).distinct().select("session_id", F.concat(F.lit("map_"), F.col("session_id") % 7).alias("map"), F.concat(F.lit("srv "), F.col("session_id") % 3).alias("server"), F.lit(None).cast("int").alias("ticks"), F.lit(0.015).alias("interval_per_tick"), (F.col("session_id") * 10 + 3).alias("download_size"), (F.col("session_id") * 30 + 7).alias("extracted_size"))
 
 
 def _uid(role):
@@ -55,20 +55,52 @@ class EventTables:
         self.users = e.select("session_id", "user_id").distinct().withColumn("player_key", F.concat(F.lit("64:"), (F.col("user_id") % 40).cast("string")))
 
     def index(self) -> DataFrame:
-        return self.sessions.select(F.col("session_id").alias("id"), (F.lit(1704067200.0) + F.floor(F.col("session_id") / 8) * 86400).alias("date"))
+        return self.sessions.select(F.col("session_id").alias("id"), (F.lit(1704067200.0) + F.floor(F.col("session_id") / 8) * 86400).alias("date"), F.concat(F.lit("http://x/"), "session_id").alias("url"), (F.col("session_id") % 4 == 0).alias("processed"), (F.col("session_id") % 4 == 1).alias("failed"), F.when(F.col("session_id") % 4 == 1, "gone").alias("failure_reason"))
 
     def record_chat(self) -> DataFrame:
         e = self.events.withColumn("cs", F.round(F.col("value") * 100).cast("int") + 1)
-        t, p, u = format_time(F.col("cs")), F.lit(PREFIX), F.concat(F.lit("user_"), "user_id")
-        k = F.when(F.col("user_id") % 2 == 0, "(Soldier) ").otherwise("(Demoman) ")
         m = F.concat(F.lit("map_"), F.col("user_id") % 5)
+        say = PREFIX + "({class}) {user} "
         forms = [
-            (p, k, u, F.lit(" beat the map record: "), t, F.lit(" (-00:00.10)")), (p, k, u, F.lit(" beat the map record: "), t, F.lit("!")), (p, k, u, F.lit(" set the first map record: "), t, F.lit("!")),
-            (p, k, u, F.lit(" broke Bonus 1 "), t, F.lit(" (WR -00:00.10) | 00:00.10 improvement!")), (p, k, u, F.lit(" set Bonus 1 "), t, F.lit("!")), (p, k, u, F.lit(" broke Course 2 "), t, F.lit(" (WR -00:00.25)")),
-            (p, k, u, F.lit(" broke C2 - Jump One "), t, F.lit(" (WR -00:00.10)")), (p, k, u, F.lit(" map run "), t, F.lit(" (WR -00:00.10)")), (p, k, u, F.lit(" map run "), t, F.lit(" (WR +00:00.10)")),
-            (F.lit(":: "), k, u, F.lit(" set "), m, F.lit(" WR: "), t, F.lit("!")), (p, k, u, F.lit(" is ranked 1/12 on "), m, F.lit(" with time: "), t), (p, F.regexp_replace(k, r"\) $", " WR) "), m, F.lit(" :: "), t, F.lit(" :: "), u),
+            say + "beat the map record: {time} (-00:00.10)", say + "beat the map record: {time}!", say + "set the first map record: {time}!",
+            say + "broke Bonus 1 {time} (WR -00:00.10) | 00:00.10 improvement!", say + "set Bonus 1 {time}!", say + "broke Course 2 {time} (WR -00:00.25)", say + "broke C2 - Jump One {time} (WR -00:00.10)",
+            say + "map run {time} (WR -00:00.10)", say + "map run {time} ({label}", ":: ({class}) {user} set {map} WR: {time}!", say + "is ranked 1/12 on {map} with time: {time}", PREFIX + "({class} WR) {map} :: {time} :: {user}",
         ]
-        text = F.lit("")
-        for i, f in enumerate(forms):
-            text = F.when(F.col("index") % 12 == i, F.concat(*f)).otherwise(text)
-        return e.select("session_id", "index", text.alias("text"), "tick", F.col("user_id").alias("from_user_id"), m.alias("map"))
+        text = F.element_at(F.array(*[F.lit(f) for f in forms]), (F.col("index") % 12 + 1).cast("int"))
+        label = F.when(F.col("user_id") % 3 == 0, "PR +00:00.10) | 00:00.05 improvement!").otherwise("WR +00:00.10)")
+        words = {"time": format_time(F.col("cs")), "user": F.concat(F.lit("user_"), "user_id"), "class": F.when(F.col("user_id") % 2 == 0, "Soldier").otherwise("Demoman"), "map": m, "label": label}
+        for name, word in words.items():
+            text = F.replace(text, F.lit("{" + name + "}"), word)
+        said_by = F.when(F.col("index") % 5 != 0, F.col("user_id"))
+        return e.select("session_id", F.col("index").cast("int").alias("index"), text.alias("text"), "tick", said_by.alias("from_user_id"))
+
+    def named_users(self) -> DataFrame:
+        none = F.lit(None).cast("string")
+        u = self.users.select("session_id", "user_id", F.concat(F.lit("user_"), "user_id").alias("name"), none.alias("raw_id"), none.alias("clean_id"), (F.col("user_id") % 40).alias("id64"))
+        return u.withColumn("is_bot", F.col("user_id") % 11 == 0)
+
+    def documents(self) -> DataFrame:
+        """session_id, body: the sessions as JSON documents. Of some the JSON is cut, others have no header."""
+        e = self.events.withColumn("tick", (F.col("tick") % 1000000).cast("int")).withColumn("who", F.col("user_id").cast("int"))
+        num, kind = F.col("index"), F.col("event_type")
+        side = F.when(kind == "view", "spectator").otherwise("red")
+        raw = F.when(num >= 0, F.element_at(F.array(F.concat(F.lit("STEAM_0:1:"), "user_id"), F.concat(F.lit("[U:1:"), "user_id", F.lit("]")), F.lit("BOT"), F.lit("weird")), (F.col("user_id") % 4 + 1).cast("int")))
+        each = F.struct(
+            "index", "tick", "who", kind.alias("kind"), F.when(kind == "signup", "soldier").otherwise("demoman").alias("class"), side.alias("team"),
+            F.when(num % 10 == 0, "").when(num % 10 == 1, "0").otherwise(F.concat(F.lit("line "), num)).alias("text"), raw.alias("raw"),
+        )
+        s = e.groupBy("session_id").agg(F.array_sort(F.collect_list(each)).alias("all"))
+        some = lambda test: F.filter("all", test)
+        ids = F.array_distinct(F.transform("all", lambda x: F.struct(x["who"].alias("who"), x["raw"].alias("raw"))))
+        entry = lambda x: F.struct(x["who"].cast("string").alias("key"), F.struct(F.concat(F.lit("user_"), x["who"]).alias("name"), x["who"].alias("userId"), x["raw"].alias("steamId"), (x["who"] % 50).alias("entityId"), F.lit("red").alias("team")).alias("value"))
+        header = F.struct(F.concat(F.lit("map_"), F.col("session_id") % 7).alias("map"), F.concat(F.lit("srv "), F.col("session_id") % 3).alias("server"), F.lit(1000000).alias("ticks"))
+        body = F.to_json(F.struct(
+            F.when(F.col("session_id") % 11 != 5, header).alias("header"), F.map_from_entries(F.transform(ids, entry)).alias("users"),
+            F.transform("all", lambda x: F.struct(F.lit("say").alias("kind"), F.concat(F.lit("user_"), x["who"]).alias("from"), x["text"].alias("text"), x["tick"].alias("tick"), (x["who"] % 50).alias("client"))).alias("chat"),
+            F.transform(some(lambda x: x["kind"].isin("signup", "click")), lambda x: F.struct(x["who"].alias("user"), x["class"].alias("class"), x["team"].alias("team"), x["tick"].alias("tick"))).alias("spawns"),
+            F.transform(some(lambda x: x["kind"].isin("view", "purchase")), lambda x: F.struct(x["who"].alias("user"), x["team"].alias("team"), (x["kind"] == "purchase").alias("disconnect"), x["tick"].alias("tick"))).alias("teamChanges"),
+            F.transform(some(lambda x: x["kind"] == "error"), lambda x: F.struct(F.lit("rocket").alias("weapon"), x["who"].alias("victim"), (x["who"] + 1).alias("killer"), x["tick"].alias("tick"))).alias("deaths"),
+            F.transform(some(lambda x: x["index"] % 7 == 0), lambda x: F.struct(x["tick"].alias("from"), (x["tick"] + 5).alias("to"))).alias("pauses"),
+            F.lit(3).alias("startTick"), F.lit(0.015).alias("intervalPerTick"),
+        ))
+        return s.select("session_id", F.when(F.col("session_id") % 11 == 0, F.substring(body, 1, 40)).otherwise(body).alias("body"))
