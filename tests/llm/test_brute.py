@@ -212,7 +212,6 @@ def test_lm(spark, texts):
 
 
 #: Two standard errors of a similarity of 0.8 told from 256 hashes.
-SLACK = 0.05
 
 
 def shingles(text):
@@ -255,9 +254,8 @@ def test_pipeline(spark, texts, items):
             alike = lambda x, y: len(x & y) >= 0.8 * len(x | y)
             left = [d for d in own if sets[d]]
             assert not [(a, b) for a in left for b in left if a < b and alike(sets[a], sets[b])]
-            # What went has a near copy that was there. Sketches of 256 hashes decide, so up to SLACK below the bound.
-            near = lambda x, y: len(x & y) >= (0.8 - SLACK) * len(x | y)
-            assert all(any(near(sets[d], sets[e]) for e in kept if e != d) for d in before - set(own))
+            # What went has a near copy that was there.
+            assert all(any(alike(sets[d], sets[e]) for e in kept if e != d) for d in before - set(own))
         elif name == "decontamination":
             joined = {d: " " + " ".join(plain(t)) + " " for d, t in own.items()}
             assert not [d for d, j in joined.items() if any(" " + " ".join(plain(t)) + " " in j for t in items.values())]

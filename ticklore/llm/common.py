@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ticklore.sources.shared import shared_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes, A-Z lower-cased.
 _BYTES = np.arange(256, dtype=np.uint8)
@@ -18,17 +17,45 @@ BATCH_ROWS = 256
 #: Bytes of text that are hashed at once inside a task.
 CHUNK_BYTES = 4 << 20
 
-_own_dir: list[str] = []
+#: Ids that a list sent to all executors may have: 16 MB of them.
+LISTED = 2_000_000
+
+_made: list[str] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that all executors share (spark.checkpoint.dir); where that is unset, as in tests, in one of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not _own_dir:
-            _own_dir.append("file://" + tempfile.mkdtemp(prefix="ticklore-"))
-        base = _own_dir[0]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path in the folder that all executors share."""
+    _made.append(shared_path(spark, name))
+    return _made[-1]
+
+
+def made() -> int:
+    """How many paths scratch() has given so far, for release()."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int, but: str = "") -> None:
+    """Deletes the tables in the paths given since then, but one. Only for what no DataFrame in use reads any more."""
+    own, _made[since:] = _made[since:], [but] if but in _made[since:] else []
+    for path in own:
+        if path != but:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _listed(ids: DataFrame, key: str) -> DataFrame:
+    told = written(ids.select(key).distinct(), "ids")
+    return F.broadcast(told) if told.count() <= LISTED else told
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among the ids. Up to LISTED ids are sent to all executors, more are joined by a shuffle."""
+    return rows.join(_listed(ids, key), key, "left_anti")
+
+
+def among(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among the ids; as without()."""
+    return rows.join(_listed(ids, key), key, "left_semi")
 
 
 def written(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:

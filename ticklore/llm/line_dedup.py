@@ -71,13 +71,9 @@ class LineRuns:
         return reduce(DataFrame.unionByName, found).distinct() if found else None
 
 
-def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
-    """rid, doc_id, n_lines, n_dropped, kept: lines whose key stands in at least min_docs documents go from every document.
-
-    batches: as which the table is added to the runs, by a hash of the row key.
-    """
-    rows = keyed(docs).withColumn("lines", lines_of(F.col("text"))).drop("text")
-    keys = F.transform("lines", lambda x: key_of(x))
+def dropped(rows: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """rid, drops: the numbers of the lines that go, for each document that loses any. rows: rid, text."""
+    keys = F.transform(lines_of(F.col("text")), lambda x: key_of(x))
     long_enough = rows.select("rid", F.filter(F.array_distinct(keys), lambda k: F.length(k) >= min_chars).alias("keys"))
     each = long_enough.select(F.pmod(F.xxhash64("rid"), F.lit(batches)).alias("batch"), F.explode("keys").alias("key")).select("batch", hashes(F.col("key")).alias("h")).select("batch", "h.*")
     # One pass over the texts; the batches are then folders of one table.
@@ -86,14 +82,25 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches:
     for b in range(batches):
         runs.add(counted.filter(F.col("batch") == b).select(*KEY, "n"))
     frequent = written(runs.frequent(), "lines-frequent")
-
     at = rows.select("rid", F.posexplode(keys).alias("pos", "key")).filter(F.length("key") >= min_chars)
-    drops = at.select("rid", "pos", hashes(F.col("key")).alias("h")).select("rid", "pos", "h.*").join(frequent, KEY, "left_semi").groupBy("rid").agg(F.collect_list("pos").alias("drops"))
-    both = rows.join(drops.hint("shuffle_hash"), "rid", "left").withColumn("drops", F.coalesce("drops", F.array().cast("array<int>")))
-    # array_except() is linear, where a look into `drops` for each line would be quadratic in very long documents.
+    return at.select("rid", "pos", hashes(F.col("key")).alias("h")).select("rid", "pos", "h.*").join(frequent, KEY, "left_semi").groupBy("rid").agg(F.collect_list("pos").alias("drops"))
+
+
+def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """rid, doc_id, n_lines, n_dropped, kept: lines whose key stands in at least min_docs documents go from every document.
+
+    batches: as which the table is added to the runs, by a hash of the row key.
+    """
+    return told_lines(keyed(docs), min_docs, min_chars, batches, fanout).drop("text")
+
+
+def told_lines(rows: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4, fanout: int = 2) -> DataFrame:
+    """rows (rid, text, and columns that come along) with n_lines, n_dropped and kept. The texts are shuffled once, by rid."""
+    drops = dropped(rows.select("rid", "text"), min_docs, min_chars, batches, fanout)
+    both = rows.join(drops.hint("shuffle_hash"), "rid", "left").withColumn("lines", lines_of(F.col("text"))).withColumn("drops", F.coalesce("drops", F.array().cast("array<int>")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
     kept = F.when(F.size("drops") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.col("lines")[i]))
-    return both.select("rid", "doc_id", F.size("lines").cast("long").alias("n_lines"), F.size("drops").cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("kept"))
+    return both.select(*rows.columns, F.size("lines").cast("long").alias("n_lines"), F.size("drops").cast("long").alias("n_dropped"), F.array_join(kept, "\n").alias("kept"))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

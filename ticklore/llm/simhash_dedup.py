@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import LOWER_BYTES, Poly, among, keyed, mix, small_batches, table, word_bounds, written
 from .graph import components
 from .spans import texts_of
 
@@ -198,98 +198,138 @@ def simhash_dedup(docs: DataFrame, words: int = 5, bits: int = 3, leaf_rows: int
     return each.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The hashes that a sketch keeps, and those by which documents are brought together.
-SKETCH, KEYS = 256, 5
-#: Bits by which the fingerprints of documents of a similarity of 0.8 differ at most, but for about one in a thousand.
-WIDE = 18
+#: Least shingle hashes by which documents are brought together: of documents of a similarity of 0.8, all but 3 in a million share one of eight.
+KEYS = 8
+#: Bits by which the fingerprints and the sign bits of such documents differ at most: five standard deviations above the mean of each.
+WIDE, SIGNS = 26, 19
+#: Rows of a group, and shingles of a row, that block_pairs() reckons with.
+GROUP_ROWS, ROW_SHINGLES = 4_096, 1_000
+_WORD, _RUN = Poly(83), Poly(97)
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of rows of sketches (least hashes, padded with the greatest number); exact for sets within SKETCH."""
-    top = np.iinfo(a.dtype).max
-    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
-    same = np.zeros(both.shape, bool)
-    same[:, 1:] = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != top)
-    new = ~same & (both != top)
-    inside = np.cumsum(new, axis=1) <= SKETCH
-    return (same & inside).sum(axis=1) / np.maximum(1, (new & inside).sum(axis=1))
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """Sorted hashes of the distinct word shingles; of the whole word sequence where it is shorter."""
+    buf = LOWER_BYTES[np.frombuffer(text, np.uint8)]
+    lo, hi = word_bounds(buf)
+    if not len(lo):
+        return np.zeros(0, np.uint64)
+    sums = _RUN.sums(_WORD.spans(_WORD.sums(_WORD.bytes[buf]), lo, hi))
+    if len(lo) < words:
+        return _RUN.spans(sums, np.array([0]), np.array([len(lo)]))
+    return np.unique(_RUN.windows(sums, words))
+
+
+def sign_bits(h: np.ndarray) -> int:
+    """A bit for each of 64 ranges of sorted hashes: the last one of the least hash there, 0 where there is none."""
+    at, first = np.unique(h >> np.uint64(58), return_index=True)
+    return int(np.bitwise_or.reduce((h[first] & np.uint64(1)) << at, initial=np.uint64(0)))
 
 
-def similar_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """A spanning forest (u, v) of the similar enough pairs of a group's members and its other rows; of the members alone where there are no others."""
+def least_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least key that rows of a and b share (0 is none)."""
+    both = (a[:, :, None] == b[:, None, :]).any(axis=2) & (a != 0)
+    return np.where(both, a, np.iinfo(np.int64).max).min(axis=1)
+
+
+def close_marks(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """Of the rows of a key's two parts those that may have a similar partner among the others. A pair is looked at under its least common key only."""
     pdf = pdf.sort_values("member", ascending=False).drop_duplicates("node")
-    fps, nodes, member = pdf["fp"].to_numpy().view(np.uint64), pdf["node"].to_numpy(), np.flatnonzero(pdf["member"].to_numpy())
-    sketch = np.full((len(pdf), SKETCH), np.iinfo(np.uint32).max, np.uint32)
-    for i, s in enumerate(pdf["sketch"]):
-        own = np.frombuffer(s, np.uint32)
-        sketch[i, : len(own)] = own
-    forest = Forest(len(pdf))
+    fps, signs = (pdf[c].to_numpy().view(np.uint64) for c in ("fp", "signs"))
+    n, key, member = pdf["n"].to_numpy(), pdf["key"].iloc[0], np.flatnonzero(pdf["member"].to_numpy())
+    keys = np.zeros((len(pdf), KEYS), np.int64)
+    for i, k in enumerate(pdf["keys"]):
+        keys[i, : len(k)] = k
     others = np.arange(len(member), len(pdf)) if len(member) < len(pdf) else member  # members come first
+    told = np.zeros(len(pdf), bool)
     step = max(1, (1 << 20) // max(1, len(member)))
     for i in range(0, len(others), step):
-        a, m = np.nonzero(np.bitwise_count(fps[others[i : i + step], None] ^ fps[None, member]) <= WIDE)
-        a, b = others[a + i], member[m]
-        while True:
-            # Of each row one pair that isn't linked yet; pairs that fail are seen once.
-            top = forest.roots()
-            open_ = top[a] != top[b]
-            a, b = a[open_], b[open_]
-            if not len(a):
-                break
-            first = np.unique(a, return_index=True)[1]
-            ok = np.concatenate([likeness(sketch[a[x]], sketch[b[x]]) >= similarity for x in np.array_split(first, -(-len(first) // 2048))])
-            forest.link(a[first[ok]], b[first[ok]])
-            left = np.ones(len(a), bool)
-            left[first] = False
-            a, b = a[left], b[left]
+        own = others[i : i + step, None]
+        a, b = np.nonzero((np.bitwise_count(fps[own] ^ fps[None, member]) <= WIDE) & (np.bitwise_count(signs[own] ^ signs[None, member]) <= SIGNS))
+        a, b = own[a, 0], member[b]
+        keep = (a != b) & ~(told[a] & told[b]) & (np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9)
+        a, b = a[keep], b[keep]
+        for j in range(0, len(a), 1 << 15):
+            x, y = a[j : j + (1 << 15)], b[j : j + (1 << 15)]
+            ok = least_common(keys[x], keys[y]) == key
+            told[x[ok]] = told[y[ok]] = True
+    out = pdf.loc[told, ["key", "i", "j", "node"]]
+    return out
+
+
+def alike_links(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """A spanning forest (u, v) of the pairs of a group whose whole sets of shingles are at least so similar."""
+    pdf = pdf.drop_duplicates("node")
+    nodes, sets = pdf["node"].to_numpy(), [np.frombuffer(x, np.uint64) for x in pdf["shingles"]]
+    size = np.array([len(x) for x in sets])
+    all_, number = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(number, kind="stable")
+    owner, times = np.repeat(np.arange(len(sets)), size)[order], np.bincount(number, minlength=len(all_))
+    begin, at, forest = np.cumsum(times) - times, np.append(0, np.cumsum(size)), Forest(len(sets))
+    for a in range(len(sets)):
+        top = forest.roots()
+        if (top == top[0]).all():
+            break
+        t = number[at[a] : at[a + 1]]
+        t = t[times[t] > 1]
+        where = np.repeat(begin[t] - np.append(0, np.cumsum(times[t])[:-1]), times[t]) + np.arange(times[t].sum()) if len(t) else np.zeros(0, np.int64)
+        both = np.bincount(owner[where], minlength=len(sets))
+        ok = np.flatnonzero((both >= similarity * (size[a] + size - both) - 1e-9) & (both > 0) & (top != top[a]))
+        forest.link(np.full(len(ok), a), ok)
     top = forest.roots()
     own = np.flatnonzero(top != np.arange(len(top)))
     return pd.DataFrame({"u": nodes[own], "v": nodes[top[own]]})
 
 
 def block_pairs(met: DataFrame, shard_rows: int) -> DataFrame:
-    """met: node, key, n (rows of the key), and others. Adds i, j, member: the rows of parts i and j of a key meet, about shard_rows at most.
+    """met: node, key, weight (rows of the key), and others. Adds i, j, member: the rows of parts i and j of a key meet, about shard_rows at most.
 
     Of the two parts, that of i are the members; each pair of parts meets once.
     """
-    parts = F.when(F.col("n") > shard_rows, F.ceil(F.col("n") * 2.2 / shard_rows)).otherwise(1).cast("int")
-    own = met.withColumn("parts", parts).withColumn("own", F.pmod("node", F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "n")
+    parts = F.when(F.col("weight") > shard_rows, F.ceil(F.col("weight") * 2.2 / shard_rows)).otherwise(1).cast("int")
+    own = met.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "weight")
 
 
-def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = SHARD_ROWS // 2) -> DataFrame:
-    """doc_id, component_id for each row: components of documents whose shingle sets are at least so similar.
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = GROUP_ROWS) -> DataFrame:
+    """doc_id, component_id for each row: components of documents whose sets of word shingles are at least so similar.
 
-    At that similarity fingerprints differ by up to 18 bits, where no ball is smaller than the space and no tree can prune.
-    So documents meet in shards by their KEYS least shingle hashes (of which similar ones share one, but for 0.03 %); in a
-    shard, fingerprints of the sets sort out pairs and sketches decide. Shards over shard_rows are split, and all pairs of
-    their parts meet.
+    At that similarity fingerprints differ by 10 bits in the mean, where no ball is smaller than the space and no tree can prune.
+    So documents meet by their KEYS least shingle hashes; within a key, SimHash fingerprints and sign bits of the sets leave out
+    what is far off, and what stays is decided on the whole sets. Groups are of bounded size: a key of many rows is split, and all
+    pairs of its parts meet. Equal sets are one node throughout. Documents without words are copies of each other; rows that share
+    a doc_id are documents of their own; null doc_ids never name a component.
     """
     small_batches(docs.sparkSession)
+    rows = keyed(docs)
 
     def run(batches):
         for batch in batches:
-            fps, sketches, keys = [], [], []
+            out = []
             for text in texts_of(batch):
-                h = shingle_hashes(text, words)
-                least = np.unique(h)[:SKETCH]
-                fps.append(simhash(np.unique(h)))
-                sketches.append((least >> np.uint64(32)).astype(np.uint32).tobytes())
-                keys.append(least[:KEYS].view(np.int64).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "fp", "sketch", "keys"])
-
-    told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long, sketch binary, keys array<long>")
-    each = written(told.withColumn("node", F.xxhash64("fp", "sketch")), "sketches")
-    # Equal texts are one node from here on.
-    nodes = written(each.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("keys").alias("keys")), "nodes")
-    keyed_ = nodes.select("node", F.explode("keys").alias("key"))
-    sizes = keyed_.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = nodes.select("node", "fp", "sketch", F.explode("keys").alias("key")).join(written(sizes, "shards"), "key")
-    links = block_pairs(met, shard_rows).groupBy("key", "i", "j").applyInPandas(lambda pdf: similar_links(pdf, similarity), "u long, v long")
-    named = nodes.select("node", "least").join(components(links).withColumnRenamed("component", "c"), "node", "left").select("node", "least", F.coalesce("c", "node").alias("component"))
+                h = shingle_set(text, words)
+                out.append((int(h.sum(dtype=np.uint64)), int(mix(h).sum(dtype=np.uint64)), len(h), simhash(h), sign_bits(h), h[:KEYS].view(np.int64).tolist()))
+            h1, h2, n, fp, signs, keys = zip(*out) if out else ((),) * 6
+            long = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), long(h1), long(h2), pa.array(n, pa.int32()), long(fp), long(signs), pa.array(keys, pa.list_(pa.int64()))], names=["rid", "doc_id", "h1", "h2", "n", "fp", "signs", "keys"])
+
+    same = ["h1", "h2", "n"]
+    each = written(rows.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, h1 long, h2 long, n int, fp long, signs long, keys array<long>"), "shingled")
+    nodes = written(each.groupBy(*same).agg(F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.first("fp").alias("fp"), F.first("signs").alias("signs"), F.first("keys").alias("keys")), "nodes")
+    weight = F.greatest(F.count("*"), (F.sum("n") / ROW_SHINGLES).cast("long"))
+    sizes = nodes.select("n", F.explode("keys").alias("key")).groupBy("key").agg(weight.alias("weight"), F.count("*").alias("times")).filter("times > 1").drop("times")
+    met = nodes.select("node", "n", "fp", "signs", "keys", F.explode("keys").alias("key")).join(sizes, "key")
+    marks = written(block_pairs(met, shard_rows).groupBy("key", "i", "j").applyInPandas(lambda pdf: close_marks(pdf, similarity), "key long, i int, j int, node long"), "marks")
+
+    def sets(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in texts_of(batch)], pa.binary())], names=["node", "shingles"])
+
+    asked = among(rows, marks.select(F.col("node").alias("rid")), "rid").select("rid", "text").mapInArrow(sets, "node long, shingles binary")
+    links = marks.join(asked, "node").groupBy("key", "i", "j").applyInPandas(lambda pdf: alike_links(pdf, similarity), "u long, v long")
+    named = nodes.select(*same, "node", "least").join(components(links).withColumnRenamed("component", "c"), "node", "left").select(*same, "least", F.coalesce("c", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = written(named.join(least, "component").select("node", "component_id"), "classes")
-    return each.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
+    classes = written(named.join(least, "component").select(*same, "component_id"), "classes")
+    return each.select("doc_id", *same).join(classes, same).select("doc_id", "component_id")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
