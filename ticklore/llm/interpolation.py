@@ -9,7 +9,8 @@ on the held-out counts of one fold of the training texts, with that fold's count
 All n-grams of all orders are counted, those seen once too, by a partitioned join: each part of the corpus asks for the
 n-grams it holds, the ranges of their hashes add up what the parts have, and each part gets its counts. Requests and
 answers travel as packed arrays, a row for each part and range; nothing that grows with the corpus is broadcast or
-collected. N-grams are told apart by hashes of 61 bits.
+collected. Words are told apart by hashes of 61 bits, longer n-grams by hashes of SPARE bits more than it takes to number
+all of the corpus (44 at least, 61 at most): of a million of them about one is taken for another.
 
 Null and empty texts are the end token alone. Each row is a document. Null doc_ids are trained on. Empty tables give no
 rows. Columns other than doc_id and text are not read.
@@ -41,6 +42,8 @@ _WORD = Poly(71)
 END = _WORD.spans(_WORD.sums(_WORD.bytes[[32]]), np.array([0]), np.array([1])).view(np.int64)
 #: Of a key, the two bits for TRAIN, FOLD or HELD, and the bit that tells single words.
 SIDE, SINGLE = np.uint64(3), np.uint64(4)
+#: Bits of an n-gram's hash beyond those that number all n-grams of the corpus.
+SPARE = 20
 
 
 def sizes(docs: DataFrame) -> tuple[int, int, int, int]:
@@ -74,8 +77,12 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(sizes)
 
 
-def grams(hashes: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
-    """(order, tokens) keys of the n-grams that end at each token, 0 where the text is too short; the SIDE bits are free."""
+def grams(hashes: np.ndarray, sizes: np.ndarray, order: int, bits: int = 61) -> np.ndarray:
+    """(order, tokens) keys of the n-grams that end at each token, 0 where the text is too short; the SIDE bits are free.
+
+    bits: of the keys of more than one word the highest so many are used, the others are 0.
+    """
+    cut = ~np.uint64((1 << (64 - bits)) - 1) & ~(SIDE | SINGLE)
     place = np.arange(len(hashes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     word = hashes.view(np.uint64) & ~(SIDE | SINGLE) | SINGLE
     keys = [word]
@@ -83,7 +90,7 @@ def grams(hashes: np.ndarray, sizes: np.ndarray, order: int) -> np.ndarray:
         before = np.append(np.uint64(0), keys[-1][:-1])
         key = mix(before * np.uint64(0x9E3779B97F4A7C15) + word + np.uint64(n)) & ~(SIDE | SINGLE)
         keys.append(np.where(place >= n - 1, key, np.uint64(0)))
-    return np.stack(keys)
+    return np.stack([word, *(k & cut for k in keys[1:])])
 
 
 def heads(keys: np.ndarray) -> np.ndarray:
@@ -105,17 +112,44 @@ def unpack(packed: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def gaps(keys: np.ndarray, free: int) -> bytes:
+    """Sorted keys whose lowest `free` bits are 0."""
+    return pack(np.diff(keys >> np.uint64(free), prepend=np.uint64(0)))
+
+
+def summed(packed: bytes, free: int) -> np.ndarray:
+    return np.cumsum(unpack(packed), dtype=np.uint64) << np.uint64(free)
+
+
+def opened(texts) -> list[bytes]:
+    press = zstandard.ZstdDecompressor()
+    return [press.decompress(t) if t else b"" for t in texts]
+
+
+def parted(docs: DataFrame, parts: int) -> DataFrame:
+    """part, rid, fold, doc_id, text (compressed: this is what the one shuffle of the texts writes)."""
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            text = [press.compress(t) if t else None for t in batch.column(4).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(text, pa.binary())], names=["part", "rid", "fold", "doc_id", "text"])
+
+    part = F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int").alias("part")
+    return docs.select(part, "rid", "fold", "doc_id", "text").mapInArrow(run, "part int, rid long, fold int, doc_id long, text binary").repartition(parts, "part")
+
+
 def bounds(ranges: int) -> np.ndarray:
     """The least key of each range but the first."""
     return np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
 
 
-def asked(parted: DataFrame, order: int, ranges: int) -> DataFrame:
-    """part, range, keys (sorted, as differences), n, fold_n: which n-grams a part holds, and how often its training texts (and its fold texts) have them."""
+def asked(parted: DataFrame, order: int, ranges: int, bits: int) -> DataFrame:
+    """part, range, words and keys (single words and longer n-grams, each sorted, as differences), n, fold_n (of words, then keys): which n-grams a part holds, and how often its training texts (and its fold texts) have them."""
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        hashes, sizes = words([(t or "").encode() for t in pdf["text"]])
-        keys = grams(hashes, sizes, order)
+        hashes, sizes = words(opened(pdf["text"]))
+        keys = grams(hashes, sizes, order, bits)
         keys = np.where(keys > 0, keys | np.repeat(pdf["fold"].to_numpy(np.uint64), sizes), np.uint64(0)).ravel()
         keys = np.sort(keys[keys > 0])
         own, side = keys & ~SIDE, keys & SIDE
@@ -125,17 +159,19 @@ def asked(parted: DataFrame, order: int, ranges: int) -> DataFrame:
         cut = np.concatenate([[0], np.searchsorted(own, bounds(ranges)), [len(own)]])
         for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
             if a < b:
-                out.append((pdf["part"].iloc[0], r, pack(np.diff(own[a:b], prepend=np.uint64(0))), pack(n[a:b]), pack(fold_n[a:b])))
-        return pd.DataFrame(out, columns=["part", "range", "keys", "n", "fold_n"])
+                single = own[a:b] & SINGLE > 0
+                side = np.argsort(~single, kind="stable")
+                out.append((pdf["part"].iloc[0], r, gaps(own[a:b][single], 0), gaps(own[a:b][~single], 64 - bits), pack(n[a:b][side]), pack(fold_n[a:b][side])))
+        return pd.DataFrame(out, columns=["part", "range", "words", "keys", "n", "fold_n"])
 
-    return parted.groupBy("part").applyInPandas(ask, "part int, range int, keys binary, n binary, fold_n binary")
+    return parted.groupBy("part").applyInPandas(ask, "part int, range int, words binary, keys binary, n binary, fold_n binary")
 
 
-def answered(want: DataFrame) -> DataFrame:
-    """part, range, n, fold_n: for each request, its n-grams' counts over all parts; vocabulary: in one row of each range, its words seen in training."""
+def answered(want: DataFrame, bits: int) -> DataFrame:
+    """part, range, n, fold_n: for each request, its n-grams' counts over all parts, in the order of all keys; vocabulary: in one row of each range, its words seen in training."""
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        each = [np.cumsum(unpack(k), dtype=np.uint64) for k in pdf["keys"]]
+        each = [np.concatenate([summed(w, 0), summed(k, 64 - bits)]) for w, k in zip(pdf["words"], pdf["keys"])]
         keys = np.concatenate(each)
         order = np.argsort(keys)
         keys = keys[order]
@@ -148,7 +184,7 @@ def answered(want: DataFrame) -> DataFrame:
                 vocabulary = int(((keys[head] & SINGLE > 0) & (sums > 0)).sum())
             own = np.empty(len(keys), np.int64)
             own[order] = np.repeat(sums, times)
-            out[c] = [pack(x) for x in np.split(own, cut)]
+            out[c] = [pack(x[np.argsort(k)]) for x, k in zip(np.split(own, cut), each)]
         return pd.DataFrame({**out, "vocabulary": [vocabulary] + [0] * (len(pdf) - 1)})
 
     return want.groupBy("range").applyInPandas(add, "part int, range int, n binary, fold_n binary, vocabulary long")
@@ -157,18 +193,18 @@ def answered(want: DataFrame) -> DataFrame:
 CODED = "rid long, doc_id long, fold int, n_tokens long, n_known long, log_c double, counts binary, deleted binary, vocabulary long"
 
 
-def coded(docs: DataFrame, parts: int, ranges: int, order: int) -> DataFrame:
+def coded(docs: DataFrame, parts: int, ranges: int, order: int, bits: int = 61) -> DataFrame:
     """Each text as counts (order, tokens) of the n-grams that end at its tokens. deleted (fold texts only): counts without the fold.
 
     vocabulary: sums up to the number of words seen in training.
     The texts are shuffled once: the same partitions ask for counts and get the answers.
     """
-    parted = docs.select(F.pmod(F.xxhash64("rid"), F.lit(parts)).cast("int").alias("part"), "rid", "fold", "doc_id", "text").repartition(parts, "part")
-    answer = answered(asked(parted, order, ranges).repartition(ranges, "range"))
+    own_part = parted(docs, parts)
+    answer = answered(asked(own_part, order, ranges, bits).repartition(ranges, "range"), bits)
 
     def code(key, own: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        hashes, sizes = words([(t or "").encode() for t in own["text"]])
-        keys = grams(hashes, sizes, order)
+        hashes, sizes = words(opened(own["text"]))
+        keys = grams(hashes, sizes, order, bits)
         got = got.sort_values("range")
         at = np.flatnonzero(keys)
         by = np.argsort(keys.ravel()[at])
@@ -190,7 +226,7 @@ def coded(docs: DataFrame, parts: int, ranges: int, order: int) -> DataFrame:
         df["vocabulary"] = [int(got["vocabulary"].sum())] + [0] * (len(df) - 1)
         return df
 
-    return parted.groupBy("part").cogroup(answer.groupBy("part")).applyInPandas(code, CODED)
+    return own_part.groupBy("part").cogroup(answer.groupBy("part")).applyInPandas(code, CODED)
 
 
 def unpacked(packed: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -266,7 +302,8 @@ def lm_score(docs: DataFrame, order: int = 3, mod: int = 7, rest: int = 2, part_
     fold = F.when(held_out(F.col("doc_id"), mod, rest), HELD).when(held_out(F.col("doc_id"), mod, (rest + 1) % mod), FOLD).otherwise(TRAIN)
     rows = rows.withColumn("fold", fold)
     n_bytes, tokens, total, fold_total = sizes(rows)
-    told = written(coded(rows, max(1, -(-n_bytes // part_bytes)), max(8, -(-order * tokens // RANGE_GRAMS)), order), "coded")
+    bits = min(61, max(24, (order * tokens).bit_length()) + SPARE)
+    told = written(coded(rows, max(1, -(-n_bytes // part_bytes)), max(8, -(-order * tokens // RANGE_GRAMS)), order, bits), "coded")
     vocabulary = told.agg(F.sum("vocabulary")).first()[0] or 0
     w = weights(told, order, total - fold_total, vocabulary)
     base = np.log10(total + vocabulary + 1)
