@@ -10,7 +10,7 @@ All n-grams of all orders are counted, those seen once too, by a partitioned joi
 n-grams it holds, the ranges of their hashes add up what the parts have, and each part gets its counts. Requests and
 answers travel as packed arrays, a row for each part and range; nothing that grows with the corpus is broadcast or
 collected. Words are told apart by hashes of 61 bits, longer n-grams by hashes of SPARE bits more than it takes to number
-all of the corpus (44 at least, 61 at most): of a million of them about one is taken for another.
+the corpus' tokens (40 at least, 61 at most): of a hundred thousand of them a few are taken for another, whatever the size.
 
 Null and empty texts are the end token alone. Each row is a document. Null doc_ids are trained on. Empty tables give no
 rows. Columns other than doc_id and text are not read.
@@ -42,8 +42,8 @@ _WORD = Poly(71)
 END = _WORD.spans(_WORD.sums(_WORD.bytes[[32]]), np.array([0]), np.array([1])).view(np.int64)
 #: Of a key, the two bits for TRAIN, FOLD or HELD, and the bit that tells single words.
 SIDE, SINGLE = np.uint64(3), np.uint64(4)
-#: Bits of an n-gram's hash beyond those that number all n-grams of the corpus.
-SPARE = 20
+#: Bits of an n-gram's hash beyond those that number all tokens of the corpus.
+SPARE = 16
 
 
 def sizes(docs: DataFrame) -> tuple[int, int, int, int]:
@@ -102,7 +102,7 @@ def pack(a: np.ndarray) -> bytes:
     """Numbers not below 0, compressed byte plane by byte plane."""
     width = max(1, -(-int(a.max()).bit_length() // 8)) if len(a) else 1
     planes = np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T)
-    return bytes([width]) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return bytes([width]) + zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def unpack(packed: bytes) -> np.ndarray:
@@ -130,7 +130,7 @@ def parted(docs: DataFrame, parts: int) -> DataFrame:
     """part, rid, fold, doc_id, text (compressed: this is what the one shuffle of the texts writes)."""
 
     def run(batches):
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=6)
         for batch in batches:
             text = [press.compress(t) if t else None for t in batch.column(4).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(text, pa.binary())], names=["part", "rid", "fold", "doc_id", "text"])
@@ -184,6 +184,9 @@ def answered(want: DataFrame, bits: int) -> DataFrame:
                 vocabulary = int(((keys[head] & SINGLE > 0) & (sums > 0)).sum())
             own = np.empty(len(keys), np.int64)
             own[order] = np.repeat(sums, times)
+            if c == "fold_n":
+                # Asked for by fold texts only; those hold the n-gram themselves.
+                own[np.concatenate([unpack(x) for x in pdf[c]]) == 0] = 0
             out[c] = [pack(x[np.argsort(k)]) for x, k in zip(np.split(own, cut), each)]
         return pd.DataFrame({**out, "vocabulary": [vocabulary] + [0] * (len(pdf) - 1)})
 
@@ -302,7 +305,7 @@ def lm_score(docs: DataFrame, order: int = 3, mod: int = 7, rest: int = 2, part_
     fold = F.when(held_out(F.col("doc_id"), mod, rest), HELD).when(held_out(F.col("doc_id"), mod, (rest + 1) % mod), FOLD).otherwise(TRAIN)
     rows = rows.withColumn("fold", fold)
     n_bytes, tokens, total, fold_total = sizes(rows)
-    bits = min(61, max(24, (order * tokens).bit_length()) + SPARE)
+    bits = min(61, max(24, tokens.bit_length()) + SPARE)
     told = written(coded(rows, max(1, -(-n_bytes // part_bytes)), max(8, -(-order * tokens // RANGE_GRAMS)), order, bits), "coded")
     vocabulary = told.agg(F.sum("vocabulary")).first()[0] or 0
     w = weights(told, order, total - fold_total, vocabulary)
