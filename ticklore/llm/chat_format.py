@@ -8,8 +8,8 @@ Folding needs no state: an event counts if its seq is not below the last edit of
 that message or an earlier one. Messages are then rendered as  <|im_start|>role<|im_sep|>text<|im_end|>\n  with a
 backslash put before backslashes and inside control strings of texts and roles; unescape() takes exactly these away.
 
-Null texts and roles are empty. Events of equal seq are taken in the order msg, op, text. Repeated rows are events of
-their own. A null conv_id is a conversation too. Columns other than those named are not read.
+Null texts and roles are empty. Events of equal seq are taken in the order msg, op, text; the last event's role is the message's
+(of equals the greatest). Repeated rows are events of their own: a delta told twice is appended twice. A null conv_id is a conversation too. Columns other than those named are not read.
 """
 
 from __future__ import annotations
@@ -42,13 +42,17 @@ def fold(log: DataFrame) -> DataFrame:
     """(conv_id, msg, role, text): the messages as the log leaves them."""
     conv, one = Window.partitionBy("conv_id"), Window.partitionBy("conv_id", "msg")
     upto = conv.orderBy("msg").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    order = F.struct("seq", "msg", "op", F.coalesce("text", F.lit("")).alias("text"))
     live = (
-        log.withColumn("edited", F.max(F.when(F.col("op") == "edit", F.col("seq"))).over(one))
-        .withColumn("again", F.max(F.when(F.col("op") == "regenerate", F.col("seq"))).over(upto))
-        .filter(F.col("seq") >= F.greatest(F.coalesce("edited", "again", "seq"), F.coalesce("again", "edited", "seq")))
+        log.withColumn("order", order)
+        .withColumn("edited", F.max(F.when(F.col("op") == "edit", F.col("order"))).over(one))
+        .withColumn("again", F.max(F.when(F.col("op") == "regenerate", F.col("order"))).over(upto))
+        .filter((F.col("edited").isNull() | (F.col("order") >= F.col("edited"))) & (F.col("again").isNull() | (F.col("order") >= F.col("again"))))
     )
-    part = F.struct("seq", "op", F.coalesce("text", F.lit("")).alias("text"))
-    return live.groupBy("conv_id", "msg").agg(F.max_by(F.coalesce("role", F.lit("")), "seq").alias("role"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda e: e["text"]), "").alias("text"))
+    parts = F.array_sort(F.collect_list("order"))
+    # What replaces the message stands first; where it was logged twice it counts once.
+    told = F.filter(parts, lambda e, i: (i == 0) | (e["op"] == "delta"))
+    return live.groupBy("conv_id", "msg").agg(F.max_by(F.coalesce("role", F.lit("")), F.struct("order", F.coalesce("role", F.lit("")).alias("r"))).alias("role"), F.array_join(F.transform(told, lambda e: e["text"]), "").alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
