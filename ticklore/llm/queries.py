@@ -8,6 +8,7 @@ from .chat_format import OP6_SQL, op6
 from .decontaminate import op1
 from .interpolation import op9
 from .packing import op7
+from .sharding import op13
 from .line_dedup import OP3_SQL, op3
 from .simhash_dedup import op4
 from .substring_dedup import op5
@@ -27,5 +28,6 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_deleted_interpolation": op9,
     "op10_suffix_dedup": op10,
+    "op13_sharding": op13,
 }
 ORACLES = {"op3_line_dedup": OP3_SQL, "op6_chat_format": OP6_SQL}
