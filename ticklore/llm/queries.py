@@ -15,6 +15,7 @@ from .substring_dedup import op5
 from .suffix_dedup import op10
 from .topk import op2
 from .toxicity import op8
+from .whitening import op12
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_deleted_interpolation": op9,
     "op10_suffix_dedup": op10,
+    "op12_embedding_whitening": op12,
     "op13_sharding": op13,
 }
 ORACLES = {"op3_line_dedup": OP3_SQL, "op6_chat_format": OP6_SQL}
