@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from .chat_format import OP6_SQL, op6
 from .decontaminate import op1
+from .hard_negatives import OP11_SQL, op11
 from .interpolation import op9
 from .packing import op7
 from .sharding import op13
@@ -29,7 +30,8 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_deleted_interpolation": op9,
     "op10_suffix_dedup": op10,
+    "op11_hard_negatives": op11,
     "op12_embedding_whitening": op12,
     "op13_sharding": op13,
 }
-ORACLES = {"op3_line_dedup": OP3_SQL, "op6_chat_format": OP6_SQL}
+ORACLES = {"op3_line_dedup": OP3_SQL, "op6_chat_format": OP6_SQL, "op11_hard_negatives": OP11_SQL}
