@@ -10,7 +10,8 @@ from ticklore.plans.sql import CV, EV, REC, SAID, days, fold
 from ticklore.sources import adapters as ad
 from ticklore.sources import ingest, schemas, sinks
 from ticklore.sources.shared import shared_path
-from ticklore.streaming.landing import landed_index, start_landing
+from ticklore.sources.store import SessionStore
+from ticklore.streaming.landing import landed_index, reland, start_landing
 
 
 def record_pages(spark, d):
@@ -40,11 +41,28 @@ def quarantined_index(spark, d):
 
 
 def relanded_spawns(spark, d):
-    """Every third session is landed again, from documents that hold it twice as late."""
+    """Every third session is landed again, with another class; a few of those documents cannot be read and change nothing."""
     docs = event_tables(spark, d).documents()
-    old = ingest.land_sessions(docs)
-    again = docs.filter("session_id % 3 = 0").withColumn("body", F.regexp_replace("body", '"class":"soldier"', '"class":"scout"'))
-    return ingest.reland({"spawns": old["spawns"]}, again)["spawns"].select("session_id", "index", "tick", "user_id", "class")
+    store = SessionStore(spark, shared_path(spark, "store"), 8)
+    store.put(docs, "first")
+    cut = F.col("session_id") % 4 == 0
+    again = docs.withColumn("body", F.when(cut, F.substring("body", 1, 30)).otherwise(F.regexp_replace("body", '"class":"soldier"', '"class":"scout"')))
+    reland(store, again, docs.filter("session_id % 3 = 0").select(F.col("session_id").alias("id")))
+    return store.read("spawns").select("session_id", "index", "tick", "user_id", "class")
+
+
+def redelivered_spawns(spark, d):
+    """Sessions that come in several files: twice in the first batch, and again in a second one. The last readable document of each counts."""
+    docs = event_tables(spark, d).documents()
+    into, out, mark = (shared_path(spark, f"landing-{x}") for x in ("in", "out", "mark"))
+    called = lambda name: F.regexp_replace("body", '"class":"soldier"', f'"class":"{name}"')
+    docs.withColumn("sent", F.lit(1)).write.mode("append").json(into)
+    docs.filter("session_id % 3 = 0").select("session_id", called("scout").alias("body"), F.lit(2).alias("sent")).write.mode("append").json(into)
+    start_landing(spark, into, out, mark, 8).awaitTermination()
+    docs.filter("session_id % 5 = 0").select("session_id", called("pyro").alias("body"), F.lit(1).alias("sent")).write.mode("append").json(into)
+    docs.filter("session_id % 7 = 0").select("session_id", F.lit("{").alias("body"), F.lit(9).alias("sent")).write.mode("append").json(into)
+    start_landing(spark, into, out, mark, 8).awaitTermination()
+    return SessionStore(spark, out).read("spawns").select("session_id", "index", "tick", "user_id", "class")
 
 
 def reland_list(spark, d):
@@ -57,16 +75,16 @@ def incremental_landing(spark, d):
     into, out, mark = (shared_path(spark, f"landing-{x}") for x in ("in", "out", "mark"))
     for part in (0, 1):
         docs.filter(F.col("session_id") % 2 == part).write.mode("append").json(into)
-        start_landing(spark, into, out, mark).awaitTermination()
-    return spark.read.parquet(f"{out}/spawns").select("session_id", "index", "tick", "user_id", "class")
+        start_landing(spark, into, out, mark, 8).awaitTermination()
+    return SessionStore(spark, out).read("spawns").select("session_id", "index", "tick", "user_id", "class")
 
 
 def landed_flags(spark, d):
     t = event_tables(spark, d)
     into, out, mark = (shared_path(spark, f"landing-{x}") for x in ("in", "out", "mark"))
     t.documents().write.json(into)
-    start_landing(spark, into, out, mark).awaitTermination()
-    return landed_index(t.index(), spark.read.parquet(f"{out}/outcome"))
+    start_landing(spark, into, out, mark, 8).awaitTermination()
+    return landed_index(t.index(), SessionStore(spark, out).read("outcome"))
 
 
 def csv_round_trip(spark, d):
@@ -118,7 +136,7 @@ QUERIES = {
     "landed_changes": landed("team_changes", "session_id", "index", "tick", "user_id", "team", "disconnect"),
     "landed_deaths": landed("deaths", "session_id", "index", "tick", "weapon", "victim_user_id", "killer_user_id"),
     "landed_pauses": landed("pauses", "session_id", "index", "from_tick", "to_tick"),
-    "quarantined_index": quarantined_index, "relanded_spawns": relanded_spawns, "reland_list": reland_list, "incremental_landing": incremental_landing, "landed_flags": landed_flags,
+    "quarantined_index": quarantined_index, "relanded_spawns": relanded_spawns, "redelivered_spawns": redelivered_spawns, "reland_list": reland_list, "incremental_landing": incremental_landing, "landed_flags": landed_flags,
     "csv_round_trip": csv_round_trip, "history_files": history_files, "chat_log": chat_log, "names_read": names_read, "user_chat": user_chat, "server_records": server_records,
 }
 
@@ -147,7 +165,8 @@ ORACLES = {
     "landed_deaths": _each("event_type = 'error'", "tk AS tick, 'rocket' AS weapon, user_id AS victim_user_id, user_id + 1 AS killer_user_id"),
     "landed_pauses": _each("idx % 7 = 0", "tk AS from_tick, tk + 5 AS to_tick"),
     "quarantined_index": f"WITH {_DOC} SELECT id, url, date, processed, failed OR (bad AND NOT processed) AS failed, CASE WHEN bad AND NOT processed THEN 'invalid_stv' ELSE failure_reason END AS failure_reason FROM ei",
-    "relanded_spawns": f"""WITH {_DOC} SELECT session_id, "index", tick, user_id, CASE WHEN session_id % 3 = 0 AND class = 'soldier' THEN 'scout' ELSE class END AS class FROM b""",
+    "relanded_spawns": f"""WITH {_DOC} SELECT session_id, "index", tick, user_id, CASE WHEN session_id % 3 = 0 AND session_id % 4 <> 0 AND class = 'soldier' THEN 'scout' ELSE class END AS class FROM b""",
+    "redelivered_spawns": f"""WITH {_DOC} SELECT session_id, "index", tick, user_id, CASE WHEN class = 'soldier' AND session_id % 5 = 0 THEN 'pyro' WHEN class = 'soldier' AND session_id % 3 = 0 THEN 'scout' ELSE class END AS class FROM b""",
     "reland_list": f"WITH {_DOC} SELECT id FROM ei WHERE processed ORDER BY id LIMIT 20 OFFSET 3",
     "incremental_landing": _SPAWNS,
     "landed_flags": f"""WITH {_DOC} SELECT id, url, date, processed OR NOT bad AS processed, CASE WHEN NOT bad AND NOT processed THEN false WHEN bad AND NOT processed THEN true ELSE failed END AS failed,

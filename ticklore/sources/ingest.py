@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +39,20 @@ def enumerate_zones(overviews: DataFrame) -> DataFrame:
     return z.select("map_id", F.col("z.id").alias("zone_id")).groupBy("zone_id").agg(F.min("map_id").alias("map_id"))
 
 
+def read_documents(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """docs: session_id, body (JSON). session_id, d, bad (it cannot be read), and the columns to keep."""
+    read = docs.select("session_id", *(keep or []), F.from_json("body", schemas.DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
+    return read.withColumn("bad", F.col("d").isNull() | F.col("d._corrupt").isNotNull() | F.col("d.header").isNull())
+
+
 def land_sessions(docs: DataFrame) -> dict[str, DataFrame]:
     """docs: session_id, body (JSON). Seven tables, and those documents that could not be read."""
-    read = docs.select("session_id", F.from_json("body", schemas.DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
-    bad = F.col("d").isNull() | F.col("d._corrupt").isNotNull() | F.col("d.header").isNull()
-    good = read.filter(~bad)
+    return session_tables(read_documents(docs))
+
+
+def session_tables(read: DataFrame) -> dict[str, DataFrame]:
+    """Of documents as read_documents() gives them."""
+    good, bad = read.filter("NOT bad"), read.filter("bad")
     z = lambda c: F.coalesce(c, F.lit(0))
 
     def each(name, *cols, keep=None):
@@ -65,7 +72,7 @@ def land_sessions(docs: DataFrame) -> dict[str, DataFrame]:
         "team_changes": each("teamChanges", z(F.col("x.tick")).alias("tick"), F.col("x.user").alias("user_id"), F.col("x.team").alias("team"), F.col("x.oldTeam").alias("old_team"), F.col("x.disconnect").alias("disconnect"), F.col("x.autoTeam").alias("auto_team"), F.col("x.silent").alias("silent"), F.col("x.name").alias("name")),
         "deaths": each("deaths", z(F.col("x.tick")).alias("tick"), F.col("x.weapon").alias("weapon"), z(F.col("x.victim")).alias("victim_user_id"), z(F.col("x.killer")).alias("killer_user_id"), F.col("x.assister").alias("assister_user_id")),
         "pauses": each("pauses", F.col("x.from").alias("from_tick"), F.col("x.to").alias("to_tick")),
-        "quarantine": read.filter(bad).select("session_id", F.lit("invalid_stv").alias("failure_reason")),
+        "quarantine": bad.select("session_id", F.lit("invalid_stv").alias("failure_reason")),
     }
 
 
@@ -86,21 +93,4 @@ def to_reland(index: DataFrame, offset: int = 0, limit: int | None = None) -> Da
     return done if limit is None else done.limit(limit)
 
 
-def reland(tables: dict[str, DataFrame], docs: DataFrame, ids: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Replaces the sessions of the documents (of those ids): their old rows go, with all children."""
-    some = docs if ids is None else docs.join(ids.select(F.col("id").alias("session_id")), "session_id", "left_semi")
-    new = land_sessions(some)
-    gone = some.select("session_id").distinct()
-    return {n: t.join(gone, "session_id", "left_anti").unionByName(new[n], allowMissingColumns=True) for n, t in tables.items() if n in new}
-
-
-def numbered(lines: DataFrame) -> DataFrame:
-    """line_no in the order of the files."""
-    return lines.withColumn("line_no", F.monotonically_increasing_id())
-
-
-def all_tables(parts: list[dict[str, DataFrame]]) -> dict[str, DataFrame]:
-    return {n: reduce(DataFrame.unionByName, [p[n] for p in parts]) for n in parts[0]}
-
-
-__all__ = ["all_tables", "enumerate_zones", "ingest_index", "ingest_record_pages", "land_sessions", "numbered", "pending", "quarantine", "reland", "to_reland"]
+__all__ = ["enumerate_zones", "ingest_index", "ingest_record_pages", "land_sessions", "pending", "quarantine", "read_documents", "session_tables", "to_reland"]
