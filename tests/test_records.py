@@ -94,6 +94,32 @@ def test_identity(spark):
     assert got["ivo"].id64 == "13" and got["whoever"].id64 == "12"
 
 
+def test_cut_names_by_their_beginnings(spark):
+    """Blank stems match nothing, long ones are compared whole, and no session's names meet all of its cut names."""
+    long = "n" * 80
+    names = ["Wren", "wrex", long + "a", long + "b", "n", None, " "]
+    users = spark.createDataFrame([(s, i, n, None, None, 10 * s + i) for s in (1, 2) for i, n in enumerate(names)], "session_id long, user_id int, name string, raw_id string, clean_id string, id64 long")
+    asked = ["Wr...", "wren...", "...", " ...", long + "B...", long + "...", "x...", "wren x..."]
+    df = spark.createDataFrame([(1, None, a) for a in asked] + [(3, None, "Wr...")], "session_id long, from_user_id int, player string")
+    got = {(r.session_id, r.player): (r.id64, (r.candidates or "").count(";") + bool(r.candidates)) for r in R.resolve_identity(df, users).collect()}
+    assert got == {(1, "Wr..."): (None, 2), (1, "wren..."): ("10", 0), (1, "..."): (None, 0), (1, " ..."): (None, 0), (1, long + "B..."): ("13", 0), (1, long + "..."): (None, 2), (1, "x..."): (None, 0), (1, "wren x..."): (None, 0), (3, "Wr..."): (None, 0)}
+
+
+def test_history_takes_records_of_two_classes(spark):
+    rows = [row("MapRecord", "00:50.00", DAY, 1), row("MapRecord", "00:40.00", DAY, 2), row("MapRecord", "00:30.00", DAY, 3), row("Compact", "00:20.00", DAY, 4, lookup=True)]
+    rows[1], rows[2] = (*rows[1][:1], "Scout", *rows[1][2:]), (*rows[2][:1], "demo", *rows[2][2:])
+    rows[3] = (*rows[3][:3], "SR", *rows[3][4:])
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("text", F.lit("x"))
+    assert [r.record_time for r in R.record_history(df).collect()] == ["00:50.00"] and R.audit_records(df).count() == 0
+    assert R.record_history(df, any_kind=True).count() == 4
+
+
+def test_lines_are_parsed_once(spark):
+    t = __import__("ticklore.plans.inputs", fromlist=["x"])
+    plan = R.record_history(t.records_of(t.event_tables(spark, "/root/testdata/sf0.001")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower().replace("regexp_replace(source", "")
+
+
 def test_runs_keep_their_label(spark):
     lines = ["(Demo) Ferro map run 00:58.40 (PR +00:00.10) | 00:00.30 improvement!", "(Demo) Ferro map run 00:58.40 (WR -00:00.10)", "(Soldier) Ferro map run 00:75.40 (PR 00:00.10)", "(Demo) Ferro is ranked 1/31 on hop_quarry with time: 00:09.72"]
     chats = spark.createDataFrame([(1, i, 7, R.PREFIX + t) for i, t in enumerate(lines)], "session_id long, index int, from_user_id long, text string")

@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, format_time, let, normalize_class, parse_time, serialize_candidates
 from ticklore.operators.filters import class_matches, likely_record, likely_relay, likely_run, map_family, map_family_like, name_matches
 from ticklore.operators.playtime import top_n
+from ticklore.operators.scan import SLICE_ROWS, sliced
+from ticklore.sources.shared import stored
 
 #: What messages of the server begin with.
 PREFIX = "SRV | "
+#: Characters of a cut name that are looked up at once; the rest of a longer one is compared.
+STEM = 64
 FIELDS = ("player", "class", "map", "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
 SPLIT = rf" \((?:(WR|SR|PR)\s*)?({SIGNED_TIME})\)(?: \| ({TIME}) improvement!?)?!?$"
 #: After the head of a message: time, label, split, improvement.
@@ -163,10 +167,13 @@ def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     direct = users.select("session_id", F.col("user_id").alias("from_user_id"), F.col("id64").cast("string").alias("d64"), F.coalesce("clean_id", "raw_id").alias("did"))
     named = users.filter("trim(name) <> ''").select("session_id", F.lower(F.trim("name")).alias("low"), who.alias("who")).groupBy("session_id", "low").agg(F.sort_array(F.collect_set("who")).alias("same"))
     rows = df.withColumn("low", F.lower(F.trim("player"))).join(direct, ["session_id", "from_user_id"], "left").join(named, ["session_id", "low"], "left")
-    # The cut-name arm is an equi-join on the session with the beginning as its condition, for those names only, each once.
-    rows = rows.withColumn("stem", F.when(F.col("same").isNull() & F.col("low").endswith("..."), F.expr("substring(low, 1, length(low) - 3)")))
-    cut = rows.filter("stem IS NOT NULL").select("session_id", "stem").distinct()
-    begun = cut.join(named.select("session_id", F.col("low").alias("full"), F.col("same").alias("some")), "session_id").filter("startswith(full, stem)").groupBy("session_id", "stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
+    # A cut name's stem is looked up among the beginnings of the names of its session: an equi-join on session and beginning.
+    stem = F.trim(F.expr("substring(low, 1, length(low) - 3)"))
+    rows = rows.withColumn("stem", F.when(F.col("same").isNull() & F.col("low").endswith("...") & (stem != ""), stem))
+    cut = rows.filter("stem IS NOT NULL").select("session_id", "stem", F.substring("stem", 1, STEM).alias("begin")).distinct()
+    full = named.join(cut.select("session_id").distinct(), "session_id", "left_semi").select("session_id", F.col("low").alias("full"), F.col("same").alias("some"))
+    begins = full.withColumn("begin", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("full"), F.lit(STEM))), lambda n: F.substring(F.col("full"), F.lit(1), n))))
+    begun = cut.join(begins, ["session_id", "begin"]).filter("startswith(full, stem)").groupBy("session_id", "stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
     rows = rows.join(begun, ["session_id", "stem"], "left").withColumn("found", F.coalesce("same", "begun"))
     known = F.col("d64").isNotNull() | F.col("did").isNotNull()
     # Identities, not names, tell whether it is one.
@@ -176,11 +183,14 @@ def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def extract_records(chats: DataFrame, sessions: DataFrame, index: DataFrame, users: DataFrame, prefix: str = PREFIX, only_map: str | None = None) -> DataFrame:
-    """Cheap prefilter, then the patterns, then dates and identities."""
+    """Cheap prefilter, then the patterns, then dates and identities. With only_map: the server's lines of sessions on that family, and relayed ones that name it."""
     s = sessions.select("session_id", F.col("map").alias("session_map"))
     lines = chats.filter(likely_record(F.col("text"), prefix) | likely_relay(F.col("text"), prefix)).join(s, "session_id", "left")
+    if only_map:
+        lines = lines.filter(map_family_like(F.col("session_map"), only_map) | likely_relay(F.col("text"), prefix))
     e = F.coalesce(F.when(likely_record(F.col("text"), prefix), parse_record(F.col("text"), F.col("session_map"), prefix, only_map)), F.when(likely_relay(F.col("text"), prefix), parse_relay(F.col("text"), only_map)))
-    told = lines.select("session_id", F.col("index").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", parsed(e).alias("e")).select("*", "e.*").drop("e")
+    # The candidates' table: the long expression is planned and run once, and what follows starts from its rows.
+    told = stored(lines.select("session_id", F.col("index").alias("chat_index"), F.col("tick").alias("chat_tick"), "from_user_id", "text", parsed(e).alias("e")), "candidates").select("*", "e.*").drop("e")
     dated = told.join(index.select(F.col("id").alias("session_id"), "date"), "session_id", "left")
     return resolve_identity(dated, users)
 
@@ -214,36 +224,80 @@ def marked(records: DataFrame) -> DataFrame:
     return r.filter("date IS NOT NULL AND cs IS NOT NULL").withColumn("ord", order)
 
 
+def of_history(records: DataFrame) -> DataFrame:
+    """What a history or an audit takes in: records of the type WR by soldiers and demomen. Class names count as they are spelt."""
+    return records.filter((F.upper("record_type") == "WR") & F.col("class").isin("Solly", "Demo"))
+
+
 def suppress_duplicates(m: DataFrame, group_cols: list[str]) -> DataFrame:
     """What is not a record goes where a record of the same segment has the same time."""
-    w = Window.partitionBy(*group_cols, F.lower("seg"), "cs")
-    return m.withColumn("sure", F.max(F.col("kind") == "record").over(w)).filter("kind = 'record' OR NOT sure").drop("sure")
+    keys = [*group_cols, "low", "cs"]
+    m = m.withColumn("low", F.lower("seg"))
+    sure = m.filter("kind = 'record'").select(*[F.col(c).alias(f"s_{c}") for c in keys]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in keys]
+    rest = m.filter("kind <> 'record'").join(sure, same, "left_anti")
+    return m.filter("kind = 'record'").unionByName(rest).drop("low")
+
+
+def _better(r: Column, cur: Column) -> Column:
+    """A better time: by over a hundredth where it is only inferred."""
+    return cur.isNull() | (r["cs"] < cur - F.when(r["inferred"], 1).otherwise(0))
+
+
+def _starts(rows: Column) -> Column:
+    """What rows without an anchor make of any time before them: (below, cur), below falling. The first entry whose `below` is less than that time tells the time after; of none, it stays."""
+    kind = "array<struct<below:int,cur:int>>"
+
+    def step(acc, r):
+        on = F.transform(acc, lambda s: F.struct(s["below"].alias("below"), F.when(_better(r, s["cur"]), r["cs"]).otherwise(s["cur"]).alias("cur")))
+        below = r["cs"] + F.when(r["inferred"], 1).otherwise(0)
+        new = F.struct(below.cast("int").alias("below"), r["cs"].cast("int").alias("cur"))
+        return F.when((F.size(acc) == 0) | (below < F.element_at(acc, -1)["below"]), F.concat(on, F.array(new))).otherwise(on).cast(kind)
+
+    return F.aggregate(rows, F.array().cast(kind), step)
+
+
+def _carried(s: Column) -> Column:
+    """Of a segment's slices in order (slice, end, starts): the time that each of them begins with."""
+    after = lambda cur, x: F.coalesce(x["end"], F.when(cur.isNull(), F.get(x["starts"], F.lit(0))["cur"]).otherwise(F.coalesce(F.get(F.filter(x["starts"], lambda y: y["below"] < cur), F.lit(0))["cur"], cur)))
+    start = F.struct(F.lit(None).cast("int").alias("cur"), F.array().cast("array<struct<slice:int,carry:int>>").alias("out"))
+    return F.aggregate(s, start, lambda a, x: F.struct(after(a["cur"], x).alias("cur"), F.concat(a["out"], F.array(F.struct(x["slice"].alias("slice"), a["cur"].alias("carry")))).alias("out")))["out"]
 
 
-def fold_changes(m: DataFrame, group_cols: list[str], include_all: bool = False) -> DataFrame:
+def fold_changes(m: DataFrame, group_cols: list[str], include_all: bool = False, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """State changes of each segment in order: better times (by over 1 where inferred), and wipes by records.
 
-    Rows that may wipe are anchors: after one, the current time is its own. So only the few rows between two anchors are
-    folded one by one, and a hot segment is still spread over many rows.
+    Rows that may wipe are anchors: after one, the current time is its own. A segment is dealt into slices of bounded size, and a slice folds
+    in groups that begin with an anchor. What stands before its first anchor depends on the slices before: a first pass tells of each
+    slice the time it ends with, or, without an anchor, what it makes of any time; those lines, chained in order, give each slice the time it begins with.
     """
     keys = [*group_cols, "low"]
-    m = m.withColumn("low", F.lower("seg")).withColumn("anchor", ~F.col("inferred") & ((F.col("kind") == "record") | (F.col("how") == "irc_set")))
-    w = Window.partitionBy(*keys).orderBy("ord")
-    m = m.withColumn("g", F.sum(F.col("anchor").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    step = F.struct("ord", "cs", "inferred", "anchor")
-    g = m.groupBy(*keys, "g").agg(F.array_sort(F.collect_list(step)).alias("rows"))
-    def take(acc, r):
-        ok = acc["cur"].isNull() | (r["cs"] < acc["cur"] - F.when(r["inferred"], 1).otherwise(0))
-        ok = ok | (~r["inferred"] & F.lit(include_all))
-        return F.struct(F.when(ok, r["cs"]).otherwise(acc["cur"]).alias("cur"), F.when(ok, F.concat(acc["kept"], F.array(r["ord"]))).otherwise(acc["kept"]).alias("kept"))
-
-    empty = F.struct(F.lit(None).cast("int").alias("cur"), F.array().cast("array<" + m.schema["ord"].dataType.simpleString() + ">").alias("kept"))
-    folded = g.withColumn("f", F.aggregate("rows", empty, take)).withColumn("last", F.lag("f.cur").over(Window.partitionBy(*keys).orderBy("g")))
+    wipes = ~F.col("inferred") & (F.lit(include_all) | (F.col("kind") == "record") | (F.col("how") == "irc_set"))
+    m = sliced(m.withColumns({"low": F.lower("seg"), "anchor": wipes}), keys, ["ord"], slice_rows)
+    part = [*keys, "slice"]
+    w = Window.partitionBy(*part).orderBy("ord")
+    told = m.select(*part, "ord", "cs", "inferred", "anchor", F.sum(F.col("anchor").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("g"))
+    g = told.groupBy(*part, "g").agg(F.array_sort(F.collect_list(F.struct("ord", "cs", "inferred", "anchor"))).alias("rows"))
+    kept_kind = "array<" + m.schema["ord"].dataType.simpleString() + ">"
+
+    def fold(rows, cur):
+        def take(acc, r):
+            ok = _better(r, acc["cur"]) | r["anchor"]
+            return F.struct(F.when(ok, r["cs"]).otherwise(acc["cur"]).alias("cur"), F.when(ok, F.concat(acc["kept"], F.array(r["ord"]))).otherwise(acc["kept"]).alias("kept"))
+
+        return F.aggregate(rows, F.struct(cur.cast("int").alias("cur"), F.array().cast(kept_kind).alias("kept")), take)
+
+    end = g.groupBy(*part).agg(F.max_by("rows", "g").alias("rows"), F.max("g").alias("g"))
+    end = end.select(*part, F.when(F.col("g") > 0, fold(F.col("rows"), F.lit(None))["cur"]).alias("end"), F.when(F.col("g") == 0, _starts(F.col("rows"))).alias("starts"))
+    lines = end.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("slice", "end", "starts"))).alias("s"))
+    carry = lines.select(*keys, F.explode(_carried(F.col("s"))).alias("c")).select(*keys, "c.*")
+    folded = g.join(carry, part).withColumn("f", fold(F.col("rows"), F.when(F.col("g") == 0, F.col("carry"))))
+    folded = folded.withColumn("last", F.coalesce(F.lag("f.cur").over(Window.partitionBy(*part).orderBy("g")), "carry"))
     first = F.get("rows", F.lit(0))
     # An anchor that repeats the time before it is no change, and stays out.
     same = first["anchor"] & F.col("last").isNotNull() & (first["cs"] == F.col("last")) & F.lit(not include_all)
-    kept = folded.select(*keys, F.explode(F.when(same, F.slice("f.kept", 2, F.greatest(F.size("f.kept") - 1, F.lit(0)))).otherwise(F.col("f.kept"))).alias("ord"))
-    return m.join(kept, [*keys, "ord"], "left_semi").drop("low", "anchor", "g")
+    kept = folded.select(*part, F.explode(F.when(same, F.slice("f.kept", 2, F.greatest(F.size("f.kept") - 1, F.lit(0)))).otherwise(F.col("f.kept"))).alias("ord"))
+    return m.join(kept, [*part, "ord"], "left_semi").drop("low", "anchor", "slice")
 
 
 def attribute_observed(kept: DataFrame, all_rows: DataFrame, extra: list[str] | None = None) -> DataFrame:
@@ -262,16 +316,18 @@ def attribute_observed(kept: DataFrame, all_rows: DataFrame, extra: list[str] |
 
 def dedupe_days(h: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row for each map, class, type, segment, day and time (and the extra columns): the best one, at the earliest one's place."""
-    keys = [*(extra or []), "map", "class", "record_type", "seg", F.floor(F.col("date") / 86400), "cs"]
+    keys = [*(extra or []), "map", "class", "record_type", "seg", F.floor(F.col("date") / 86400).alias("on"), "cs"]
     rank = F.when(F.col("kind") == "record", 0).when(F.col("kind") == "announcement", 1).when(F.col("kind") == "command", 2).otherwise(3)
     quality = [rank, F.lower("player") == "unknown", F.coalesce("id64", "clean_id").isNull(), F.col("candidates").isNull(), F.col("session_id").isNull(), F.col("session_id"), F.col("chat_index")]
-    w = Window.partitionBy(*keys)
-    return h.withColumn("ord", F.min("ord").over(w)).withColumn("rn", F.row_number().over(w.orderBy(*quality))).filter("rn = 1").drop("rn")
+    rest = [c for c in h.columns if c != "ord"]
+    best = h.groupBy(*keys).agg(F.min("ord").alias("first"), F.min_by(F.struct(*rest), F.struct(*[c.alias(f"q{i}") for i, c in enumerate(quality)])).alias("best"))
+    return best.select("best.*", F.col("first").alias("ord")).select(h.columns)
 
 
-def record_history(records: DataFrame, group_cols: list[str] | None = None, include_all: bool = False) -> DataFrame:
+def record_history(records: DataFrame, group_cols: list[str] | None = None, include_all: bool = False, any_kind: bool = False) -> DataFrame:
+    """Of records of the history (of_history()), or with any_kind of all. group_cols: what is folded as one; ["class"] takes all maps of one extraction together."""
     group_cols = group_cols if group_cols is not None else ["map", "class"]
-    m = marked(records)
+    m = stored(marked(records if any_kind else of_history(records)), "marked")  # read four times from here on
     kept = fold_changes(suppress_duplicates(m, group_cols), group_cols, include_all)
     extra = [c for c in group_cols if c not in ("map", "class")]
     return dedupe_days(attribute_observed(kept, m, extra), extra)
@@ -284,8 +340,10 @@ def export_history(h: DataFrame) -> DataFrame:
 
 def faster_than_record(records: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
     """Audit: rows that are no records and faster than the best record of their segment."""
-    w = Window.partitionBy(*(group_cols or ["map", "class"]), F.lower("seg"))
-    return marked(records).withColumn("best", F.min(F.when(F.col("kind") == "record", F.col("cs"))).over(w)).filter("kind <> 'record' AND cs < best")
+    keys = [*(group_cols or ["map", "class"]), "low"]
+    m = marked(of_history(records)).withColumn("low", F.lower("seg"))
+    best = m.filter("kind = 'record'").groupBy(*keys).agg(F.min("cs").alias("best"))  # a line for each segment
+    return m.filter("kind <> 'record'").join(best, keys).filter("cs < best").drop("low")
 
 
 def audit_records(records: DataFrame) -> DataFrame:

@@ -111,7 +111,7 @@ def year_review(tables: dict[str, DataFrame], year: int, n: int = 10) -> dict[st
         out |= {"counts": counts_sheet(named, chats, here["per_session"], sessions), "playtime_counts": p, "playtime_peaks": peaks(p, ["player_key"]), "playtime_top": top_n(p, ["player_key", "grouping"], [F.desc("value"), "key"], n)}
         out["class"] = favourite_class(map_playtime(here["per_session"], sessions))
     if "records" in tables:
-        h = record_history(player_records(here["records"], named), ["player_key", "map", "class"])
+        h = record_history(player_records(here["records"], named), ["player_key", "map", "class"], any_kind=True)
         out |= {"records": include(h), "record_counts": include_counts(h, ["player_key"])}
     if "lexicon" in tables:
         scored = sentiment(chats, "body", tables["lexicon"], ["session_id", "index"]).join(index.select(F.col("id").alias("session_id"), "date"), "session_id")

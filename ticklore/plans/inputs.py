@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ticklore.operators import intervals, playtime, records
 from ticklore.sources import adapters as ad
+from ticklore.sources.shared import stored
 
 
 def chat_tables(spark, d):
@@ -29,5 +30,10 @@ def per_session_of(t):
     return playtime.session_playtime(alive_of(t), t.users.join(t.sessions.select("session_id", "interval_per_tick"), "session_id"))
 
 
-def records_of(t):
+def records_plan(t):
     return records.extract_records(t.record_chat(), t.sessions, t.index(), t.named_users())
+
+
+def records_of(t):
+    """The records as a table of their own: lines are parsed once, whatever reads them."""
+    return stored(records_plan(t), "records")

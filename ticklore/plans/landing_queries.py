@@ -177,6 +177,6 @@ ORACLES = {
     "chat_log": f"""WITH {CV} SELECT strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d %H:%M:%S') || ' | ' || map || ' | ' || server || ' | ' || regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS line FROM ch JOIN ss USING (session_id) JOIN ix ON id = session_id""",
     "names_read": "SELECT lower(c_name) AS name FROM customer",
     "user_chat": f"""WITH {CV} SELECT date, c.session_id, "index", map, text FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE id64 = 76561197960265728 + 3""",
-    "server_records": f"""WITH {EV}, {REC} SELECT session_id, chat_index AS "index", 'map_' || (session_id % 7) AS map_name, 'srv 1' AS server, 'SRV | (' || CASE class WHEN 'Solly' THEN 'Soldier' ELSE 'Demoman' END || ') ' || player || ' broke ' ||
+    "server_records": f"""WITH {EV}, {REC} SELECT session_id, chat_index AS "index", 'map_' || (session_id % 7) AS map_name, 'srv 1' AS server, 'SRV | (' || CASE class WHEN 'Solly' THEN 'Soldier' WHEN 'Demo' THEN 'Demoman' ELSE class END || ') ' || player || ' broke ' ||
       CASE chat_index % 12 WHEN 3 THEN 'Bonus 1 ' || tm || ' (WR -00:00.10) | 00:00.10 improvement!' WHEN 5 THEN 'Course 2 ' || tm || ' (WR -00:00.25)' ELSE 'C2 - Jump One ' || tm || ' (WR -00:00.10)' END AS text FROM r WHERE chat_index % 12 IN (3, 5, 6) AND session_id % 3 = 1""",
 }

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ticklore.operators import chat, intervals, joins, playtime, records, review
+from ticklore.operators.filters import class_matches
 from ticklore.plans import landing_queries, review_queries
-from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_session_of, records_of, watching_of
+from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_session_of, records_of, records_plan, watching_of
 from ticklore.plans.sql import COUNTS, CV, EV, MG, PER, REC, SAID, SIX, STOP, TOK, days, fold
 from ticklore.sources import adapters as ad
 from ticklore.sources import ingest
+from ticklore.sources.shared import stored
 
 
 def alive(spark, d):
@@ -115,11 +117,11 @@ def neighbours(spark, d):
 
 
 def record_rows(spark, d):
-    return records_of(event_tables(spark, d)).select("session_id", "chat_index", "player", "class", F.col("map").alias("map_name"), "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
+    return records_plan(event_tables(spark, d)).select("session_id", "chat_index", "player", "class", F.col("map").alias("map_name"), "record_type", "source", "record_time", "run_time", "split", "improvement", "inferred", "is_lookup")
 
 
 def record_fold(spark, d):
-    m = records.suppress_duplicates(records.marked(records_of(event_tables(spark, d))), ["map", "class"])
+    m = records.suppress_duplicates(records.marked(records.of_history(records_of(event_tables(spark, d)))), ["map", "class"])
     return records.fold_changes(m, ["map", "class"]).select(F.col("map").alias("map_name"), "class", "seg", "chat_index", "cs")
 
 
@@ -127,6 +129,13 @@ def record_history(spark, d):
     return records.export_history(records.record_history(records_of(event_tables(spark, d)))).withColumnRenamed("map", "map_name")
 
 
+def one_map_history(spark, d):
+    """The history of one map's family and one class, all its maps folded together."""
+    t = event_tables(spark, d)
+    told = stored(records.extract_records(t.record_chat(), t.sessions, t.index(), t.named_users(), only_map="map_3"), "records").filter(class_matches(F.col("class"), "S"))
+    return records.export_history(records.record_history(told, ["class"])).withColumnRenamed("map", "map_name")
+
+
 def record_audit(spark, d):
     return records.audit_records(records_of(event_tables(spark, d))).select("session_id", "chat_index", F.col("map").alias("map_name"), "class", "seg", "kind", "cs", "best", "line")
 
@@ -153,7 +162,7 @@ QUERIES = {
     "playtime_counts": playtime_counts, "keyword_rank": keyword_rank, "speaker_resolution": speakers, "archive_stats": stats, "map_names": maps, "pending_sessions": pending, "repair_flags": repaired,
     "search_chat": search, "map_chat": map_chat, "mention_context": mention_context, "chat_counts": chat_counts, "chat_peaks": chat_peaks, "message_style": style, "word_counts": words, "bigram_counts": bigrams,
     "chat_neighbours": neighbours, "record_rows": record_rows, "record_fold": record_fold,
-    "record_history": record_history, "record_audit": record_audit, "map_runs": runs, "personal_runs": personal_runs, "ingest_index": index_lines,
+    "record_history": record_history, "one_map_history": one_map_history, "record_audit": record_audit, "map_runs": runs, "personal_runs": personal_runs, "ingest_index": index_lines,
     **landing_queries.QUERIES, **review_queries.QUERIES,
 }
 
@@ -191,12 +200,14 @@ ORACLES = {
     "bigram_counts": f"SELECT a || ' ' || b AS phrase, count(*) AS n FROM (SELECT unnest(t[:-2]) AS a, unnest(t[2:]) AS b FROM (SELECT {TOK.format('text')} AS t FROM documents) WHERE len(t) > 1) WHERE a NOT IN ({STOP}) AND b NOT IN ({STOP}) GROUP BY 1",
     "chat_neighbours": f"""WITH {CV}, l AS (SELECT session_id, CASE WHEN NOT is_bot THEN '64:' || id64 END AS who, row_number() OVER (PARTITION BY session_id ORDER BY "index") AS pos FROM ch JOIN us USING (session_id, uid)),
       p AS (SELECT DISTINCT a.session_id, a.pos, a.pos > b.pos AS side, a.who AS player_key, b.who AS peer_key FROM l a JOIN l b ON a.session_id = b.session_id AND abs(a.pos - b.pos) BETWEEN 1 AND 3 AND a.who <> b.who) SELECT player_key, peer_key, count(*) AS n FROM p GROUP BY 1, 2""",
-    "record_rows": f"""WITH {EV}, {REC} SELECT session_id, chat_index, player, class, map_name, 'WR' AS record_type, source, tm AS record_time, CASE WHEN k = 7 THEN tm END AS run_time,
+    "record_rows": f"""WITH {EV}, {REC} SELECT session_id, chat_index, player, class, map_name, record_type, source, tm AS record_time, CASE WHEN k = 7 THEN tm END AS run_time,
       CASE WHEN k IN (0, 3, 6, 7) THEN '-00:00.10' WHEN k = 5 THEN '-00:00.25' END AS split, CASE WHEN k = 3 THEN '00:00.10' END AS improvement, inferred, is_lookup FROM rr""",
     "record_fold": f"WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')} SELECT map_name, class, seg, chat_index, cs FROM f WHERE kept",
     "record_history": f"""WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')}, {days('map_name, class, seg')}
       SELECT strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d') AS date, map_name, class, seg AS segment, 'WR' AS record_type, kind AS evidence, {SAID}, player, player_id, NULL::VARCHAR AS candidates, CASE WHEN kind = 'record' THEN session_id END AS session_id FROM hd""",
-    "record_audit": f"""WITH {EV}, {REC}, b AS (SELECT *, min(cs) FILTER (kind = 'record') OVER (PARTITION BY map_name, class, seg) AS best FROM rr) SELECT session_id, chat_index, map_name, class, seg, kind, cs, best, CASE k WHEN 9 THEN ':: (' || long || ') ' || player || ' set ' || map_name || ' WR: ' || tm || '!' WHEN 10 THEN 'SRV | (' || long || ') ' || player || ' is ranked 1/12 on ' || map_name || ' with time: ' || tm
+    "one_map_history": f"""WITH RECURSIVE {EV}, {REC}, own AS (SELECT * FROM ok WHERE class = 'Solly' AND map_name = 'map_3' AND (k = 9 OR session_id % 7 = 3)), {fold('class, seg', 'own')}, {days('map_name, class, seg')}
+      SELECT strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d') AS date, map_name, class, seg AS segment, 'WR' AS record_type, kind AS evidence, {SAID}, player, player_id, NULL::VARCHAR AS candidates, CASE WHEN kind = 'record' THEN session_id END AS session_id FROM hd""",
+    "record_audit": f"""WITH {EV}, {REC}, b AS (SELECT *, min(cs) FILTER (kind = 'record') OVER (PARTITION BY map_name, class, seg) AS best FROM ok) SELECT session_id, chat_index, map_name, class, seg, kind, cs, best, CASE k WHEN 9 THEN ':: (' || long || ') ' || player || ' set ' || map_name || ' WR: ' || tm || '!' WHEN 10 THEN 'SRV | (' || long || ') ' || player || ' is ranked 1/12 on ' || map_name || ' with time: ' || tm
         ELSE 'SRV | (' || long || ' WR) ' || map_name || ' :: ' || tm || ' :: ' || player END AS line FROM (SELECT *, CASE class WHEN 'Solly' THEN 'Soldier' ELSE 'Demoman' END AS long FROM b) WHERE kind <> 'record' AND cs < best""",
     "map_runs": f"""WITH {EV}, {REC} SELECT date, session_id, chat_index, 'map_' || (session_id % 7) AS map_name, class, CASE WHEN k0 = 8 AND user_id % 3 = 0 THEN 'PR' ELSE 'WR' END AS label, tm AS run_time, CASE WHEN k0 = 8 THEN '+00:00.10' ELSE '-00:00.10' END AS split,
       CASE WHEN k0 = 8 AND user_id % 3 = 0 THEN '00:00.05' END AS improvement, player_id FROM (SELECT *, chat_index % 12 AS k0 FROM r) WHERE k0 IN (7, 8)""",

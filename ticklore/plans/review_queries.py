@@ -76,7 +76,7 @@ def observed_holders(spark, d):
 def player_records(spark, d):
     t = event_tables(spark, d)
     named = t.named_users().join(t.users, ["session_id", "user_id"])
-    h = records.record_history(records.player_records(records_of(t), named), ["player_key", "map", "class"])
+    h = records.record_history(records.player_records(records_of(t), named), ["player_key", "map", "class"], any_kind=True)
     return h.select("player_key", F.col("map").alias("map_name"), "class", "seg", "chat_index", "cs")
 
 
@@ -268,14 +268,14 @@ ORACLES = {
       w AS (SELECT session_id, min(pos) - 1 AS lo, max(pos) + 1 AS hi FROM n WHERE hit GROUP BY 1) SELECT n.session_id, "index", text, hit FROM n JOIN w USING (session_id) WHERE pos BETWEEN lo AND hi""",
     "kept_records": f"{_KEPT} SELECT class, count(*) AS n, count(*) FILTER (inferred) AS n_inferred, count(*) FILTER (is_lookup) AS n_lookup, count(*) FILTER (NOT inferred AND NOT is_lookup) AS n_plain FROM hd GROUP BY 1",
     "shown_records": f"{_KEPT} SELECT chat_index, cs FROM hd WHERE class = 'Solly' AND NOT inferred AND NOT is_lookup",
-    "every_record": f"""WITH {EV}, {REC}, a AS (SELECT *, max(kind = 'record') OVER (PARTITION BY map_name, class, seg, cs) AS sure FROM rr), h AS (SELECT * FROM a WHERE (kind = 'record' OR NOT sure) AND NOT inferred)
+    "every_record": f"""WITH {EV}, {REC}, a AS (SELECT *, max(kind = 'record') OVER (PARTITION BY map_name, class, seg, cs) AS sure FROM ok), h AS (SELECT * FROM a WHERE (kind = 'record' OR NOT sure) AND NOT inferred)
       SELECT chat_index, cs FROM h QUALIFY row_number() OVER (PARTITION BY map_name, class, seg, date // 86400, cs ORDER BY CASE kind WHEN 'record' THEN 0 WHEN 'announcement' THEN 1 ELSE 2 END, session_id, chat_index) = 1""",
     "latest_records": f"""{_KEPT}, ho AS (SELECT *, min(struct_pack(a := date, b := session_id, c := chat_index)) OVER (PARTITION BY map_name, class, seg, date // 86400, cs) AS ord FROM h),
       hr AS (SELECT * FROM ho WHERE chat_index IN (SELECT chat_index FROM hd)) SELECT map_name, class, seg, chat_index, rank FROM (SELECT *, row_number() OVER (PARTITION BY map_name, class, seg ORDER BY ord DESC) AS rank FROM hr) WHERE rank <= 2""",
     "observed_holders": f"""WITH {EV}, {REC}, z AS (SELECT * REPLACE (cs % 20 + 100 AS cs) FROM rr), h AS (SELECT map_name, class, seg, cs, player, player_id FROM z WHERE k <> 7
         QUALIFY row_number() OVER (PARTITION BY map_name, class, seg, cs ORDER BY CASE WHEN NOT is_lookup AND NOT inferred THEN 0 WHEN NOT is_lookup THEN 1 WHEN NOT inferred THEN 2 ELSE 3 END, session_id, chat_index) = 1)
       SELECT z.chat_index, coalesce(h.player, 'unknown') AS player, h.player_id AS id64, 'ObservedWR' AS source, 'wr_split' AS how FROM z LEFT JOIN h USING (map_name, class, seg, cs) WHERE k = 7""",
-    "player_records": f"WITH RECURSIVE {EV}, {REC}, {fold('record_key, map_name, class, seg')}, {days('record_key, map_name, class, seg')} SELECT record_key AS player_key, map_name, class, seg, chat_index, cs FROM hd",
+    "player_records": f"WITH RECURSIVE {EV}, {REC}, {fold('record_key, map_name, class, seg', "(SELECT * FROM rr WHERE record_type = 'WR')")}, {days('record_key, map_name, class, seg')} SELECT record_key AS player_key, map_name, class, seg, chat_index, cs FROM hd",
     "held_names": """WITH u AS (SELECT c_nationkey AS s, 'k' || (c_custkey % 9) AS player_key, 'player' || (c_custkey % 30) AS name FROM customer),
       n AS (SELECT c_custkey, c_nationkey AS s, CASE WHEN c_custkey % 20 = 0 THEN 'player' || ((c_custkey // 10) % 30) END AS whole, 'player' || (c_custkey % 3) AS stem FROM customer WHERE c_custkey % 10 = 0)
       SELECT DISTINCT c_custkey, player_key FROM n JOIN u USING (s) WHERE CASE WHEN whole IS NOT NULL THEN name = whole ELSE starts_with(name, stem) END""",

@@ -36,7 +36,7 @@ ct AS (SELECT grouping, key, count(*) AS value FROM (
   UNION ALL SELECT 'day', strftime(t, '%Y-%m-%d') FROM cc UNION ALL SELECT 'hour', strftime(t, '%H') FROM cc UNION ALL SELECT 'weekday', strftime(t, '%A') FROM cc) GROUP BY ALL)
 """
 REC = """
-r AS (SELECT session_id, idx AS chat_index, user_id, cs, idx % 12 AS k, 'user_' || user_id AS player, CASE WHEN user_id % 2 = 0 THEN 'Solly' ELSE 'Demo' END AS class, CASE WHEN idx % 12 IN (9, 10, 11) THEN 'map_' || (user_id % 5) ELSE 'map_' || (session_id % 7) END AS map_name, '64:' || (user_id % 40) AS record_key, (user_id % 40)::VARCHAR AS player_id,
+r AS (SELECT session_id, idx AS chat_index, user_id, cs, idx % 12 AS k, 'user_' || user_id || CASE WHEN idx % 12 = 11 AND user_id % 9 = 4 THEN ' (no WR)' ELSE '' END AS player, CASE WHEN user_id % 13 = 5 THEN 'Scout' WHEN user_id % 13 = 7 THEN 'demo' WHEN user_id % 2 = 0 THEN 'Solly' ELSE 'Demo' END AS class, CASE WHEN idx % 12 IN (9, 10, 11) THEN 'map_' || (user_id % 5) ELSE 'map_' || (session_id % 7) END AS map_name, '64:' || (user_id % 40) AS record_key, CASE WHEN idx % 12 <> 11 OR user_id % 9 <> 4 OR idx % 5 <> 0 THEN (user_id % 40)::VARCHAR END AS player_id, CASE WHEN idx % 12 = 11 AND user_id % 9 = 4 THEN 'SR' ELSE 'WR' END AS record_type,
   1704067200.0::DOUBLE + (session_id // 8) * 86400 AS date,
   CASE WHEN cs >= 360000 THEN (cs // 360000) || ':' ELSE '' END || lpad(((cs // 6000) % 60)::VARCHAR, 2, '0') || ':' || lpad(((cs // 100) % 60)::VARCHAR, 2, '0') || '.' || lpad((cs % 100)::VARCHAR, 2, '0') AS tm
   FROM (SELECT *, round(value * 100)::INT + 1 AS cs FROM e)),
@@ -44,7 +44,8 @@ rr AS (SELECT *, CASE k WHEN 0 THEN 'MapRecord' WHEN 1 THEN 'MapRecord' WHEN 2 T
   WHEN 9 THEN 'IRCSet' WHEN 10 THEN 'Ranked' WHEN 11 THEN 'Compact' END AS source, k = 10 AS inferred, k >= 10 AS is_lookup,
   CASE WHEN k IN (3, 4) THEN 'Bonus 1' WHEN k = 5 THEN 'Course 2' WHEN k = 6 THEN 'C2 - Jump One' ELSE 'Map' END AS seg,
   CASE WHEN k >= 10 THEN 'command' WHEN k = 9 THEN 'announcement' ELSE 'record' END AS kind,
-  CASE WHEN k = 10 THEN 100 WHEN k IN (0, 1) THEN 1 WHEN k = 2 THEN 2 WHEN k = 11 THEN 3 WHEN k = 9 THEN 4 WHEN k = 7 THEN 5 ELSE 50 END AS p FROM r WHERE k <> 8)
+  CASE WHEN k = 10 THEN 100 WHEN k IN (0, 1) THEN 1 WHEN k = 2 THEN 2 WHEN k = 11 THEN 3 WHEN k = 9 THEN 4 WHEN k = 7 THEN 5 ELSE 50 END AS p FROM r WHERE k <> 8),
+ok AS (SELECT * FROM rr WHERE record_type = 'WR' AND class IN ('Solly', 'Demo'))
 """
 #: What the export says of a row of REC.
 SAID = """
@@ -53,12 +54,12 @@ tm AS record_time, CASE WHEN k = 7 THEN tm END AS run_time, CASE WHEN k IN (0, 3
 """
 
 
-def fold(by: str) -> str:
+def fold(by: str, rows: str = "ok") -> str:
     """CTEs d, o, f: the plain fold of REC, row by row, in groups of the columns `by`: independent of the anchors that the operator splits at."""
     same = " AND ".join(f"o.{c.strip()} = f.{c.strip()}" for c in by.split(","))
     f_cols = ", ".join(f"o.{c.strip()}" for c in by.split(","))
     better = "(o.cs < f.cur - o.inferred::INT OR (o.cs > f.cur AND NOT o.inferred AND (o.kind = 'record' OR o.source = 'IRCSet')))"
-    return f"""d AS (SELECT *, max(kind = 'record') OVER (PARTITION BY {by}, cs) AS sure FROM rr),
+    return f"""d AS (SELECT *, max(kind = 'record') OVER (PARTITION BY {by}, cs) AS sure FROM {rows}),
       o AS (SELECT *, row_number() OVER (PARTITION BY {by} ORDER BY date, session_id, chat_index, p, cs) AS n FROM d WHERE kind = 'record' OR NOT sure),
       f AS (SELECT {by}, n, chat_index, cs, cs AS cur, true AS kept FROM o WHERE n = 1
         UNION ALL SELECT {f_cols}, o.n, o.chat_index, o.cs, CASE WHEN {better} THEN o.cs ELSE f.cur END, {better} FROM f JOIN o ON {same} AND o.n = f.n + 1)"""

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _own: list[str] = []
 
@@ -36,3 +36,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _file_system(spark, path)
     fs.delete(at, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, read back from a table in the shared folder: computed once, whatever reads them, and safe from lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
