@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticklore.functions.scalars import calendar_keys, count_char, message_body, speaker_name, tokens
 from ticklore.operators.filters import any_keyword, contains_ci, is_player_chat, mentions
 from ticklore.operators.joins import chats_of, chats_with_users, with_session
+from ticklore.operators.scan import SLICE_ROWS, halo, positions, sliced
 
 # Words that tell a kind of message.
 LAUGHTER, THANKS, SORRY = ("lol", "lmao", "rofl", "haha"), ("ty", "thanks", "thx"), ("sorry", "sry")
@@ -34,15 +35,15 @@ def export_user_chat(chats: DataFrame, users: DataFrame, sessions: DataFrame, in
     return with_session(chats_of(chats, users, player), sessions, index).select("date", "session_id", "index", "map", "text").orderBy("date", "session_id", "index")
 
 
-def export_mentions(chats: DataFrame, users: DataFrame, term: str, n: int = 5, exclude_id64: int | None = None, exclude_names: list[str] | None = None) -> DataFrame:
+def export_mentions(chats: DataFrame, users: DataFrame, term: str, n: int = 5, exclude_id64: int | None = None, exclude_names: list[str] | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Player lines that mention the term, and those up to n lines around the first and last of each session."""
     u = users.select("session_id", F.col("user_id").alias("from_user_id"), "id64")
     lines = chats.filter(is_player_chat(F.col("text"))).join(u, ["session_id", "from_user_id"], "left")
     keep = mentions(message_body(F.col("text")), term) & ~F.col("id64").eqNullSafe(F.lit(exclude_id64)) if exclude_id64 is not None else mentions(message_body(F.col("text")), term)
     if exclude_names:
         keep = keep & ~F.coalesce(F.lower(speaker_name(F.col("text"))).isin([x.lower() for x in exclude_names]), F.lit(False))
-    numbered = lines.withColumn("hit", keep).withColumn("pos", F.row_number().over(Window.partitionBy("session_id").orderBy("index")))
-    return context_window(numbered, n)
+    told = sliced(lines.select("session_id", "index", "text", keep.alias("hit")), ["session_id"], ["index"], slice_rows)
+    return context_window(positions(told, ["session_id"], ["index"]), n)
 
 
 def context_window(numbered: DataFrame, n: int) -> DataFrame:
@@ -110,12 +111,15 @@ def peaks(counts: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return counts.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
-def chat_neighbours(chats: DataFrame, users: DataFrame, k: int = 3) -> DataFrame:
-    """For each line of a player, the distinct other players among the k lines before and the k after: how often each."""
-    c = chats_of(chats, users)
-    own = c.withColumn("who", F.when(~F.coalesce("is_bot", F.lit(False)), F.col("player_key")))
-    w = Window.partitionBy("session_id").orderBy("index")
+def chat_neighbours(chats: DataFrame, users: DataFrame, k: int = 3, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """For each line of a player, the distinct other players among the k lines before and the k after: how often each.
+
+    Sessions are dealt in slices, and each slice gets the k lines on either side of it.
+    """
+    c = chats_of(chats, users).select("session_id", "index", F.when(~F.coalesce("is_bot", F.lit(False)), F.col("player_key")).alias("who"))
+    own = halo(sliced(c, ["session_id"], ["index"], slice_rows), ["session_id"], ["index"], k, ["who"])
+    w = Window.partitionBy("session_id", "slice").orderBy("index")
     side = lambda f: F.array(*[f("who", i).over(w) for i in range(1, k + 1)])
-    sides = own.select("who", side(F.lead).alias("ahead"), side(F.lag).alias("behind"))
+    sides = own.select("who", "own", side(F.lead).alias("ahead"), side(F.lag).alias("behind")).filter("own")
     near = sides.select("who", F.explode(F.array("ahead", "behind")).alias("near")).filter("who IS NOT NULL")
     return near.select("who", F.explode(F.array_distinct(F.array_compact("near"))).alias("other")).filter("who <> other").groupBy(F.col("who").alias("player_key"), F.col("other").alias("peer_key")).agg(F.count("*").alias("n"))

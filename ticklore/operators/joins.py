@@ -46,8 +46,16 @@ def sessions_of_urls(urls: DataFrame, index: DataFrame, sessions: DataFrame) ->
     return both.withColumn("rn", F.row_number().over(Window.partitionBy("url").orderBy("session_id"))).filter("rn = 1").drop("rn")
 
 
-def on_map(df: DataFrame, sessions: DataFrame, map_name: str) -> DataFrame:
-    return df.join(sessions.filter(F.col("map") == map_name).select("session_id"), "session_id", "left_semi")
+def block_pairs(rows: DataFrame, key: str, node: str, others: list[str], block: int = 2000) -> DataFrame:
+    """Ordered pairs of different nodes of a key: key, node, the left row's `others`, and the right row's node as `peer`.
+
+    A key of n rows is split into n / block parts; each pair of parts is a group of its own, so none holds more than about two blocks of rows.
+    """
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    dealt = rows.join(sizes, key).withColumns({"part": F.pmod(F.xxhash64(node), F.col("parts")).cast("int"), "meets": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    left = dealt.select(key, node, *others, F.col("part").alias("i"), F.col("meets").alias("j"))
+    right = dealt.select(key, F.col(node).alias("peer"), F.col("meets").alias("i"), F.col("part").alias("j"))
+    return left.join(right, [key, "i", "j"]).filter(F.col(node) != F.col("peer")).drop("i", "j")
 
 
 def known_only(df: DataFrame, names: DataFrame, column: str = "name") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklore.operators.intervals import merge_intervals, overlap_ticks
+from ticklore.sources.shared import stored
 
 
 def common_name(df: DataFrame, keys: list[str], name: str = "name", order: str = "session_id") -> DataFrame:
@@ -40,8 +41,8 @@ def spectator_peers(alive: DataFrame, spectating: DataFrame, users: DataFrame) -
     """For each ordered pair of players: seconds that the peer watched while the player was alive, and the other way round."""
     who = users.select("session_id", "user_id", "player_key")
     rate = alive.select("session_id", "interval_per_tick").unionByName(spectating.select("session_id", "interval_per_tick")).distinct()
-    a = merge_intervals(alive.join(who, ["session_id", "user_id"]), ["session_id", "player_key"])
-    s = merge_intervals(spectating.join(who, ["session_id", "user_id"]), ["session_id", "player_key"]).withColumnRenamed("player_key", "peer_key")
+    a = stored(merge_intervals(alive.join(who, ["session_id", "user_id"]), ["session_id", "player_key"]), "alive")
+    s = stored(merge_intervals(spectating.join(who, ["session_id", "user_id"]), ["session_id", "player_key"]), "spectating").withColumnRenamed("player_key", "peer_key")
     t = overlap_ticks(a, s, ["session_id"], ["session_id", "player_key", "peer_key"]).filter("player_key <> peer_key AND ticks > 0").join(rate, "session_id")
     one = t.select("player_key", "peer_key", "interval_per_tick", F.col("ticks").alias("them"), F.lit(0).alias("me"))
     two = t.select(F.col("peer_key").alias("player_key"), F.col("player_key").alias("peer_key"), "interval_per_tick", F.lit(0).alias("them"), F.col("ticks").alias("me"))

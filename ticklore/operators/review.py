@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ticklore.functions.scalars import calendar_keys, message_body, player_key
 from ticklore.operators.chat import bigram_counts, by_each, chat_counts, chat_neighbours, message_style, peaks, word_counts
 from ticklore.operators.filters import in_year
-from ticklore.operators.joins import chats_of, with_session
+from ticklore.operators.joins import block_pairs, chats_of, with_session
 from ticklore.operators.playtime import map_playtime, top_n
 from ticklore.operators.records import include, include_counts, player_records, record_history
 from ticklore.operators.sentiment import extreme_messages, sentiment, sentiment_overall, superlatives
@@ -51,7 +51,7 @@ def friends(chats: DataFrame, users: DataFrame, per_session: DataFrame | None =
     else:
         u = u.withColumn("seconds", F.lit(0.0))
     lines = chats_of(chats, users).groupBy("session_id", F.col("player_key").alias("peer_key")).agg(F.count("*").alias("lines"))
-    pairs = u.join(u.select("session_id", F.col("player_key").alias("peer_key")), "session_id").filter("player_key <> peer_key").join(lines, ["session_id", "peer_key"], "left")
+    pairs = block_pairs(u, "session_id", "player_key", ["seconds"]).withColumnRenamed("peer", "peer_key").join(lines, ["session_id", "peer_key"], "left")
     shared = pairs.groupBy("player_key", "peer_key").agg(F.count("*").alias("shared_sessions"), F.round(F.sum(F.coalesce("seconds", F.lit(0.0))), 4).alias("shared_seconds"), F.sum(F.coalesce("lines", F.lit(0))).alias("chat_lines"))
     near = chat_neighbours(chats, users, k).withColumnRenamed("n", "replies")
     return shared.join(near, ["player_key", "peer_key"], "left").withColumn("replies", F.coalesce("replies", F.lit(0)))
