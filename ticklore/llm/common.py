@@ -82,15 +82,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, unique: bool = False) -> DataFrame:
     """(rid, doc_id, text): rid is a non-null long, unique for each row, and ordered as doc_id.
 
     Unique non-null doc_ids serve as they are. Else rows are numbered once, in a written table, in the order doc_id
-    (nulls last), then text: every row counts as a document of its own, repeated rows included.
+    (nulls last), then text: every row counts as a document of its own, repeated rows included. unique: the caller
+    knows that they are unique and not null, so they need not be counted.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    repeated = narrow.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").limit(1).count()
-    if not repeated:
+    if unique or not narrow.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").limit(1).count():
         return narrow.select(F.col("doc_id").alias("rid"), "doc_id", "text")
     ordered = narrow.repartitionByRange(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "text")
     return written(ordered.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), "keyed")

@@ -290,17 +290,17 @@ def block_pairs(met: DataFrame, shard_rows: int) -> DataFrame:
     return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "weight")
 
 
-def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = GROUP_ROWS) -> DataFrame:
+def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = GROUP_ROWS, unique: bool = False) -> DataFrame:
     """doc_id, component_id for each row: components of documents whose sets of word shingles are at least so similar.
 
     At that similarity fingerprints differ by 10 bits in the mean, where no ball is smaller than the space and no tree can prune.
     So documents meet by their KEYS least shingle hashes; within a key, SimHash fingerprints and sign bits of the sets leave out
     what is far off, and what stays is decided on the whole sets. Groups are of bounded size: a key of many rows is split, and all
     pairs of its parts meet. Equal sets are one node throughout. Documents without words are copies of each other; rows that share
-    a doc_id are documents of their own; null doc_ids never name a component.
+    a doc_id are documents of their own; null doc_ids never name a component. unique: as in keyed().
     """
     small_batches(docs.sparkSession)
-    rows = keyed(docs)
+    rows = keyed(docs, unique)
 
     def run(batches):
         for batch in batches:
