@@ -12,6 +12,7 @@ from ticklore.operators.joins import block_pairs, chats_of, with_session
 from ticklore.operators.playtime import map_playtime, top_n
 from ticklore.operators.records import include, include_counts, player_records, record_history
 from ticklore.operators.sentiment import extreme_messages, sentiment, sentiment_overall, superlatives
+from ticklore.sources.shared import stored
 
 
 def archive_stats(index: DataFrame, sessions: DataFrame | None = None) -> DataFrame:
@@ -88,7 +89,7 @@ def top_phrases(chats: DataFrame, n: int) -> DataFrame:
 
 
 def year_review(tables: dict[str, DataFrame], year: int, n: int = 10) -> dict[str, DataFrame]:
-    """A DataFrame for each part of the review, with every player in it at once.
+    """A DataFrame for each part of the review, with every player in it at once. The year's rows are read once, and stored for all parts.
 
     tables: chats, users, sessions, index; with per_session the parts on time, with records (as extract_records() gives them)
     those on records, with lexicon those on sentiment.
@@ -96,7 +97,9 @@ def year_review(tables: dict[str, DataFrame], year: int, n: int = 10) -> dict[st
     index = tables["index"].filter(in_year(F.col("date"), year))
     own = index.select(F.col("id").alias("session_id"))
     here = {k: tables[k].join(own, "session_id", "left_semi") for k in ("chats", "users", "per_session", "records") if k in tables}
-    chats, sessions = chats_of(here["chats"], here["users"]).withColumn("body", message_body(F.col("text"))), tables["sessions"]
+    # One scan of each for all parts: the year's rows, stored.
+    here = {k: stored(v, f"year-{k}") for k, v in here.items()}
+    chats, sessions = stored(chats_of(here["chats"], here["users"]).withColumn("body", message_body(F.col("text"))), "year-lines"), tables["sessions"]
     named = here["users"].withColumn("player_key", player_key(F.col("id64"), F.col("clean_id"))).filter("player_key IS NOT NULL")
     counts = chat_counts(chats, sessions, index, ["player_key"])
     f = friends(here["chats"], here["users"], here.get("per_session"))
@@ -114,6 +117,6 @@ def year_review(tables: dict[str, DataFrame], year: int, n: int = 10) -> dict[st
         h = record_history(player_records(here["records"], named), ["player_key", "map", "class"], any_kind=True)
         out |= {"records": include(h), "record_counts": include_counts(h, ["player_key"])}
     if "lexicon" in tables:
-        scored = sentiment(chats, "body", tables["lexicon"], ["session_id", "index"]).join(index.select(F.col("id").alias("session_id"), "date"), "session_id")
+        scored = stored(sentiment(chats, "body", tables["lexicon"], ["session_id", "index"]).join(index.select(F.col("id").alias("session_id"), "date"), "session_id"), "year-scored")
         out |= {"sentiment": sentiment_overall(scored, ["player_key"]), "extremes": extreme_messages(scored, ["player_key"]), "superlatives": superlatives(scored, ["player_key"])}
     return out

@@ -11,6 +11,7 @@ from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_sessi
 from ticklore.plans.sql import COUNTS, CV, EV, MG, PER, REC, SAID, SIX, STOP, TOK, days, fold
 from ticklore.sources import adapters as ad
 from ticklore.sources import ingest
+from ticklore.sources.layout import located
 from ticklore.sources.shared import stored
 
 
@@ -52,6 +53,13 @@ def keyword_rank(spark, d):
     return chat.keyword_rank(chats, users, ["the", "onth"])
 
 
+def located_chat(spark, d):
+    """Chat lines with their users, map and date, from tables bucketed by session."""
+    chats, users, sessions, index = chat_tables(spark, d)
+    t = located({"chats": chats, "users": users, "sessions": sessions}, 4, {"chats": ["index"]})
+    return joins.with_session(joins.chats_with_users(t["chats"], t["users"]), t["sessions"], index).select("session_id", "index", "name", "id64", F.col("map").alias("map_name"), "date")
+
+
 def speakers(spark, d):
     chats, users, _, _ = chat_tables(spark, d)
     return joins.resolve_speakers(chats, users).withColumn("candidates", F.array_join("candidates", ","))
@@ -159,7 +167,7 @@ def index_lines(spark, d):
 
 QUERIES = {
     "alive_intervals": alive, "spectator_intervals": watching, "map_playtime": map_playtime, "map_spectating": map_spectating, "merged_intervals": merged, "spectator_peers": peers,
-    "playtime_counts": playtime_counts, "keyword_rank": keyword_rank, "speaker_resolution": speakers, "archive_stats": stats, "map_names": maps, "pending_sessions": pending, "repair_flags": repaired,
+    "playtime_counts": playtime_counts, "keyword_rank": keyword_rank, "located_chat": located_chat, "speaker_resolution": speakers, "archive_stats": stats, "map_names": maps, "pending_sessions": pending, "repair_flags": repaired,
     "search_chat": search, "map_chat": map_chat, "mention_context": mention_context, "chat_counts": chat_counts, "chat_peaks": chat_peaks, "message_style": style, "word_counts": words, "bigram_counts": bigrams,
     "chat_neighbours": neighbours, "record_rows": record_rows, "record_fold": record_fold,
     "record_history": record_history, "one_map_history": one_map_history, "record_audit": record_audit, "map_runs": runs, "personal_runs": personal_runs, "ingest_index": index_lines,
@@ -181,6 +189,7 @@ ORACLES = {
     "playtime_counts": f"""WITH {EV}, {PER}, w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM q JOIN s USING (session_id) WHERE so + de > 0)
       SELECT grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL""",
     "keyword_rank": f"WITH {CV} SELECT id64, NULL::VARCHAR AS id, name, count(*) AS n FROM ch JOIN us USING (session_id, uid) WHERE text ILIKE '%the%' OR text ILIKE '%onth%' GROUP BY ALL",
+    "located_chat": f"""WITH {CV} SELECT c.session_id, "index", name, id64, map AS map_name, date FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id""",
     "speaker_resolution": f"""WITH {CV} SELECT c.session_id, c."index", count(u.uid) AS candidate_count, coalesce(string_agg(u.uid::VARCHAR, ',' ORDER BY u.uid), '') AS candidates, CASE WHEN count(u.uid) = 1 THEN max(u.uid) END AS resolved_user_id
       FROM ch c LEFT JOIN us u ON c.session_id = u.session_id AND c.uid % 2 = u.entity GROUP BY c.session_id, c."index" """,
     "archive_stats": f"WITH {CV} SELECT count(*) FILTER (processed) AS processed, count(*) FILTER (failed) AS failed, count(*) FILTER (NOT processed AND NOT failed) AS neither, count(*) AS total, (SELECT sum(session_id * 10 + 3) FROM ss)::BIGINT AS download_size, (SELECT sum(session_id * 30 + 7) FROM ss)::BIGINT AS extracted_size FROM ix",

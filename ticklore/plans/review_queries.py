@@ -173,8 +173,7 @@ def extremes(spark, d):
 
 
 def superlatives(spark, d):
-    s = sentiment.superlatives(_scored(spark, d), ["player_key"])
-    return s.select("player_key", *[F.col(f"{w}.{c}").alias(f"{w}_{c}") for w in ("funniest", "rudest") for c in ("session_id", "index")])
+    return _flat(sentiment.superlatives(_scored(spark, d), ["player_key"]))
 
 
 def _friends(spark, d):
@@ -214,6 +213,21 @@ def review_part(part, *cols):
     return run
 
 
+def _flat(df):
+    return df.select("player_key", *[F.col(f"{w}.{c}").alias(f"{w}_{c}") for w in ("funniest", "rudest") for c in ("session_id", "index")])
+
+
+def record_part(part, *cols):
+    """Of the year in review over the events, with their records."""
+
+    def run(spark, d):
+        t = event_tables(spark, d)
+        out = review.year_review({"chats": t.record_chat(), "users": t.named_users(), "sessions": t.sessions, "index": t.index(), "records": records_of(t)}, 2024, 3)[part]
+        return out.withColumnRenamed("map", "map_name").select(*cols) if cols else out
+
+    return run
+
+
 def play_part(part, *cols):
     """Of the year in review over the events."""
 
@@ -225,7 +239,11 @@ def play_part(part, *cols):
     return run
 
 
+_YEAR_SUPER = review_part("superlatives")
 QUERIES = {
+    "year_review_records": record_part("records", "player_key", "map_name", "class", "seg", "chat_index", "cs"), "year_review_record_counts": record_part("record_counts"), "year_review_sentiment": review_part("sentiment"),
+    "year_review_extremes": review_part("extremes", "player_key", "session_id", "index", "up", "down"), "year_review_superlatives": lambda spark, d: _flat(_YEAR_SUPER(spark, d)),
+    "year_review_friends": review_part("friends_by_sessions", "player_key", "rank", "peer_key"), "year_review_replies": review_part("friends_by_interactions", "player_key", "rank", "peer_key"), "year_review_company": play_part("friends_by_playtime", "player_key", "rank", "peer_key"),
     "map_families": map_families, "candidate_lines": candidate_lines, "year_sessions": year_sessions, "one_player": one_player, "other_mentions": other_mentions, "kept_records": kept_records, "shown_records": shown_records,
     "every_record": every_record, "latest_records": latest, "observed_holders": observed_holders, "player_records": player_records, "held_names": held_names, "entity_map": entities, "url_sessions": url_sessions,
     "known_customers": known_customers, "identities": identities, "scalar_values": scalar_values, "message_sentiment": message_sentiment, "user_sentiment": user_sentiment, "known_sentiment": known_sentiment,
@@ -257,6 +275,9 @@ _KEPT = f"WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')}, {days('map
 _CHAT = f"{CV}, yc AS (SELECT c.session_id, \"index\", text, body, '64:' || id64 AS player_key, date, map, server, make_timestamp((date * 1000000)::BIGINT) AS t FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE date >= 1704067200 AND date < 1735689600)"
 _YEAR = f"{EV}, {PER}, yq AS (SELECT * FROM q WHERE session_id // 8 < 366), w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM yq JOIN s USING (session_id) WHERE so + de > 0), y AS (SELECT player_key, grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL)"
 _SC = f"WITH {CV}, {SCORED}"
+#: The same tables, of the year's sessions only.
+_CVY = CV.replace("FROM conversations", "FROM conversations WHERE conv_id < 366")
+_RECY = f"WITH RECURSIVE {EV}, {REC}, ry AS (SELECT * FROM rr WHERE record_type = 'WR' AND session_id // 8 < 366), {fold('record_key, map_name, class, seg', 'ry')}, {days('record_key, map_name, class, seg')}"
 ORACLES = {
     "map_families": """SELECT p_partkey, m = 'small' AS same, m = 'small' OR m ILIKE 'small_%' AS wide, lower(m) = 'small' OR starts_with(lower(m), 'small_') AS strict, contains(m, 'small') AS holds
       FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN replace(p_name, ' ', '_') WHEN 1 THEN upper(p_name) ELSE string_split(p_name, ' ')[1] END AS m FROM part)""",
@@ -327,4 +348,13 @@ ORACLES = {
     "year_review_class": f"WITH {_YEAR} SELECT player_key, CASE WHEN sum(so) >= sum(de) THEN 'soldier' ELSE 'demoman' END AS class FROM yq GROUP BY 1",
     "year_review_time": f"WITH {_YEAR} SELECT player_key, grouping, key, value FROM y QUALIFY row_number() OVER (PARTITION BY player_key, grouping ORDER BY value DESC, key) = 1",
     "year_review_top": f"WITH {_YEAR} SELECT player_key, grouping, key, rank FROM (SELECT *, row_number() OVER (PARTITION BY player_key, grouping ORDER BY value DESC, key) AS rank FROM y) WHERE rank <= 3",
+    "year_review_records": f"{_RECY} SELECT record_key AS player_key, map_name, class, seg, chat_index, cs FROM hd",
+    "year_review_record_counts": f"{_RECY} SELECT record_key AS player_key, count(*) AS n, count(*) FILTER (inferred) AS n_inferred, count(*) FILTER (is_lookup) AS n_lookup, count(*) FILTER (NOT inferred AND NOT is_lookup) AS n_plain FROM hd GROUP BY 1",
+}
+ORACLES |= {
+    "year_review_sentiment": ORACLES["sentiment_overall"].replace(CV, _CVY), "year_review_superlatives": ORACLES["superlatives"].replace(CV, _CVY),
+    "year_review_extremes": ORACLES["extreme_messages"].replace(CV, _CVY).replace("length(body) DESC", "length(text) DESC"),
+    "year_review_friends": _first(ORACLES["friends"].replace(CV, _CVY).replace("WITH ", "", 1).replace("SELECT a.k AS player_key", ", fr AS (SELECT a.k AS player_key") + ")", "fr", "shared_sessions DESC, shared_seconds DESC, peer_key", 5),
+    "year_review_replies": _first(ORACLES["friends"].replace(CV, _CVY).replace("WITH ", "", 1).replace("SELECT a.k AS player_key", ", fr AS (SELECT a.k AS player_key") + ")", "fr", "replies DESC, chat_lines DESC, peer_key", 5),
+    "year_review_company": _first(_FRIENDS.replace("FROM e)", "FROM e WHERE session_id // 8 < 366)"), "fr", "shared_seconds DESC, shared_sessions DESC, peer_key", 3),
 }
