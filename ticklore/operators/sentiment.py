@@ -9,52 +9,112 @@ from ticklore.functions.scalars import count_char, epoch_timestamp, tokens
 from ticklore.operators.chat import LAUGHTER
 from ticklore.operators.playtime import common_name
 
-# Negations, boosters and constants of the published rules.
-NEGATIONS = ["not", "no", "never", "none", "nor", "cannot", "cant", "can't", "dont", "don't", "isnt", "isn't", "wont", "won't", "without"]
-BOOSTERS = {"very": 0.293, "really": 0.293, "so": 0.293, "extremely": 0.293, "totally": 0.293, "slightly": -0.293, "somewhat": -0.293, "barely": -0.293, "kinda": -0.293}
-NEGATED, CAPITALS, EXCLAIMED, ALPHA = -0.74, 0.733, 0.292, 15.0
+# Negations, boosters, phrases and constants of the published rules.
+NEGATIONS = """
+aint arent cannot cant couldnt darent didnt doesnt dont hadnt hasnt havent isnt mightnt mustnt neednt oughtnt shant shouldnt wasnt werent wont wouldnt
+neither never none nope nor not nothing nowhere uhuh uh-uh without rarely seldom despite
+""".split()
+RAISING = """
+absolutely amazingly awfully completely considerable considerably decidedly deeply effing enormous enormously entirely especially exceptional exceptionally extreme extremely
+fabulously flipping flippin frackin fracking fricking frickin frigging friggin fully fuckin fucking fuggin fugging greatly hella highly hugely incredible incredibly intensely
+major majorly more most particularly purely quite really remarkably so substantially thoroughly total totally tremendous tremendously uber unbelievably unusually utter utterly very
+""".split()
+LOWERING = """
+almost barely hardly kinda kindof kind-of less little marginal marginally occasional occasionally partly scarce scarcely slight slightly somewhat sorta sortof sort-of
+""".split()
+LOWERING_PAIRS = ["just enough", "kind of", "sort of"]
+PHRASES = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9}
+BOOSTED, NEGATED, CAPITALS, EXCLAIMED, EMPHATIC, ALPHA = 0.293, -0.74, 0.733, 0.292, 1.25, 15.0
 DAMPING = [1.0, 0.95, 0.9]
+BOOSTERS = {**dict.fromkeys(RAISING, BOOSTED), **dict.fromkeys(LOWERING, -BOOSTED)}
 
 
 def _shouts(x: Column) -> Column:
     return (x == F.upper(x)) & (x != F.lower(x))
 
 
-def _seen(low: Column, words: Column, mixed: Column, but: Column) -> Column:
-    """Of an array of words: struct(token, shift, neg, caps, part) of each. All looks are at places of the array, so rows stay whole."""
-    boost = F.create_map(*[F.lit(x) for kv in BOOSTERS.items() for x in kv])
+def _words(text: Column) -> Column:
+    """Split at blanks. Marks at both ends go, unless that would leave two characters or fewer: those may be an emoticon."""
+    bare = lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", "")
+    return F.filter(F.transform(F.split(text, r"\s+"), lambda w: F.when(F.length(bare(w)) > 2, bare(w)).otherwise(w)), lambda w: w != "")
+
+
+def _spans(low: Column) -> Column:
+    """Of an array of words: struct(pos, n, token) of each one, two and three words in a row (a null token beyond the end)."""
 
-    def one(x, i):
-        before = [F.get(low, i - j) for j in (1, 2, 3)]
-        shift = sum((F.coalesce(F.try_element_at(boost, w), F.lit(0.0)) * d for w, d in zip(before, DAMPING)), F.lit(0.0))
-        neg = F.lit(False)
-        for w in before:
-            neg = neg | F.coalesce(w.isin(NEGATIONS), F.lit(False))
-        part = F.when((but < 0) | (i == but), 1.0).when(i < but, 0.5).otherwise(1.5)
-        return F.struct(F.lower(x).alias("token"), shift.alias("shift"), neg.alias("neg"), (mixed & _shouts(x)).alias("caps"), part.alias("part"))
+    def one(w, i):
+        pair = F.concat(w, F.lit(" "), F.get(low, i + 1))
+        return F.array(*(F.struct(i.alias("pos"), F.lit(n).alias("n"), t.alias("token")) for n, t in ((1, w), (2, pair), (3, F.concat(pair, F.lit(" "), F.get(low, i + 2))))))
 
-    return F.transform(words, one)
+    return F.flatten(F.transform(low, one))
 
 
-def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, keys: list[str]) -> DataFrame:
+#: Finds of a text are in order of place and length, three to a place at most: so many before one and after it hold all from three places before to one after.
+BEFORE, AFTER = 9, 5
+
+
+def _value(near: Column) -> Column:
+    """What the find at BEFORE in near (struct(pos, n, valence), n words each) counts, from the columns words, low, mixed and but. Work does not grow with the text."""
+    low, mixed, own_find = F.col("low"), F.col("mixed"), F.get(near, BEFORE)
+    i, valence = own_find["pos"], own_find["valence"]
+    known = lambda j: F.exists(near, lambda x: F.coalesce((x["pos"] == i - j) & (x["n"] == 1), F.lit(False)))
+    boost = F.create_map(*[F.lit(x) for kv in BOOSTERS.items() for x in kv])
+    at = lambda j: F.get(low, i - j)
+    among = lambda x, *some: F.coalesce(x.isin(*some), F.lit(False))
+    stressed = lambda j, v: F.when(mixed & _shouts(F.get(F.col("words"), i - j)), F.when(v > 0, CAPITALS).otherwise(-CAPITALS)).otherwise(0.0)
+    phrase = lambda back, n: F.get(F.filter(near, lambda x: (x["pos"] == i - back) & (x["n"] == n)), 0)["valence"]
+
+    # "no" before a lexicon word negates that word, and is none itself.
+    refused = among(at(1), "no") | among(at(2), "no") | (among(at(3), "no") & among(at(1), "or", "nor"))
+    first = F.when(refused, valence * NEGATED).when((at(0) == "no") & known(-1), 0.0).otherwise(valence)
+    # Bound as an element, so that what follows names it without repeating it.
+    first = F.aggregate(F.array(first), F.lit(0.0), lambda _, v: v + stressed(0, v))
+
+    def look_back(v, j):
+        """One of the three words before, of those that are not in the lexicon."""
+        w = at(j)
+        between = lambda *some: ((j == 2) & among(at(1), *some)) | ((j == 3) & (among(at(2), *some) | among(at(1), *some)))
+        up = F.try_element_at(boost, w)
+        moved = F.when(up.isNull(), 0.0).otherwise(F.when(v < 0, -up).otherwise(up) + stressed(j, v))
+        turned = F.when((w == "never") & between("so", "this"), EMPHATIC).when((w == "without") & between("doubt"), 1.0).when(w.isin(NEGATIONS) | w.contains("n't"), NEGATED).otherwise(1.0)
+        own = (v + moved * F.element_at(F.array(*map(F.lit, DAMPING)), j)) * turned
+        # Phrases that the word begins or ends, or that end before it, count instead of it; then pairs that lower it.
+        told = F.coalesce(phrase(0, 3), phrase(0, 2), phrase(1, 2), phrase(2, 3), phrase(2, 2), phrase(3, 3), phrase(3, 2), own)
+        pair = lambda a, b: F.when(among(F.concat(at(a), F.lit(" "), at(b)), *LOWERING_PAIRS), -BOOSTED).otherwise(0.0)
+        return F.when((i < j) | known(j), v).when(j == 3, told + pair(3, 2) + pair(2, 1)).otherwise(own)
+
+    value = F.aggregate(F.array(*map(F.lit, (1, 2, 3))), first, look_back)
+    least = among(at(1), "least") & ~known(1) & ~among(at(2), "at", "very")
+    part = F.when((F.col("but") < 0) | (i == F.col("but")), 1.0).when(i < F.col("but"), 0.5).otherwise(1.5)
+    idle = F.coalesce(at(0).isin(list(BOOSTERS)) | ((at(0) == "kind") & among(at(-1), "of")), F.lit(False))
+    return F.when(idle | (own_find["n"] > 1), 0.0).otherwise(value * F.when(least, NEGATED).otherwise(1.0) * part)
+
+
+def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, keys: list[str], phrases: DataFrame | None = None) -> DataFrame:
     """keys identify a row. Adds compound (-1 to 1): the summed valence s as s / sqrt(s^2 + 15).
 
-    Boosters and negations of the three words before count, as do words in capitals among others, what stands before or after the first
-    "but" (by 0.5 and 1.5), exclamation marks (up to four) and question marks. Idioms and emoji are left to the lexicon.
+    lexicon: token (one word or emoticon, any case), valence; phrases: phrase (two or three words), valence, PHRASES if not given. Of
+    repeated tokens the mean counts. Texts meet both tables in one join of their runs of one to three words, and only what was found is
+    grouped; the rules then look at the places around each find, in its row. They are: boosters and negations among the three words before,
+    by distance; "never so", "without doubt", "no", "least", "kind of"; phrases instead of their words; capitals among others; what
+    stands before or after the first "but" (by 0.5 and 1.5); exclamation marks (up to four) and question marks. Null and empty texts score 0.
     """
-    # Columns of their own: looked at from each place, evaluated once a row.
-    told = df.select(*keys, F.regexp_extract_all(text_col, F.lit("[A-Za-z0-9']+"), F.lit(0)).alias("words")).withColumn("low", F.transform("words", F.lower))
-    quiet = F.exists("words", lambda x: ~_shouts(x) & (F.upper(x) != F.lower(x)))
-    told = told.withColumn("mixed", F.exists("words", _shouts) & quiet).withColumn("but", F.array_position("low", "but") - 1)
-    told = told.select(*keys, F.explode(_seen(F.col("low"), F.col("words"), F.col("mixed"), F.col("but"))).alias("w")).select(*keys, "w.*")
-    hit = told.join(lexicon.select("token", "valence"), "token")
-    sign = F.signum("valence")
-    value = (F.col("valence") + sign * (F.col("shift") + F.when(F.col("caps"), CAPITALS).otherwise(0.0))) * F.when(F.col("neg"), NEGATED).otherwise(1.0) * F.col("part")
-    s = hit.withColumn("value", value).groupBy(*keys).agg(F.sum(F.col("value").cast("decimal(18,6)")).cast("double").alias("s"))
-    loud, asks = count_char(F.col(text_col), "!"), count_char(F.col(text_col), "?")
+    text = F.col(text_col)
+    if phrases is None:
+        phrases = df.sparkSession.createDataFrame(list(PHRASES.items()), "phrase string, valence double")
+    terms = lexicon.select(F.lower("token").alias("token"), "valence").filter(~F.col("token").rlike(r"\s")).unionByName(phrases.select(F.lower("phrase").alias("token"), "valence").filter(F.col("token").contains(" ")))
+    terms = terms.filter("valence IS NOT NULL").groupBy("token").agg(F.avg(F.col("valence").cast("double")).alias("valence"))
+    told = df.select(*keys, text.alias("text")).withColumn("words", _words(F.col("text"))).withColumn("low", F.transform("words", F.lower))
+    found = told.select(*keys, F.explode(_spans(F.col("low"))).alias("w")).select(*keys, "w.*").join(terms, "token")
+    found = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "n", "valence"))).alias("finds"))
+    at = told.join(found, keys).withColumn("loud", F.size(F.filter("words", _shouts))).withColumn("mixed", (F.col("loud") > 0) & (F.col("loud") < F.size("words"))).withColumn("but", F.array_position("low", "but").cast("int") - 1)
+    value = lambda e: F.aggregate(F.array(F.array(*(F.get("finds", e + k) for k in range(-BEFORE, AFTER + 1)))), F.lit(0.0), lambda _, near: _value(near))
+    total = F.aggregate(F.sequence(F.lit(0), F.size("finds") - 1), F.lit(0).cast("decimal(28,6)"), lambda s, e: (s + value(e).cast("decimal(18,6)")).cast("decimal(28,6)"))
+    scored = at.select(*keys, total.cast("double").alias("s"))
+    loud, asks = count_char(text, "!"), count_char(text, "?")
     marks = F.least(loud, F.lit(4)) * EXCLAIMED + F.when(asks > 3, 0.96).when(asks > 1, asks * 0.18).otherwise(0.0)
     total = F.col("s") + F.signum("s") * marks
-    return df.join(s, keys, "left").withColumn("s", F.coalesce(total, F.lit(0.0))).withColumn("compound", F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4)).drop("s")
+    return df.join(scored, keys, "left").withColumn("s", F.coalesce(total, F.lit(0.0))).withColumn("compound", F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4)).drop("s")
 
 
 def user_sentiment(scored: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from ticklore.functions import scalars
 from ticklore.operators import chat, filters, joins, playtime, records, review, sentiment
 from ticklore.operators.records import PREFIX
 from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_session_of, records_of, watching_of
-from ticklore.plans.sql import CV, EV, MG, PER, REC, SCORED, SIX, STOP, TOK, days, fold
+from ticklore.plans.sql import CV, EV, MG, PER, REC, SCORED, SIX, STOP, SWAPPED, TOK, days, fold
 from ticklore.sources import adapters as ad
 
 BASE = scalars.ID_BASE
@@ -147,6 +147,16 @@ def message_sentiment(spark, d):
     return _scored(spark, d).select("session_id", "index", "compound")
 
 
+def sentiment_rules(spark, d):
+    """Scores of messages whose common words are told as boosters, negations and phrases, so that every rule meets every text."""
+    chats = chat_tables(spark, d)[0]
+    swap = F.create_map(*[F.lit(x) for kv in SWAPPED.items() for x in kv])
+    body = F.array_join(F.transform(F.split(scalars.message_body(F.col("text")), " "), lambda w: F.coalesce(F.try_element_at(swap, F.lower(w)), w)), " ")
+    phrases = _lexicon(spark, d).filter("valence < 0").select(F.concat(F.lit("very "), "token").alias("phrase"), "valence")
+    told = spark.createDataFrame(list(sentiment.PHRASES.items()), "phrase string, valence double").unionByName(phrases)
+    return sentiment.sentiment(chats.withColumn("body", body), "body", _lexicon(spark, d), ["session_id", "index"], told).select("session_id", "index", "compound")
+
+
 def user_sentiment(spark, d):
     return sentiment.user_sentiment(_scored(spark, d))
 
@@ -246,7 +256,7 @@ QUERIES = {
     "year_review_friends": review_part("friends_by_sessions", "player_key", "rank", "peer_key"), "year_review_replies": review_part("friends_by_interactions", "player_key", "rank", "peer_key"), "year_review_company": play_part("friends_by_playtime", "player_key", "rank", "peer_key"),
     "map_families": map_families, "candidate_lines": candidate_lines, "year_sessions": year_sessions, "one_player": one_player, "other_mentions": other_mentions, "kept_records": kept_records, "shown_records": shown_records,
     "every_record": every_record, "latest_records": latest, "observed_holders": observed_holders, "player_records": player_records, "held_names": held_names, "entity_map": entities, "url_sessions": url_sessions,
-    "known_customers": known_customers, "identities": identities, "scalar_values": scalar_values, "message_sentiment": message_sentiment, "user_sentiment": user_sentiment, "known_sentiment": known_sentiment,
+    "known_customers": known_customers, "identities": identities, "scalar_values": scalar_values, "message_sentiment": message_sentiment, "sentiment_rules": sentiment_rules, "user_sentiment": user_sentiment, "known_sentiment": known_sentiment,
     "sentiment_timeline": timeline, "sentiment_overall": overall, "lowest_messages": lowest, "extreme_messages": extremes, "superlatives": superlatives, "friends": chat_friends, "friends_with_time": friends,
     "friends_by_playtime": friends_by("by_playtime"), "friends_by_sessions": friends_by("by_sessions"), "friends_by_interactions": friends_by("by_interactions"),
     "watched_by_list": peers_by("watched_by_seconds"), "watching_list": peers_by("watching_seconds"),
@@ -275,6 +285,9 @@ _KEPT = f"WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')}, {days('map
 _CHAT = f"{CV}, yc AS (SELECT c.session_id, \"index\", text, body, '64:' || id64 AS player_key, date, map, server, make_timestamp((date * 1000000)::BIGINT) AS t FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE date >= 1704067200 AND date < 1735689600)"
 _YEAR = f"{EV}, {PER}, yq AS (SELECT * FROM q WHERE session_id // 8 < 366), w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM yq JOIN s USING (session_id) WHERE so + de > 0), y AS (SELECT player_key, grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL)"
 _SC = f"WITH {CV}, {SCORED}"
+#: The same of messages with swapped words, and phrases from the lexicon besides the published ones.
+_SWAP = "(SELECT * REPLACE (array_to_string(list_transform(string_split(body, ' '), lambda w: coalesce(element_at(MAP {" + ", ".join("'" + k + "': '" + v.replace("'", "''") + "'" for k, v in SWAPPED.items()) + "}, lower(w))[1], w)), ' ') AS body) FROM ch)"
+_SCR = f"WITH {CV}, {SCORED}".replace("FROM ch)", f"FROM {_SWAP})").replace("FROM ch LEFT", f"FROM {_SWAP} AS ch LEFT").replace("AS p(phrase, v))", "AS p(phrase, v) UNION ALL SELECT 'very ' || token, valence FROM lx WHERE valence < 0)")
 #: The same tables, of the year's sessions only.
 _CVY = CV.replace("FROM conversations", "FROM conversations WHERE conv_id < 366")
 _RECY = f"WITH RECURSIVE {EV}, {REC}, ry AS (SELECT * FROM rr WHERE record_type = 'WR' AND session_id // 8 < 366), {fold('record_key, map_name, class, seg', 'ry')}, {days('record_key, map_name, class, seg')}"
@@ -312,6 +325,7 @@ ORACLES = {
       regexp_replace(printf('%.2f', c_custkey / 100), '\\.?0+$', '') || 'h' AS hours, CASE WHEN c_custkey % 7 > 0 THEN strftime(make_timestamp((c_custkey * 86400500000)::BIGINT), '%Y-%m-%d') ELSE 'unknown' END AS day, c_custkey || ';' || (c_custkey + 1) AS ids, 'b' || c_custkey AS audit,
       'n ' || c_custkey || '|' || c_custkey || '|' AS candidate, 'Bad' || c_custkey || ' b**, B**** abad' AS masked, '***-' || c_custkey AS starred FROM (SELECT *, c_custkey % 4 AS k FROM customer)""",
     "message_sentiment": f'{_SC} SELECT session_id, "index", compound FROM sd',
+    "sentiment_rules": f"{_SCR} SELECT session_id, \"index\", round(coalesce(z, 0) / sqrt(coalesce(z, 0) * coalesce(z, 0) + 15), 4) AS compound FROM am",
     "user_sentiment": f"{_SC} SELECT id64, 'unknown' AS id, round(avg(compound::DECIMAL(10, 4)), 6)::DOUBLE AS mean, count(*) AS n, any_value(nm) AS name FROM (SELECT *, first_value(name) OVER (PARTITION BY id64 ORDER BY c DESC, f, name) AS nm FROM (SELECT *, count(*) OVER (PARTITION BY id64, name) AS c, min(session_id) OVER (PARTITION BY id64, name) AS f FROM sd)) GROUP BY 1",
     "known_sentiment": f"""{_SC}, nm AS (SELECT id64, name, count(*) AS c, min(session_id) AS f FROM sd GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY id64 ORDER BY count(*) DESC, min(session_id), name) = 1),
       um AS (SELECT id64, round(avg(compound::DECIMAL(10, 4)), 6)::DOUBLE AS mean, count(*) AS n FROM sd GROUP BY 1) SELECT name AS known, round(avg(mean), 6) AS mean, sum(n)::BIGINT AS n, min(id64::VARCHAR) AS id FROM um JOIN nm USING (id64) WHERE name <> 'system' GROUP BY 1""",

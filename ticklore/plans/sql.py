@@ -1,7 +1,7 @@
 """Common table expressions that the queries' SQL shares, from the raw tables on."""
 
 from ticklore.operators.chat import STOP_WORDS
-from ticklore.operators.sentiment import BOOSTERS, NEGATIONS
+from ticklore.operators.sentiment import BOOSTERS, LOWERING_PAIRS, NEGATIONS, PHRASES
 
 EV = """
 e AS (SELECT (us // 86400000000) * 8 + user_id % 8 AS session_id, user_id, event_id AS idx, us % 86400000000 AS tick, event_type, value,
@@ -77,18 +77,35 @@ q AS (SELECT session_id, player_key, sum(coalesce(so, 0)) AS so, sum(coalesce(de
 #: Rows of w (player_key, map, server, t, v) under each of six keys.
 SIX = """SELECT player_key, 'map' AS grouping, map AS key, v FROM w UNION ALL SELECT player_key, 'server', server, v FROM w UNION ALL SELECT player_key, 'month', strftime(t, '%Y-%m'), v FROM w
 UNION ALL SELECT player_key, 'day', strftime(t, '%Y-%m-%d'), v FROM w UNION ALL SELECT player_key, 'hour', strftime(t, '%H'), v FROM w UNION ALL SELECT player_key, 'weekday', strftime(t, '%A'), v FROM w"""
-#: Words of the conversations as a lexicon, and the score of each of their messages.
+#: Words of the conversations as a lexicon, and the score of each of their messages, by the words before and after each word.
 SCORED = """
 lt AS (SELECT unnest(list_filter(regexp_extract_all(lower(text), '[a-z0-9'']+'), lambda x: length(x) >= 2)) AS token FROM conversations),
-lx AS (SELECT token, (length(token) % 7 - 3) / 2.0 AS valence FROM (SELECT token, count(*) AS n FROM lt GROUP BY 1) WHERE n >= 5 AND token NOT IN ({stop}) AND length(token) % 7 <> 3),
-wt AS (SELECT session_id, "index", t, unnest(t) AS x, generate_subscripts(t, 1) AS i FROM (SELECT session_id, "index", regexp_extract_all(body, '[A-Za-z0-9'']+') AS t FROM ch)),
-ws AS (SELECT *, lower(x) AS token, len(list_filter(t, lambda y: y = upper(y) AND y <> lower(y))) > 0 AND len(list_filter(t, lambda y: y <> lower(y) AND y <> upper(y) OR y = lower(y) AND y <> upper(y))) > 0 AS mixed,
-  list_position(list_transform(t, lambda y: lower(y)), 'but') AS but, lag(lower(x), 1) OVER z AS w1, lag(lower(x), 2) OVER z AS w2, lag(lower(x), 3) OVER z AS w3 FROM wt WINDOW z AS (PARTITION BY session_id, "index" ORDER BY i)),
-bo AS (SELECT * FROM (VALUES {boosters}) AS b(word, up)),
-wv AS (SELECT ws.session_id, ws."index", (valence + sign(valence) * (coalesce(b1.up, 0) * 1.0 + coalesce(b2.up, 0) * 0.95 + coalesce(b3.up, 0) * 0.9 + CASE WHEN mixed AND x = upper(x) AND x <> lower(x) THEN 0.733 ELSE 0 END))
-  * CASE WHEN coalesce(w1 IN ({neg}), false) OR coalesce(w2 IN ({neg}), false) OR coalesce(w3 IN ({neg}), false) THEN -0.74 ELSE 1 END * CASE WHEN coalesce(but, 0) = 0 OR i = but THEN 1 WHEN i < but THEN 0.5 ELSE 1.5 END AS v
-  FROM ws JOIN lx USING (token) LEFT JOIN bo b1 ON b1.word = w1 LEFT JOIN bo b2 ON b2.word = w2 LEFT JOIN bo b3 ON b3.word = w3),
+lx AS (SELECT token, (length(token) % 7 - 3) / 2.0::DOUBLE AS valence FROM (SELECT token, count(*) AS n FROM lt GROUP BY 1) WHERE n >= 5 AND token NOT IN ({stop}) AND length(token) % 7 <> 3),
+bo AS (SELECT * FROM (VALUES {boosters}) AS b(word, up)), ph AS (SELECT * FROM (VALUES {phrases}) AS p(phrase, v)),
+wt AS (SELECT session_id, "index", t, unnest(t) AS x, generate_subscripts(t, 1) AS i FROM (SELECT session_id, "index", list_filter(list_transform(regexp_split_to_array(body, '\\s+'), lambda w:
+  CASE WHEN length(regexp_replace(w, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')) > 2 THEN regexp_replace(w, '^[[:punct:]]+|[[:punct:]]+$', '', 'g') ELSE w END), lambda w: w <> '') AS t FROM ch)),
+wl AS (SELECT session_id, "index", i, x, lower(x) AS token, x = upper(x) AND x <> lower(x) AS loud, len(list_filter(t, lambda y: y = upper(y) AND y <> lower(y))) BETWEEN 1 AND len(t) - 1 AS mixed, list_position(list_transform(t, lambda y: lower(y)), 'but') AS but FROM wt),
+wn AS (SELECT wl.*, lx.valence, coalesce(bo.up, 0) AS up, token IN ({neg}) OR contains(token, 'n''t') AS neg FROM wl LEFT JOIN lx USING (token) LEFT JOIN bo ON bo.word = token),
+wz AS (SELECT *, {lags}, lead(token, 1) OVER z AS n1, lead(token, 2) OVER z AS n2, lead(valence, 1) OVER z AS nv FROM wn WINDOW z AS (PARTITION BY session_id, "index" ORDER BY i)),
+w0 AS (SELECT *, CASE WHEN coalesce(w1 = 'no', false) OR coalesce(w2 = 'no', false) OR coalesce(w3 = 'no' AND w1 IN ('or', 'nor'), false) THEN valence * -0.74::DOUBLE WHEN token = 'no' AND nv IS NOT NULL THEN 0 ELSE valence END AS c0 FROM wz WHERE valence IS NOT NULL),
+wc AS (SELECT *, CASE WHEN mixed AND loud THEN c0 + CASE WHEN c0 > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE c0 END AS v0 FROM w0),
+{steps},
+wi AS (SELECT w3s.*, CASE WHEN w3 IS NULL OR val3 IS NOT NULL THEN v3 ELSE coalesce({said}, v3) + CASE WHEN w3 || ' ' || w2 IN ({pairs}) THEN -0.293::DOUBLE ELSE 0 END + CASE WHEN w2 || ' ' || w1 IN ({pairs}) THEN -0.293::DOUBLE ELSE 0 END END AS v4 FROM w3s),
+wv AS (SELECT session_id, "index", CASE WHEN up <> 0 OR token = 'kind' AND n1 IS NOT DISTINCT FROM 'of' THEN 0 ELSE v4 * CASE WHEN w1 = 'least' AND val1 IS NULL AND coalesce(w2, '') NOT IN ('at', 'very') THEN -0.74::DOUBLE ELSE 1 END
+  * CASE WHEN coalesce(but, 0) = 0 OR i = but THEN 1 WHEN i < but THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END END AS v FROM wi),
 su AS (SELECT session_id, "index", sum(v::DECIMAL(18, 6))::DOUBLE AS s FROM wv GROUP BY 1, 2),
 am AS (SELECT ch.*, s + sign(s) * (least(length(body) - length(replace(body, '!', '')), 4) * 0.292 + CASE WHEN length(body) - length(replace(body, '?', '')) > 3 THEN 0.96 WHEN length(body) - length(replace(body, '?', '')) > 1 THEN (length(body) - length(replace(body, '?', ''))) * 0.18 ELSE 0 END) AS z FROM ch LEFT JOIN su USING (session_id, "index")),
 sd AS (SELECT am.session_id, am."index", am.text, am.body, us.id64, '64:' || us.id64 AS player_key, us.name, us.is_bot, ix.date, round(coalesce(z, 0) / sqrt(coalesce(z, 0) * coalesce(z, 0) + 15), 4) AS compound FROM am JOIN us USING (session_id, uid) JOIN ix ON ix.id = am.session_id)
-""".format(stop=STOP, boosters=", ".join(f"('{k}', {v}::DOUBLE)" for k, v in BOOSTERS.items()), neg=", ".join("'" + w.replace("'", "''") + "'" for w in NEGATIONS))
+""".format(
+    stop=STOP, boosters=", ".join(f"('{k}', {v}::DOUBLE)" for k, v in BOOSTERS.items()), phrases=", ".join(f"('{k}', {v}::DOUBLE)" for k, v in PHRASES.items()), neg=", ".join(f"'{w}'" for w in NEGATIONS), pairs=", ".join(f"'{w}'" for w in LOWERING_PAIRS),
+    lags=", ".join(f"lag({c}, {j}) OVER z AS {a}{j}" for j in (1, 2, 3) for c, a in (("token", "w"), ("valence", "val"), ("up", "up"), ("neg", "neg"), ("loud", "loud"))),
+    said="coalesce(" + ", ".join(f"(SELECT v FROM ph WHERE phrase = {e})" for e in ("token || ' ' || n1 || ' ' || n2", "token || ' ' || n1", "w1 || ' ' || token", "w2 || ' ' || w1 || ' ' || token", "w2 || ' ' || w1", "w3 || ' ' || w2 || ' ' || w1", "w3 || ' ' || w2")) + ")",
+    steps=",\n".join(
+        f"""m{j} AS (SELECT *, CASE WHEN up{j} = 0 THEN 0 ELSE sign(v{j - 1} + 1e-300) * up{j} + CASE WHEN mixed AND loud{j} THEN CASE WHEN v{j - 1} > 0 THEN 0.733::DOUBLE ELSE -0.733::DOUBLE END ELSE 0 END END * {damp}::DOUBLE AS by{j},
+  CASE WHEN w{j} = 'never' AND {near.format("IN ('so', 'this')")} THEN 1.25::DOUBLE WHEN w{j} = 'without' AND {near.format("= 'doubt'")} THEN 1 WHEN neg{j} THEN -0.74::DOUBLE ELSE 1 END AS turn{j} FROM {prior}),
+w{j}s AS (SELECT *, CASE WHEN w{j} IS NULL OR val{j} IS NOT NULL THEN v{j - 1} ELSE (v{j - 1} + by{j}) * turn{j} END AS v{j} FROM m{j})"""
+        for j, damp, near, prior in ((1, 1.0, "'' {}", "wc"), (2, 0.95, "w1 {}", "w1s"), (3, 0.9, "(w2 {0} OR w1 {0})", "w2s"))
+    ),
+)
+#: Common words of the conversations, and what stands for them where the rules are put to the test.
+SWAPPED = {"the": "very", "of": "not", "and": "BUT", "to": "least", "in": "kind of", "a": "no", "de": "never", "is": "so", "that": "without", "der": "doubt", "for": "the bomb", "it": "yeah right", "was": "at least", "la": "BARELY", "on": "kiss of death", "as": "isn't"}
