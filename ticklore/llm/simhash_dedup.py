@@ -3,8 +3,9 @@
 The upper levels of one tree are built from a bounded sample of the distinct fingerprints; its leaves are the shards.
 Every distinct fingerprint lives in one shard and is also sent to those shards that its ball of radius `bits` overlaps by
 the triangle inequality. Inside a shard a smaller tree prunes in the same way, and what is left is compared bit by bit.
-So the links are exact; the sample only decides how even the shards are. Shards over `shard_rows` are split, and every
-query goes to all parts. Each part returns a spanning forest of its links, never all pairs of a group.
+So the links are exact; the samples only decide how even the shards are. Leaves of over `shard_rows` grow trees of their own,
+from a sample of each, as long as a vantage point splits them. A leaf that none splits is cut into parts, and each two of its
+parts meet in a group. No group exceeds `shard_rows` rows by much. Each returns a spanning forest of its links, never all pairs.
 
 Null and empty texts have fingerprint zero and are linked like any other. Rows that share a text share a fingerprint. Null doc_ids never
 name a component (a component of none but null doc_ids has a null name). Columns other than doc_id and text are not read.
@@ -12,6 +13,9 @@ name a component (a component of none but null doc_ids has a null name). Columns
 
 from __future__ import annotations
 
+import itertools
+import pickle
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,6 +30,8 @@ from .spans import texts_of
 #: Fingerprints that the driver builds the tree from.
 SAMPLE = 65_536
 LEAF_ROWS, SHARD_ROWS, BRUTE = 8_192, 32_768, 1_024
+#: Fingerprints that a leaf's own tree is built from, about; how often leaves grow; inner nodes that the tree may have before leaves are cut instead.
+LEAF_SAMPLE, GROWTHS, TREE_NODES = 1_024, 4, 1 << 18
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -151,40 +157,105 @@ def close_pairs(forest: Forest, values: np.ndarray, members: np.ndarray, askers:
 
 
 def shard_links(pdf: pd.DataFrame, bits: int) -> pd.DataFrame:
-    """A spanning forest (u, v) of the links between a shard's members and all that look in."""
+    """A spanning forest (u, v) of the links between the members of a group and all that look in; of two parts, between one and the other only."""
     values, at = np.unique(pdf["fp"].to_numpy().view(np.uint64), return_inverse=True)
-    member = np.zeros(len(values), bool)
+    member, first = np.zeros(len(values), bool), np.zeros(len(values), bool)
     member[at[pdf["member"].to_numpy()]] = True
+    first[at[pdf["first"].to_numpy()]] = True
     forest = Forest(len(values))
-    close_pairs(forest, values, np.flatnonzero(member), np.arange(len(values)), bits)
+    if pdf["i"].iloc[0] == pdf["j"].iloc[0]:
+        close_pairs(forest, values, np.flatnonzero(member), np.arange(len(values)), bits)
+    else:
+        for side in (first, ~first):
+            close_pairs(forest, values, np.flatnonzero(member & side), np.flatnonzero(~side), bits)
     top = forest.roots()
     own = np.flatnonzero(top != np.arange(len(top)))
     return pd.DataFrame({"u": values[own].view(np.int64), "v": values[top[own]].view(np.int64)})
 
 
-def close_links(nodes: DataFrame, bits: int, leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """nodes: distinct fp. Edges (u, v) whose components are those of all pairs at most `bits` apart."""
+def spread(fps: np.ndarray) -> np.ndarray:
+    """31 bits of each fingerprint's hash."""
+    return (fps * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+
+
+def grafted(tree, grown: dict, count):
+    """The tree with subtrees in place of some leaves, which are numbered as routes() does."""
+    if tree is None:
+        return grown.get(next(count))
+    vp, mu, left, right = tree
+    left = grafted(left, grown, count)
+    return vp, mu, left, grafted(right, grown, count)
+
+
+def inner_nodes(tree) -> int:
+    return 0 if tree is None else 1 + inner_nodes(tree[2]) + inner_nodes(tree[3])
+
+
+def leaf_sizes(nodes: DataFrame, tree, bits: int) -> dict[int, tuple[int, int]]:
+    """Rows that live in each leaf, and rows that look in: a row for each leaf, whose number TREE_NODES bounds."""
+
+    def run(batches):
+        for batch in batches:
+            told = [(leaf, len(home), len(guest)) for leaf, home, guest in routes(tree, batch.column(0).to_numpy().view(np.uint64), bits) if len(home) or len(guest)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*told) if told else ((),) * 3, (pa.int32(), pa.int64(), pa.int64()))], names=["leaf", "home", "guest"])
+
+    return {r.leaf: (r.home, r.guest) for r in nodes.mapInArrow(run, "leaf int, home long, guest long").groupBy("leaf").agg(F.sum("home").alias("home"), F.sum("guest").alias("guest")).collect()}
+
+
+def grow(nodes: DataFrame, tree, large: dict[int, int], bits: int, leaf_rows: int):
+    """The tree with one of its own for each leaf of `large` (leaf: rows), from about LEAF_SAMPLE of the leaf's rows by hash, built a leaf a task."""
+    share = {leaf: min(1.0, LEAF_SAMPLE / n) * 2**31 for leaf, n in large.items()}
+
+    def pick(batches):
+        for batch in batches:
+            fps = batch.column(0).to_numpy().view(np.uint64)
+            for leaf, home, _ in routes(tree, fps, bits):
+                some = fps[home][spread(fps[home]) < share.get(leaf, 0)]
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), leaf, np.int32)), pa.array(some.view(np.int64))], names=["leaf", "fp"])
+
+    def own(pdf):
+        leaf = int(pdf["leaf"].iloc[0])
+        sub = build(np.sort(pdf["fp"].to_numpy().view(np.uint64)), int(np.ceil(np.log2(large[leaf] / leaf_rows))))
+        return pd.DataFrame({"leaf": [leaf], "tree": [pickle.dumps(sub)]})
+
+    found = nodes.mapInArrow(pick, "leaf int, fp long").groupBy("leaf").applyInPandas(own, "leaf int, tree binary").collect()
+    return grafted(tree, {r.leaf: pickle.loads(r.tree) for r in found}, itertools.count())
+
+
+def shards(nodes: DataFrame, bits: int, leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """nodes: distinct fp. leaf, i, j, fp, member, first: the groups whose rows are compared. first: of part i, where i and j differ."""
     n = nodes.count()
     some = nodes.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy().view(np.uint64)
     tree = build(some, max(0, int(np.ceil(np.log2(max(1, n / leaf_rows))))))
+    sizes = leaf_sizes(nodes, tree, bits)
+    for _ in range(GROWTHS):
+        large = {leaf: home for leaf, (home, _) in sizes.items() if home > shard_rows}
+        grown = grow(nodes, tree, large, bits, leaf_rows) if large else tree
+        if not inner_nodes(tree) < inner_nodes(grown) <= TREE_NODES:
+            break
+        tree, sizes = grown, leaf_sizes(nodes, grown, bits)
+    parts = {leaf: int(np.ceil(2.2 * (home + guest) / shard_rows)) for leaf, (home, guest) in sizes.items() if home and home + guest > shard_rows}
+    lived = {leaf for leaf, (home, _) in sizes.items() if home}
 
-    def run(batches, parts=None):
+    def place(batches):
         for batch in batches:
             fps = batch.column(0).to_numpy().view(np.uint64)
             for leaf, home, guest in routes(tree, fps, bits):
-                k = (parts or {}).get(leaf, 1)
-                own = (fps[home] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % k
-                for part in range(k):
-                    fp = np.concatenate([fps[home], fps[guest]])
-                    if len(fp):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), leaf, np.int32)), pa.array(np.full(len(fp), part, np.int32)), pa.array(fp.view(np.int64)), pa.array(np.append(own == part, np.zeros(len(guest), bool)))], names=["leaf", "part", "fp", "member"])
-
-    schema = "leaf int, part int, fp long, member boolean"
-    # A row for each leaf of the tree, whose number of leaves is bounded by the sample.
-    sizes = {r.leaf: r.n for r in nodes.mapInArrow(run, schema).filter("member").groupBy("leaf").agg(F.count("*").alias("n")).collect()}
-    parts = {leaf: -(-n // shard_rows) for leaf, n in sizes.items() if n > shard_rows}
-    placed = nodes.mapInArrow(lambda b: run(b, parts), schema)
-    return placed.groupBy("leaf", "part").applyInPandas(lambda pdf: shard_links(pdf, bits), "u long, v long")
+                fp, member, k = np.concatenate([fps[home], fps[guest]]), np.arange(len(home) + len(guest)) < len(home), parts.get(leaf, 1)
+                if not len(fp) or leaf not in lived:
+                    continue
+                own = (spread(fp) % k).astype(np.int32)
+                for other in range(k):
+                    i, j = np.minimum(own, other).astype(np.int32), np.maximum(own, other).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), leaf, np.int32)), pa.array(i), pa.array(j), pa.array(fp.view(np.int64)), pa.array(member), pa.array(own == i)], names=["leaf", "i", "j", "fp", "member", "first"])
+
+    return nodes.mapInArrow(place, "leaf int, i int, j int, fp long, member boolean, first boolean")
+
+
+def close_links(nodes: DataFrame, bits: int, leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """nodes: distinct fp. Edges (u, v) whose components are those of all pairs at most `bits` apart."""
+    return shards(nodes, bits, leaf_rows, shard_rows).groupBy("leaf", "i", "j").applyInPandas(lambda pdf: shard_links(pdf, bits), "u long, v long")
 
 
 def simhash_dedup(docs: DataFrame, words: int = 5, bits: int = 3, leaf_rows: int = LEAF_ROWS, shard_rows: int = SHARD_ROWS) -> DataFrame:
