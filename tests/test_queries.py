@@ -14,7 +14,7 @@ QUICK = [
     "alive_intervals", "map_playtime", "spectator_peers", "speaker_resolution", "chat_counts", "bigram_counts", "chat_neighbours", "ingest_index", "landed_spawns", "landed_users", "landed_chats", "record_pages", "zones",
     "quarantined_index", "incremental_landing", "landed_flags", "csv_round_trip", "history_files", "chat_log", "map_runs", "identities", "held_names", "scalar_values", "map_families", "other_mentions", "message_sentiment", "sentiment_rules",
     "superlatives", "friends_with_time", "player_records", "observed_holders", "year_review_words", "year_review_sheet",
-    "one_map_history", "record_history", "redelivered_spawns", "relanded_spawns", "located_chat", "year_review_records", "year_review_extremes", "year_review_friends",
+    "one_map_history", "record_history", "redelivered_spawns", "relanded_spawns", "located_chat", "year_review_records", "year_review_extremes", "year_review_friends", "url_chat", "year_review_chat", "year_review_lines", "year_review_long", "year_review_long_play",
 ]
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklore.functions.scalars import calendar_keys, count_char, message_body, speaker_name, tokens
+from ticklore.functions.scalars import calendar_keys, count_char, date_text, message_body, speaker_name, tokens
 from ticklore.operators.filters import any_keyword, contains_ci, is_player_chat, mentions
-from ticklore.operators.joins import chats_of, chats_with_users, with_session
+from ticklore.operators.joins import chats_of, chats_with_users, sessions_of_urls, with_session
 from ticklore.operators.scan import SLICE_ROWS, halo, positions, sliced
 
 # Words that tell a kind of message.
@@ -35,6 +35,13 @@ def export_user_chat(chats: DataFrame, users: DataFrame, sessions: DataFrame, in
     return with_session(chats_of(chats, users, player), sessions, index).select("date", "session_id", "index", "map", "text").orderBy("date", "session_id", "index")
 
 
+def export_url_chat(chats: DataFrame, urls: DataFrame, sessions: DataFrame, index: DataFrame) -> DataFrame:
+    """All lines of the sessions that a list of urls names: session_id, url, date, map, tick, index, from_name, text."""
+    asked = sessions_of_urls(urls, index, sessions)
+    lines = with_session(chats.join(asked, "session_id"), sessions, index).withColumn("date", date_text(F.col("date")))
+    return lines.select("session_id", "url", "date", "map", "tick", "index", F.coalesce("from_name", F.lit("")).alias("from_name"), F.coalesce("text", F.lit("")).alias("text")).orderBy("url", "index")
+
+
 def export_mentions(chats: DataFrame, users: DataFrame, term: str, n: int = 5, exclude_id64: int | None = None, exclude_names: list[str] | None = None, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Player lines that mention the term, and those up to n lines around the first and last of each session."""
     u = users.select("session_id", F.col("user_id").alias("from_user_id"), "id64")

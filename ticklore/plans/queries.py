@@ -187,7 +187,7 @@ ORACLES = {
       u AS (SELECT p AS player_key, q AS peer_key, t AS a, 0 AS b FROM o UNION ALL SELECT q, p, 0, t FROM o)
       SELECT player_key, peer_key, round(sum(a)::BIGINT * 1e-6, 6) AS watched_by_seconds, count(*) FILTER (a > 0) AS watched_by_sessions, round(sum(b)::BIGINT * 1e-6, 6) AS watching_seconds, count(*) FILTER (b > 0) AS watching_sessions FROM u GROUP BY ALL""",
     "playtime_counts": f"""WITH {EV}, {PER}, w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM q JOIN s USING (session_id) WHERE so + de > 0)
-      SELECT grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL""",
+      SELECT grouping, key, round(sum(v::DECIMAL(28, 9)), 4)::DOUBLE AS value FROM ({SIX}) GROUP BY ALL""",
     "keyword_rank": f"WITH {CV} SELECT id64, NULL::VARCHAR AS id, name, count(*) AS n FROM ch JOIN us USING (session_id, uid) WHERE text ILIKE '%the%' OR text ILIKE '%onth%' GROUP BY ALL",
     "located_chat": f"""WITH {CV} SELECT c.session_id, "index", name, id64, map AS map_name, date FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id""",
     "speaker_resolution": f"""WITH {CV} SELECT c.session_id, c."index", count(u.uid) AS candidate_count, coalesce(string_agg(u.uid::VARCHAR, ',' ORDER BY u.uid), '') AS candidates, CASE WHEN count(u.uid) = 1 THEN max(u.uid) END AS resolved_user_id

@@ -10,6 +10,8 @@ from ticklore.operators.records import PREFIX
 from ticklore.plans.inputs import alive_of, chat_tables, event_tables, per_session_of, records_of, watching_of
 from ticklore.plans.sql import CV, EV, MG, PER, REC, SCORED, SIX, STOP, SWAPPED, TOK, days, fold
 from ticklore.sources import adapters as ad
+from ticklore.sources import sinks
+from ticklore.sources.shared import shared_path
 
 BASE = scalars.ID_BASE
 
@@ -249,8 +251,48 @@ def play_part(part, *cols):
     return run
 
 
+#: Words that the shown chat of the year stars.
+MASKED = ("the|that", "first")
+
+
+def url_chat(spark, d):
+    chats, _, sessions, index = chat_tables(spark, d)
+    return chat.export_url_chat(chats, index.filter("id % 3 = 0").select("url"), sessions, index)
+
+
+def _year_files(spark, d):
+    """The year's chat of each player, written as CSV and as lines."""
+    chats, users, sessions, index = chat_tables(spark, d)
+    said = review.year_review({"chats": chats, "users": users, "sessions": sessions, "index": index}, 2024, masked=MASKED)["chat"]
+    path = shared_path(spark, "year-chat")
+    sinks.write_chat(said, path, ["player_key"], ["ts", "session_id", "index"])
+    return path
+
+
+def year_chat(spark, d):
+    return sinks.read_chat(spark, _year_files(spark, d), "player_key string, ts string, map string, server string, session_id bigint, tick int, index int, text string").withColumnRenamed("map", "map_name")
+
+
+def year_lines(spark, d):
+    return spark.read.text(f"{_year_files(spark, d)}/lines").select(F.col("p_player_key").alias("player_key"), F.col("value").alias("line"))
+
+
+def year_long(spark, d):
+    """The whole review of the conversations as one long table."""
+    chats, users, sessions, index = chat_tables(spark, d)
+    return review.year_sheet(review.year_review({"chats": chats, "users": users, "sessions": sessions, "index": index, "lexicon": _lexicon(spark, d)}, 2024, 5))
+
+
+def year_long_play(spark, d):
+    """Time, friends and records of the review of the events as one long table."""
+    t = event_tables(spark, d)
+    parts = review.year_review({"chats": t.record_chat(), "users": t.named_users(), "sessions": t.sessions, "index": t.index(), "per_session": per_session_of(t), "records": records_of(t)}, 2024, 3)
+    return review.year_sheet({k: parts[k] for k in ("counts", "class", "playtime_counts", "playtime_peaks", "playtime_top", "friends_by_playtime", "records", "record_counts")})
+
+
 _YEAR_SUPER = review_part("superlatives")
 QUERIES = {
+    "url_chat": url_chat, "year_review_chat": year_chat, "year_review_lines": year_lines, "year_review_long": year_long, "year_review_long_play": year_long_play,
     "year_review_records": record_part("records", "player_key", "map_name", "class", "seg", "chat_index", "cs"), "year_review_record_counts": record_part("record_counts"), "year_review_sentiment": review_part("sentiment"),
     "year_review_extremes": review_part("extremes", "player_key", "session_id", "index", "up", "down"), "year_review_superlatives": lambda spark, d: _flat(_YEAR_SUPER(spark, d)),
     "year_review_friends": review_part("friends_by_sessions", "player_key", "rank", "peer_key"), "year_review_replies": review_part("friends_by_interactions", "player_key", "rank", "peer_key"), "year_review_company": play_part("friends_by_playtime", "player_key", "rank", "peer_key"),
@@ -268,7 +310,7 @@ _NEAR = "p AS (SELECT DISTINCT a.session_id, a.pos, a.pos > b.pos AS side, a.who
 _FRIENDS = f"""{EV}, {PER}, us AS (SELECT DISTINCT session_id, user_id, '64:' || (user_id % 40) AS k, user_id % 11 = 0 AS is_bot FROM e), u AS (SELECT DISTINCT session_id, k FROM us WHERE NOT is_bot),
   c AS (SELECT session_id, idx, CASE WHEN idx % 5 <> 0 THEN user_id END AS uid FROM e), n AS (SELECT c.session_id, k, count(*) AS c FROM c JOIN us ON us.session_id = c.session_id AND us.user_id = c.uid GROUP BY 1, 2),
   l AS (SELECT c.session_id, CASE WHEN NOT is_bot THEN k END AS who, row_number() OVER (PARTITION BY c.session_id ORDER BY idx) AS pos FROM c JOIN us ON us.session_id = c.session_id AND us.user_id = c.uid), {_NEAR},
-  fr AS (SELECT a.k AS player_key, b.k AS peer_key, count(*) AS shared_sessions, round(sum(coalesce((so + de) * 1e-6, 0)), 4) AS shared_seconds, sum(coalesce(c, 0))::BIGINT AS chat_lines, coalesce(any_value(r3.n), 0) AS replies
+  fr AS (SELECT a.k AS player_key, b.k AS peer_key, count(*) AS shared_sessions, round(sum(coalesce((so + de) * 1e-6, 0)::DECIMAL(28, 9)), 4)::DOUBLE AS shared_seconds, sum(coalesce(c, 0))::BIGINT AS chat_lines, coalesce(any_value(r3.n), 0) AS replies
     FROM u a JOIN u b ON a.session_id = b.session_id AND a.k <> b.k LEFT JOIN q ON q.session_id = a.session_id AND q.player_key = a.k LEFT JOIN n ON n.session_id = b.session_id AND n.k = b.k LEFT JOIN r3 ON r3.x = a.k AND r3.y = b.k GROUP BY 1, 2)"""
 _PEERS = f"""{EV}, {MG.format('al')}, {MG.format('sp')},
   o AS (SELECT session_id, a.player_key AS p, b.player_key AS q, sum(least(a.end_tick, b.end_tick) - greatest(a.start_tick, b.start_tick)) AS t FROM alm a JOIN spm b USING (session_id)
@@ -283,7 +325,7 @@ def _first(cte, table, order, n, cols="player_key, rank, peer_key"):
 
 _KEPT = f"WITH RECURSIVE {EV}, {REC}, {fold('map_name, class, seg')}, {days('map_name, class, seg')}"
 _CHAT = f"{CV}, yc AS (SELECT c.session_id, \"index\", text, body, '64:' || id64 AS player_key, date, map, server, make_timestamp((date * 1000000)::BIGINT) AS t FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE date >= 1704067200 AND date < 1735689600)"
-_YEAR = f"{EV}, {PER}, yq AS (SELECT * FROM q WHERE session_id // 8 < 366), w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM yq JOIN s USING (session_id) WHERE so + de > 0), y AS (SELECT player_key, grouping, key, round(sum(v), 4) AS value FROM ({SIX}) GROUP BY ALL)"
+_YEAR = f"{EV}, {PER}, yq AS (SELECT * FROM q WHERE session_id // 8 < 366), w AS (SELECT player_key, map, server, make_timestamp((1704067200 + (session_id // 8) * 86400) * 1000000) AS t, (so + de) * 1e-6 AS v FROM yq JOIN s USING (session_id) WHERE so + de > 0), y AS (SELECT player_key, grouping, key, round(sum(v::DECIMAL(28, 9)), 4)::DOUBLE AS value FROM ({SIX}) GROUP BY ALL)"
 _SC = f"WITH {CV}, {SCORED}"
 #: The same of messages with swapped words, and phrases from the lexicon besides the published ones.
 _SWAP = "(SELECT * REPLACE (array_to_string(list_transform(string_split(body, ' '), lambda w: coalesce(element_at(MAP {" + ", ".join("'" + k + "': '" + v.replace("'", "''") + "'" for k, v in SWAPPED.items()) + "}, lower(w))[1], w)), ' ') AS body) FROM ch)"
@@ -372,3 +414,48 @@ ORACLES |= {
     "year_review_replies": _first(ORACLES["friends"].replace(CV, _CVY).replace("WITH ", "", 1).replace("SELECT a.k AS player_key", ", fr AS (SELECT a.k AS player_key") + ")", "fr", "replies DESC, chat_lines DESC, peer_key", 5),
     "year_review_company": _first(_FRIENDS.replace("FROM e)", "FROM e WHERE session_id // 8 < 366)"), "fr", "shared_seconds DESC, shared_sessions DESC, peer_key", 3),
 }
+
+
+def _starred(c):
+    """Each word is looked for twice, as neighbours share the sign between them."""
+    for word, stars in (("t)(he", "**"), ("t)(hat", "***")) * 2:
+        c = f"regexp_replace({c}, '(?i)(^|[^\\p{{L}}\\p{{N}}_])({word})([^\\p{{L}}\\p{{N}}_]|$)', '\\1\\2{stars}\\4', 'g')"
+    return c
+
+
+_SHOWN = f"WITH {CV} SELECT '64:' || id64 AS player_key, strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d %H:%M:%S') AS ts, map AS map_name, server, c.session_id, \"index\" * 1000 AS tick, \"index\", {_starred('text')} AS text FROM ch c JOIN us USING (session_id, uid) JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE date < 1735689600"
+
+
+def _long(part, sql, key, *metrics):
+    """The same long rows from the SQL of one part; key is an expression over its columns, a metric a name or (name, expression)."""
+    pairs = [m if isinstance(m, tuple) else (m, m) for m in metrics]
+    told = ", ".join(f"{{'metric': '{m}', 'value': ({e})::DOUBLE}}" for m, e in pairs)
+    return f"SELECT player_key, '{part}' AS part, key, m.metric AS metric, m.value AS value FROM (SELECT player_key, {key} AS key, unnest([{told}]) AS m FROM ({sql})) WHERE m.value IS NOT NULL"
+
+
+_GK, _ST, _FR = "grouping || '|' || key", ["messages", "mean_length", "median_length", "exclamations", "questions", "laughter", "thanks", "sorry"], ["rank", "shared_sessions", "shared_seconds", "chat_lines", "replies"]
+_COUNTED = ORACLES["year_review_peaks"].split("SELECT player_key, grouping, key, value FROM k")[0] + "SELECT * FROM k"
+_FRY = ORACLES["friends"].replace(CV, _CVY).replace("WITH ", "", 1).replace("SELECT a.k AS player_key", ", fr AS (SELECT a.k AS player_key") + ")"
+_ORDERS = {"playtime": "shared_seconds DESC, shared_sessions DESC, peer_key", "sessions": "shared_sessions DESC, shared_seconds DESC, peer_key", "interactions": "replies DESC, chat_lines DESC, peer_key"}
+_SUP = ORACLES["year_review_superlatives"].replace("SELECT player_key, a.session_id", "SELECT player_key, a.compound AS funniest_compound, b.compound AS rudest_compound, a.session_id")
+ORACLES |= {
+    "url_chat": f"WITH {CV} SELECT c.session_id, url, strftime(make_timestamp((date * 1000000)::BIGINT), '%Y-%m-%d') AS date, map, \"index\" * 1000 AS tick, \"index\", coalesce(from_name, '') AS from_name, coalesce(text, '') AS text FROM ch c JOIN ss USING (session_id) JOIN ix ON id = c.session_id WHERE id % 3 = 0",
+    "year_review_chat": _SHOWN, "year_review_lines": f"SELECT player_key, ts || ' | ' || map_name || ' | ' || server || ' | ' || regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS line FROM ({_SHOWN})",
+    "year_review_long": " UNION ALL ".join([
+        _long("activity", ORACLES["year_review_activity"], "''", "first_date", "last_date", "sessions"), _long("messages", ORACLES["year_review_messages"], "''", "first_message", "last_message"),
+        _long("chat_counts", _COUNTED, _GK, "value"), _long("chat_peaks", ORACLES["year_review_peaks"], _GK, "value"), _long("style", ORACLES["year_review_style"], "''", *_ST),
+        _long("top_words", ORACLES["year_review_words"], "word", "n", "rank"), _long("top_phrases", ORACLES["year_review_phrases"], "phrase", "n", "rank"),
+        *[_long(f"friends_by_{k}", _first(_FRY, "fr", o, 5, "*"), "peer_key", *_FR) for k, o in _ORDERS.items()],
+        _long("sentiment", ORACLES["year_review_sentiment"], "coalesce(month, '')", "mean", "n"),
+        _long("extremes", ORACLES["year_review_extremes"].replace("SELECT player_key, session_id", "SELECT compound, player_key, session_id"), "session_id || '|' || \"index\"", "compound", "up", "down"),
+        _long("superlatives", _SUP, "''", *[(f"{w}.{c}", f"{w}_{c}") for w in ("funniest", "rudest") for c in ("session_id", "index", "compound")]),
+    ]),
+    "year_review_long_play": " UNION ALL ".join([
+        _long("counts", ORACLES["year_review_sheet"], "''", "sessions", "sessions_with_time", "messages", "maps", "servers"), _long("class", ORACLES["year_review_class"], "class", ("one", "1")),
+        _long("playtime_counts", f"WITH {_YEAR} SELECT * FROM y", _GK, "value"), _long("playtime_peaks", ORACLES["year_review_time"], _GK, "value"),
+        _long("playtime_top", ORACLES["year_review_top"].replace("grouping, key, rank", "grouping, key, rank, value"), _GK, "value", "rank"),
+        _long("friends_by_playtime", _first(_FRIENDS.replace("FROM e)", "FROM e WHERE session_id // 8 < 366)"), "fr", _ORDERS["playtime"], 3, "*"), "peer_key", *_FR),
+        _long("records", ORACLES["year_review_records"].replace("map_name, class, seg, chat_index", "map_name, class, seg, session_id, chat_index"), "concat_ws('|', map_name, class, seg, session_id, chat_index)", "cs"),
+        _long("record_counts", ORACLES["year_review_record_counts"], "''", "n", "n_inferred", "n_lookup", "n_plain"),
+    ]),
+}
