@@ -24,11 +24,27 @@ def find(spark):
         ("a55", "ass"),
         ("idi07", "idiot"),
         ("!diot", "idiot"),
+        ("you  s  t  u  p  i  d  man", "stupid"),
+        ("$ t u p ! d", "stupid"),
+        ("s,t,u,p,i,d", "stupid"),
+        ("so (s,t,u,p,i,d).", "stupid"),
+        ("st-upid", "stupid"),
+        ("s-tupid", "stupid"),
+        ("stu.pid!", "stupid"),
+        ("stuupid", "stupid"),
+        ("iddiott", "idiot"),
+        ("asss", "ass"),
+        ("aass", "ass"),
     ],
 )
 def test_found(find, text, word):
     assert word in find(text)
 
 
+def test_plain_words_keep_their_own_spelling(find):
+    assert {"letter", "well", "known"} <= find("letter well-known")
+    assert "stupid" not in find("st upid") and "idiot" not in find("id, iot")
+
+
 def test_addresses_stay(find):
     assert "idiot" not in find("http://i.d.i.o.t") and "idiot" not in find("www.i.d.i.o.t")

@@ -2,7 +2,7 @@
 
 A character trigram model is counted over all documents. Tokens that look disguised (digits or signs for letters,
 letters set apart, letters repeated) become lattices of what each sign may stand for, and Viterbi finds the likeliest
-spellings. Gaps may be word breaks in the lattice; long passages and tokens are decoded in overlapping windows. Texts are then scored by a list of telling word beginnings, in the text as it stands and in what was restored.
+spellings. A plain word with doubled letters, or cut by one sign, has one other spelling, which needs no lattice. Gaps may be word breaks in the lattice; long passages and tokens are decoded in overlapping windows. Texts are then scored by a list of telling word beginnings, in the text as it stands and in what was restored.
 
 The list is learned from labelled rows that are not held out: beginnings that toxic rows of a bounded sample (TOXIC,
 CLEAN rows) share are counted over all those labelled rows, and taken greedily while they explain toxic rows that no
@@ -36,13 +36,15 @@ COMPANIES = 2 * LEAST
 SHORTEST, LONGEST = 3, 9
 #: Signs and the letters that they may stand for.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
-GAPS = " .-_*"
+GAPS = " .-_*,"
 EDGES = ".,;:?!\"'()[]{}<>#%*-_"
 #: In a token: signs between, before or after letters, a letter three times in a row, or short parts set apart by signs.
-DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+*]+[^\W\d_]|(?:^|[^\w@.])[0-9@$!|+]+[^\W\d_]|[^\W\d_][0-9@$!|+]+(?:$|[^\w@.])|([^\W\d_])\1\1|[^\W\d_]{1,4}(?:[.\-_*][^\W\d_]{1,4}){2,}")
+DISGUISED = re.compile(r"[^\W\d_][0-9@$!|+*]+[^\W\d_]|(?:^|[^\w@.])[0-9@$!|+]+[^\W\d_]|[^\W\d_][0-9@$!|+]+(?:$|[^\w@.])|([^\W\d_])\1\1|[^\W\d_]{1,4}(?:[.\-_*][^\W\d_]{1,4}){2,}|(?:^|\W)[^\W\d_](?:,[^\W\d_]){3,}(?:$|\W)")
 TRIPLE = re.compile(r"(\w)\1\1")
-#: Over tokens: single letters, each on its own.
-SPACED = re.compile(r"(?<!\S)\w(?: \w){3,}(?!\S)")
+#: Over tokens: single letters, or signs for them, each on its own, up to three blanks apart.
+SPACED = re.compile(r"(?<!\S)[\w@$!|+](?: {1,3}[\w@$!|+]){3,}(?!\S)")
+#: A word with doubled letters; a word of letters with one sign inside it.
+DOUBLE, CUT = re.compile(r"(\w)\1+"), re.compile(r"[^\W\d_]+[.\-_*][^\W\d_]+")
 #: Dots set apart a word's letters where its parts are short, or one letter repeated; longer parts are those of an address.
 ADDRESS = re.compile(r"\w@\w+\.|://|^www\.|(?:^|\.)(?!(\w)\1*\.)\w{5,}\.\w+\.\w|\.(?!(\w)\2*\.)\w{5,}\.\w")
 #: Tokens longer than that are decoded each time that they come, not remembered.
@@ -107,6 +109,12 @@ def restore(token: str, cost: np.ndarray, best: int = 4) -> list[str]:
     return out
 
 
+def singled(word: str) -> set[str]:
+    """The word with all doubles as single letters, and with each double alone so; what is longer than any word only the first way."""
+    each = DOUBLE.finditer(word) if len(word) <= REMEMBERED else ()
+    return {DOUBLE.sub(r"\1", word), *(word[: m.start()] + m[1] + word[m.end() :] for m in each)}
+
+
 def breaks(ch: str) -> bool:
     return ch in GAPS or not (ch.isalnum() or ch in STANDS_FOR)
 
@@ -159,6 +167,10 @@ class Finder:
             words = [core] if plain else WORD.findall(core)
             if (TRIPLE if plain else DISGUISED).search(core) and not ADDRESS.search(core):
                 words += restore(core, self.cost)
+            elif plain and DOUBLE.search(core):
+                words += singled(core)
+            elif CUT.fullmatch(core) and not ADDRESS.search(core):
+                words.append("".join(words))
             found = tuple({x for w in words for x in self.what(w)})
             if len(token) <= REMEMBERED:
                 self.seen[token] = found
