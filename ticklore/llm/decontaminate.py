@@ -2,8 +2,8 @@
 
 Terms are those of the benchmark that are not stop-like in the corpus; a passage is a window of words with TF-IDF
 weights, from passage counts over all documents. A randomised SVD, whose products with the passage matrix Spark sums over
-a bounded sample of documents and the benchmark, gives the latent space. Every passage of every document is projected,
-and compared with every benchmark segment by cosine; candidates are verified on the words themselves: longest common
+all documents and the benchmark, gives the latent space; the matrix is stored once, packed, for the counts and both products.
+Every passage of every document is projected, and compared with every benchmark segment by cosine; candidates are verified on the words themselves: longest common
 subsequence near the place they share, and for paraphrases that the answer (the last sentence, or a column `answer`) is
 there too. Items that stand word for word in a text are found exactly as well, by the likely rarest few words of each.
 
@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Poly, mix, small_batches, table, word_bounds
+from .common import Poly, made, mix, release, small_batches, table, word_bounds, written
 
 BLOCK_BYTES = 4 << 20
-#: Documents that the latent space is fitted on, in the mean; all are searched.
-FIT_DOCS = 4_096
 WIDTH, STEP = 64, 32
 #: Terms in more than this share of all passages are stop-like.
 STOP = 0.05
+#: Passages that are multiplied as one dense matrix over the terms that they have.
+FEW = 64
 #: Words by which items are looked up for the exact comparison.
 ANCHOR = 4
 _HASH = Poly(41)
@@ -152,21 +152,52 @@ def times(row: np.ndarray, term: np.ndarray, w: np.ndarray, axes: np.ndarray, n:
     return np.add.reduceat(axes[term] * w[:, None], np.searchsorted(row, np.arange(n)), axis=0) if n else np.zeros((0, axes.shape[1]))
 
 
-def counted(docs: DataFrame, space: Space) -> None:
-    """Sets idf, from passage counts over all documents; stop-like terms weigh nothing unless an item has few others."""
+def squared(row: np.ndarray, term: np.ndarray, w: np.ndarray, axes: np.ndarray, n: int, out: np.ndarray, times_: float = 1.0) -> None:
+    """Adds A.T @ (A @ axes) to out; A is the entries' matrix of n rows, sorted by row."""
+    for lo in range(0, n, FEW):
+        a, b = np.searchsorted(row, [lo, lo + FEW])
+        own, at = np.unique(term[a:b], return_inverse=True)
+        part = np.zeros((min(FEW, n - lo), len(own)), axes.dtype)
+        part[row[a:b] - lo, at] = w[a:b]
+        out[own] += times_ * (part.T @ (part @ axes[own]))
+
+
+def stored(docs: DataFrame, space: Space) -> DataFrame:
+    """The passage matrix of all documents: for some texts each, the number of terms of every passage, the terms, and how often each stands there."""
+    shared = docs.sparkSession.sparkContext.broadcast(space)
 
     def run(batches):
-        df, passages = np.zeros(len(space.terms), np.int64), 0
         for batch in batches:
             for _, texts in some_texts(batch):
-                _, term, _, first = space.passages(*words(texts))
-                df += np.bincount(term, minlength=len(df))
-                passages += int(first[-1])
+                passage, term, n, first = shared.value.passages(*words(texts))
+                # A passage has at most WIDTH words.
+                packed = np.bincount(passage, minlength=int(first[-1])).astype(np.uint8), term.astype("<i4"), n.astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in packed], names=["sizes", "term", "n"])
+
+    return written(docs.select("text").mapInArrow(run, "sizes binary, term binary, n binary"), "passages")
+
+
+def unpacked(batch: pa.RecordBatch):
+    """(sizes, term, n) of each row of stored()."""
+    for sizes, term, n in zip(*(c.to_pylist() for c in batch.columns)):
+        yield np.frombuffer(sizes, np.uint8), np.frombuffer(term, "<i4"), np.frombuffer(n, np.uint8)
+
+
+def counted(matrix: DataFrame, space: Space) -> None:
+    """Sets idf, from passage counts over all documents; stop-like terms weigh nothing unless an item has few others."""
+    size = len(space.terms)
+
+    def run(batches):
+        df, passages = np.zeros(size, np.int64), 0
+        for batch in batches:
+            for sizes, term, _ in unpacked(batch):
+                df += np.bincount(term, minlength=size)
+                passages += len(sizes)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(-1, at)), pa.array(np.append(passages, df[at]))], names=["term", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row for each benchmark term of the block
-    df, passages = np.zeros(len(space.terms)), 1
+    rows = matrix.mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # a row for each benchmark term of the block
+    df, passages = np.zeros(size), 1
     for r in rows:
         if r.term < 0:
             passages = max(1, r.n)
@@ -181,28 +212,22 @@ def counted(docs: DataFrame, space: Space) -> None:
     space.idf = np.where(stop, 0, idf)
 
 
-def product(docs: DataFrame, space: Space, axes: np.ndarray) -> np.ndarray:
-    """A.T @ (A @ axes), over the passages of the documents (summed by Spark for each block of terms) and the benchmark.
+def product(matrix: DataFrame, space: Space, axes: np.ndarray) -> np.ndarray:
+    """A.T @ (A @ axes), over the passages of all documents (summed by Spark for each block of terms) and the benchmark.
 
     The benchmark's rows together weigh as much as the documents': else common prose would take all dimensions.
+    Terms are multiplied in single precision and added in double.
     """
     block = 512
-    shared = docs.sparkSession.sparkContext.broadcast((space, axes))
-
-    def back(row, term, w, q, n, out, times_=1.0):
-        z = times(row, term, w, q, n)
-        order = np.argsort(term, kind="stable")
-        t, begin = np.unique(term[order], return_index=True)
-        if len(t):
-            out[t] += times_ * np.add.reduceat((z[row] * w[:, None])[order], begin, axis=0)
+    shared = matrix.sparkSession.sparkContext.broadcast((space, axes.astype(np.float32)))
 
     def run(batches):
         own, q = shared.value
-        out, rows = np.zeros((len(own.terms), q.shape[1])), 0
+        out, rows = np.zeros(q.shape), 0
         for batch in batches:
-            for _, texts in some_texts(batch):
-                which, row, term, w = own.weighed(*own.passages(*words(texts))[:3])
-                back(row, term, w, q, len(which), out)
+            for sizes, term, n in unpacked(batch):
+                which, row, term, w = own.weighed(np.repeat(np.arange(len(sizes)), sizes), term, n.astype(np.int64))
+                squared(row, term, w, q, len(which), out)
                 rows += len(which)
         yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([np.array([float(rows)]).tobytes()], pa.binary())], names=["b", "m"])
         for b in range(0, len(out), block):
@@ -212,24 +237,28 @@ def product(docs: DataFrame, space: Space, axes: np.ndarray) -> np.ndarray:
         return pd.DataFrame({"b": pdf["b"][:1], "m": [sum(np.frombuffer(m) for m in pdf["m"]).tobytes()]})
 
     out, rows = np.zeros((len(space.terms), axes.shape[1])), 0.0
-    for r in docs.select("text").mapInArrow(run, "b long, m binary").groupBy("b").applyInPandas(add, "b long, m binary").collect():  # terms of the block x dims
+    for r in matrix.mapInArrow(run, "b long, m binary").groupBy("b").applyInPandas(add, "b long, m binary").collect():  # terms of the block x dims
         if r.b < 0:
             rows = float(np.frombuffer(r.m)[0])
         else:
             out[r.b : r.b + block] = np.frombuffer(r.m).reshape(-1, axes.shape[1])
     owner, which, row, term, w = space.item_rows()
-    back(row, term, w, axes, len(which), out, max(1.0, rows / max(1, len(which))))
+    squared(row, term, w, axes, len(which), out, max(1.0, rows / max(1, len(which))))
     return out
 
 
 def fit(docs: DataFrame, space: Space, dims: int) -> None:
-    """Sets the axes: right singular vectors of the passage matrix, from two products with it (Halko et al. 2011)."""
+    """Sets idf and the axes: right singular vectors of the passage matrix, from two products with it (Halko et al. 2011)."""
+    since = made()
+    matrix = stored(docs, space)
+    counted(matrix, space)
     dims = min(dims, len(space.terms))
     start = np.random.default_rng(5).standard_normal((len(space.terms), min(dims + 8, len(space.terms))))
-    q, _ = np.linalg.qr(product(docs, space, start))
-    y = product(docs, space, q)
+    q, _ = np.linalg.qr(product(matrix, space, start))
+    y = product(matrix, space, q)
     values, vectors = np.linalg.eigh(q.T @ y)
     space.axes = q @ vectors[:, np.argsort(-values)[:dims]]
+    release(docs.sparkSession, since)
 
 
 def verify(item: Item, doc: np.ndarray, at: int, near: float, strict: float, loose: float) -> tuple[float, bool]:
@@ -315,13 +344,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, dims: int = 96, cosine:
     spark = docs.sparkSession
     small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n = rows.count()
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // FIT_DOCS))) == 0)
     parts = []
     for items in blocks_of(benchmark):
         space = Space(items)
-        counted(rows, space)
-        fit(sample, space, dims)
+        fit(rows, space, dims)
         parts.append(search(rows, space, cosine, strict, loose))
     if not parts:
         return spark.createDataFrame([], FOUND)
