@@ -4,9 +4,8 @@ A character trigram model is counted over all documents. Tokens that look disgui
 letters set apart, letters repeated) become lattices of what each sign may stand for, and Viterbi finds the likeliest
 spellings. A plain word with doubled letters, or cut by one sign, has one other spelling, which needs no lattice. Gaps may be word breaks in the lattice; long passages and tokens are decoded in overlapping windows. Texts are then scored by a list of telling word beginnings, in the text as it stands and in what was restored.
 
-The list is learned from labelled rows that are not held out: beginnings that toxic rows of a bounded sample (TOXIC,
-CLEAN rows) share are counted over all those labelled rows, and taken greedily while they explain toxic rows that no
-other one explains. Then those come in that no row needs, if they stand among many different sets of the ones taken: a
+The list is learned from all labelled rows that are not held out: beginnings that toxic rows share are counted over
+them, and taken greedily while they explain toxic rows that no other one explains. Then those come in that no row needs, if they stand among many different sets of the ones taken: a
 phrase of one text and its copies always has the same company. The score is the list's highest precision in the text, or the rate of what stays unexplained.
 
 Null and empty texts score that rate. Null doc_ids are not held out and have no label. Labels that are null, or of no
@@ -18,22 +17,24 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table, written
+from .common import columns, small_batches, table, written
 
-#: Labelled rows that candidates are taken from.
-TOXIC, CLEAN = 3_000, 3_000
-#: A candidate stands in so many of the sampled toxic rows; a list entry explains so many on its own, with so little error.
+#: A candidate stands in so many toxic rows; a list entry explains so many on its own, with so little error.
 LEAST, ERROR = 4, 0.02
 #: Different companies in which an entry is seen that explains no row on its own.
 COMPANIES = 2 * LEAST
 SHORTEST, LONGEST = 3, 9
+#: Beginnings that a task counts before it passes the counts on, or that are sent to all executors; words that it remembers.
+TALLIED = 1 << 18
 #: Signs and the letters that they may stand for.
 STANDS_FOR = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t"}
 GAPS = " .-_*,"
@@ -190,98 +191,202 @@ def beginnings(word: str) -> list[str]:
     return [word[:n] for n in range(SHORTEST, min(LONGEST, len(word)) + 1)] + ([word + "$"] if len(word) >= SHORTEST else [])
 
 
-def candidates(docs: DataFrame, labels: DataFrame, cost: np.ndarray) -> list[str]:
-    """Beginnings that sampled toxic rows share and sampled clean rows lack. The sample, and so the list, is bounded."""
-    side = lambda y, n: labels.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id")).limit(n)
-    sample = F.broadcast(side(1, TOXIC).unionByName(side(0, CLEAN)))
+def said(docs: DataFrame, cost: np.ndarray) -> DataFrame:
+    """doc_id, rid, words: the different words of every row, plain and restored, with a blank between. Texts are read and restored once, here."""
+    shared = docs.sparkSession.sparkContext.broadcast(cost)
 
     def run(batches):
-        find = Finder(cost, beginnings)
+        find = Finder(shared.value, lambda w: [w] if len(w) >= SHORTEST else [])
         for batch in batches:
-            keys, toxic = [], []
-            for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = find(text or "")
-                keys += own
-                toxic += [y] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(toxic, pa.int32())], names=["key", "toxic"])
+            out = [" ".join(find(t or "")) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.string())], names=["doc_id", "rid", "words"])
 
-    each = docs.join(sample, "doc_id").select("text", "toxic").mapInArrow(run, "key string, toxic int")
-    counted = each.groupBy("key").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-    return sorted(r.key for r in counted.filter((F.col("t") >= LEAST) & (F.col("c") <= ERROR * F.col("t"))).select("key").collect())
+    return written(docs.select("doc_id", "text", "rid").mapInArrow(run, "doc_id long, rid long, words string"), "said")
 
 
-def hits(docs: DataFrame, keys: list[str], cost: np.ndarray) -> DataFrame:
-    """doc_id, rid, hits (which keys begin a word of the text, or of a restored spelling) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(({k: i for i, k in enumerate(keys)}, cost))  # bounded: see candidates()
+def held(words: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, n: each beginning in the labelled rows, and how many of them hold it."""
 
     def run(batches):
-        number, costs = shared.value
-        find = Finder(costs, lambda w: [number[b] for b in beginnings(w) if b in number])
+        n: Counter = Counter()
         for batch in batches:
-            out = [sorted(find(t or "")) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "rid", "hits"])
-
-    return docs.select("doc_id", "text", "rid").mapInArrow(run, "doc_id long, rid long, hits array<int>")
-
-
-def learn(found: DataFrame, labels: DataFrame, n_keys: int) -> tuple[dict[int, float], float]:
-    """Precision of each list entry, and the rate without any. Counts are over all labelled rows; the cover over a bounded sample."""
-    known = found.join(labels, "doc_id")
-    counted = known.select("toxic", F.explode("hits").alias("key")).groupBy("key").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).collect()
-    t, c = np.zeros(n_keys), np.zeros(n_keys)
-    for r in counted:
-        t[r.key], c[r.key] = r.t, r.c
-    good = (c <= ERROR * t) & (t >= LEAST)
-    sample = [set(r.hits) for r in known.filter("toxic = 1").orderBy(F.xxhash64("doc_id")).limit(TOXIC).select("hits").collect()]
-    open_ = [{k for k in s if good[k]} for s in sample]
-    rows: dict[int, set[int]] = {}
-    for i, s in enumerate(open_):
-        for k in s:
-            rows.setdefault(k, set()).add(i)
-    chosen: dict[int, float] = {}
-    while rows:
-        # Of equals, the one that stands in most rows.
-        k = max(rows, key=lambda k: (len(rows[k]), t[k], -k))
-        if len(rows[k]) < LEAST:
-            break
-        chosen[k] = (t[k] + 1) / (t[k] + c[k] + 1.02)
-        for i in rows.pop(k):
-            for other in open_[i]:
-                if other in rows:
-                    rows[other].discard(i)
-    company: dict[int, set[frozenset[int]]] = {}
-    for own in sample:
-        with_ = frozenset(own & chosen.keys())
-        for k in own - chosen.keys():
-            if good[k]:
-                company.setdefault(k, set()).add(with_)
-    for k, seen in company.items():
-        if len(seen) >= COMPANIES:
-            chosen[k] = (t[k] + 1) / (t[k] + c[k] + 1.02)
-    none = known.filter(~F.arrays_overlap("hits", F.array(*[F.lit(k) for k in chosen]) if chosen else F.array().cast("array<int>")))
-    r = none.agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
-    return chosen, ((r.t or 0) + 0.5) / (r.n + 1) if r.n else 0.0
+            for text in batch.column(0).to_pylist():
+                n.update({k for w in text.split() for k in beginnings(w)})
+                if len(n) > TALLIED:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["key", "n"])
+                    n.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["key", "n"])
 
+    return words.join(labels, "doc_id").select("words").mapInArrow(run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
-def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, key: str | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row. mod, rest: which rows are held out of learning. key: a column of longs that comes along as rid."""
-    small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(key) if key else F.lit(None)).cast("long").alias("rid"))
-    known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")).filter(~held_out(F.col("doc_id"), mod, rest))
-    cost = char_model(rows)
-    keys = candidates(rows, known, cost)
-    found = written(hits(rows, keys, cost), "hits")
-    chosen, none = learn(found, known, len(keys))
-    table_ = np.zeros(len(keys))
-    for k, v in chosen.items():
-        table_[k] = v
+
+def clean_counts(words: DataFrame, labels: DataFrame, keys: list[str], most: np.ndarray) -> np.ndarray:
+    """How many clean rows hold each key. A task counts a key no further once it has seen more than `most` for it, so that counts above `most` are lower bounds."""
+    shared = words.sparkSession.sparkContext.broadcast(({k: i for i, k in enumerate(keys)}, most.tolist()))
+
+    def run(batches):
+        number, bound = shared.value
+        left, n, nothing = dict(number), np.zeros(len(bound), np.int64), set()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own = set()
+                for w in set(text.split()) - nothing:
+                    found = [b for b in beginnings(w) if b in left]
+                    if found:
+                        own.update(found)
+                    else:
+                        nothing.add(w)
+                for k in own:
+                    i = left[k]
+                    n[i] += 1
+                    if n[i] > bound[i]:
+                        del left[k]
+                if len(nothing) > TALLIED:
+                    nothing.clear()
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["key", "n"])
+
+    each = words.join(labels.filter("toxic = 0"), "doc_id").select("words").mapInArrow(run, "key long, n long")
+    out = np.zeros(len(keys), np.int64)
+    key, n = columns(each.groupBy("key").agg(F.sum("n").alias("n")))
+    out[key] = n
+    return out
+
+
+def candidates(words: DataFrame, labels: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Beginnings that LEAST toxic rows share and clean rows nearly lack, and how many rows of either kind hold each. Counts are over all labelled rows.
+
+    Counts only grow, so what an eighth of the clean rows rules out is out whatever the others hold, and is not sent to them. What
+    stays open is counted over all clean rows, in blocks of about TALLIED beginnings, each of which is broadcast.
+    """
+    toxic = held(words, labels.filter("toxic = 1")).filter(F.col("n") >= LEAST).withColumnRenamed("n", "t")
+    eighth = held(words, labels.filter("toxic = 0 AND pmod(xxhash64(doc_id), 8) = 0"))
+    shared = written(toxic.join(eighth, "key", "left").filter(F.coalesce("n", F.lit(0)) <= ERROR * F.col("t")).select("key", "t"), "shared")
+    blocks = -(-shared.count() // TALLIED)
+    out = []
+    for b in range(blocks):
+        key, t = columns(shared.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == b))
+        c = clean_counts(words, labels, key.tolist(), ERROR * t)
+        out += [x for x in zip(key.tolist(), t.tolist(), c.tolist()) if x[2] <= ERROR * x[1]]
+    out.sort()
+    return [k for k, _, _ in out], np.array([t for _, t, _ in out], np.int64), np.array([c for _, _, c in out], np.int64)
+
+
+def holding(entries: dict[str, int | float]):
+    """Words of some text -> what stands for the entries that begin one of them."""
+    heads = {k[:SHORTEST] for k in entries}
+    return lambda text: {entries[b] for w in text.split() if w[:SHORTEST] in heads for b in beginnings(w) if b in entries}
+
+
+def patterns(words: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """hits (which candidates a row holds, sorted), n: each different set of candidates of the toxic rows, and how many rows have it."""
+    shared = words.sparkSession.sparkContext.broadcast({k: i for i, k in enumerate(keys)})
+
+    def run(batches):
+        find = holding(shared.value)
+        for batch in batches:
+            out = [sorted(find(text)) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int32()))], names=["hits"])
+
+    own = words.join(labels.filter("toxic = 1"), "doc_id").select("words").mapInArrow(run, "hits array<int>").filter("size(hits) > 0")
+    return written(own.groupBy("hits").agg(F.count("*").alias("n")), "patterns")
+
+
+def tallied(sets: DataFrame, chosen: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
+    """Over the rows without a chosen entry: how many hold each candidate; with an order of the candidates, of how many it is the last."""
+    rank = None if order is None else np.argsort(order)
+
+    def run(batches):
+        n = np.zeros(len(chosen), np.int64)
+        for batch in batches:
+            hits, times, own = batch.column(0), batch.column(1).to_numpy(), batch.column(0).flatten().to_numpy()
+            size = np.diff(hits.offsets.to_numpy())
+            begin = np.cumsum(size) - size
+            times = np.where(np.logical_or.reduceat(chosen[own], begin), 0, times) if len(own) else times
+            if rank is None:
+                np.add.at(n, own, np.repeat(times, size))
+            elif len(own):
+                np.add.at(n, order[np.maximum.reduceat(rank[own], begin)], times)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["key", "n"])
+
+    out = np.zeros(len(chosen), np.int64)
+    for r in sets.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():
+        out[r.key] = r.n
+    return out
+
+
+def cover(sets: DataFrame, t: np.ndarray) -> np.ndarray:
+    """Which candidates a greedy cover of all toxic rows takes, each for at least LEAST rows that no other one explains.
+
+    Of equals, the one that stands in most rows goes first. A round takes every candidate that comes before all others in each of its
+    open rows: nothing can change its count before its turn, so these are the ones that the greedy cover takes one by one.
+    """
+    chosen = np.zeros(len(t), bool)
+    while True:
+        left = tallied(sets, chosen)
+        if left.max(initial=0) < LEAST:
+            return chosen
+        leads = tallied(sets, chosen, np.lexsort((-np.arange(len(t)), t, left)))
+        chosen |= (left >= LEAST) & (leads == left)
+
+
+def companies(sets: DataFrame, chosen: np.ndarray) -> list[int]:
+    """Candidates not chosen that are seen among at least COMPANIES different sets of chosen ones."""
+
+    def run(batches):
+        seen: dict[int, set[bytes]] = {}
+        for batch in batches:
+            for own in batch.column(0).to_pylist():
+                own = np.array(own)
+                with_ = blake2b(own[chosen[own]].tobytes(), digest_size=16).digest()
+                for k in own[~chosen[own]].tolist():
+                    found = seen.setdefault(k, set())
+                    if len(found) < COMPANIES:  # that many are enough, wherever else it stands
+                        found.add(with_)
+        key = [k for k, found in seen.items() for _ in found]
+        yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array([x for found in seen.values() for x in found], pa.binary())], names=["key", "company"])
+
+    told = sets.mapInArrow(run, "key long, company binary").groupBy("key").agg(F.count_distinct("company").alias("n"))
+    return [r.key for r in told.filter(F.col("n") >= COMPANIES).select("key").collect()]
+
+
+def learn(words: DataFrame, labels: DataFrame) -> dict[str, float]:
+    """Precision of each list entry. All labelled rows teach it: counts, cover and companies are over every one."""
+    keys, t, c = candidates(words, labels)
+    if not keys:
+        return {}
+    sets = patterns(words, labels, keys)
+    chosen = cover(sets, t)
+    listed = {*np.flatnonzero(chosen).tolist(), *companies(sets, chosen)}
+    return {keys[k]: float((t[k] + 1) / (t[k] + c[k] + 1.02)) for k in sorted(listed)}
+
+
+def looked_up(words: DataFrame, entries: dict[str, float]) -> DataFrame:
+    """doc_id, rid, best: the highest precision of an entry that begins a word of the row; null where none does."""
+    shared = words.sparkSession.sparkContext.broadcast(entries)
 
     def run(batches):
+        find = holding(shared.value)
         for batch in batches:
-            score = [max([none, *(table_[k] for k in own if table_[k])]) for own in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score, pa.float64()), pa.array([int(s >= 0.5) for s in score], pa.int32()), batch.column(3)], names=["doc_id", "held_out", "score", "predicted", "rid"])
+            best = [max(find(text), default=None) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.float64())], names=["doc_id", "rid", "best"])
+
+    return written(words.select("doc_id", "rid", "words").mapInArrow(run, "doc_id long, rid long, best double"), "best")
 
-    scored = found.select("doc_id", held_out(F.col("doc_id"), mod, rest).alias("held_out"), "hits", "rid").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, rid long")
+
+def toxicity(docs: DataFrame, labels: DataFrame, mod: int = 5, rest: int = 0, key: str | None = None) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row. mod, rest: which rows are held out of learning. key: a column of longs that comes along as rid."""
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(key) if key else F.lit(None)).cast("long").alias("rid"))
+    known = written(labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")).filter(~held_out(F.col("doc_id"), mod, rest)), "labels")
+    words = said(rows, char_model(rows))
+    found = looked_up(words, learn(words, known))
+    # The rate of the labelled rows that no entry explains.
+    r = found.filter("best IS NULL").join(known, "doc_id").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).first()
+    none = ((r.t or 0) + 0.5) / (r.n + 1) if r.n else 0.0
+    score = F.greatest(F.coalesce("best", F.lit(none)), F.lit(none))
+    scored = found.select("doc_id", held_out(F.col("doc_id"), mod, rest).alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"), "rid")
     return scored if key else scored.drop("rid")
 
 
