@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticklore.functions.scalars import count_char, epoch_timestamp, tokens
 from ticklore.operators.chat import LAUGHTER
 from ticklore.operators.playtime import common_name
+from ticklore.sources.shared import stored
 
 # Negations, boosters, phrases and constants of the published rules.
 NEGATIONS = """
@@ -26,6 +27,8 @@ LOWERING_PAIRS = ["just enough", "kind of", "sort of"]
 PHRASES = {"the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5, "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9}
 BOOSTED, NEGATED, CAPITALS, EXCLAIMED, EMPHATIC, ALPHA = 0.293, -0.74, 0.733, 0.292, 1.25, 15.0
 DAMPING = [1.0, 0.95, 0.9]
+#: Words and phrases that are sent to every task at once; more of them are dealt by a shuffle.
+BROADCAST_TERMS = 100_000
 BOOSTERS = {**dict.fromkeys(RAISING, BOOSTED), **dict.fromkeys(LOWERING, -BOOSTED)}
 
 
@@ -35,8 +38,8 @@ def _shouts(x: Column) -> Column:
 
 def _words(text: Column) -> Column:
     """Split at blanks. Marks at both ends go, unless that would leave two characters or fewer: those may be an emoticon."""
-    bare = lambda w: F.regexp_replace(w, r"^\p{Punct}+|\p{Punct}+$", "")
-    return F.filter(F.transform(F.split(text, r"\s+"), lambda w: F.when(F.length(bare(w)) > 2, bare(w)).otherwise(w)), lambda w: w != "")
+    bare = F.regexp_replace(text, r"(?<!\S)\p{Punct}*([^\s\p{Punct}]\S+[^\s\p{Punct}])\p{Punct}*(?!\S)", "$1")
+    return F.filter(F.split(bare, r"\s+"), lambda w: w != "")
 
 
 def _spans(low: Column) -> Column:
@@ -104,17 +107,22 @@ def sentiment(df: DataFrame, text_col: str, lexicon: DataFrame, keys: list[str],
         phrases = df.sparkSession.createDataFrame(list(PHRASES.items()), "phrase string, valence double")
     terms = lexicon.select(F.lower("token").alias("token"), "valence").filter(~F.col("token").rlike(r"\s")).unionByName(phrases.select(F.lower("phrase").alias("token"), "valence").filter(F.col("token").contains(" ")))
     terms = terms.filter("valence IS NOT NULL").groupBy("token").agg(F.avg(F.col("valence").cast("double")).alias("valence"))
-    told = df.select(*keys, text.alias("text")).withColumn("words", _words(F.col("text"))).withColumn("low", F.transform("words", F.lower))
-    found = told.select(*keys, F.explode(_spans(F.col("low"))).alias("w")).select(*keys, "w.*").join(terms, "token")
+    terms = stored(terms, "terms")
+    # Spark takes exploded texts for as small as their compressed files, and would broadcast them. So the side that may go through the driver is told.
+    few = terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    told = df.select(*keys, F.struct("*").alias("row"), text.alias("text"))
+    low = told.select(*keys, F.transform(_words(F.col("text")), F.lower).alias("low"))
+    found = low.select(*keys, F.explode(_spans(F.col("low"))).alias("w")).select(*keys, "w.*").join(terms.hint("broadcast" if few else "shuffle_hash"), "token")
     found = found.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", "n", "valence"))).alias("finds"))
-    at = told.join(found, keys).withColumn("loud", F.size(F.filter("words", _shouts))).withColumn("mixed", (F.col("loud") > 0) & (F.col("loud") < F.size("words"))).withColumn("but", F.array_position("low", "but").cast("int") - 1)
+    at = told.hint("merge").join(found, keys, "left").withColumn("words", F.when(F.col("finds").isNotNull(), _words(F.col("text")))).withColumn("low", F.transform("words", F.lower))
+    at = at.withColumn("loud", F.size(F.filter("words", _shouts))).withColumn("mixed", (F.col("loud") > 0) & (F.col("loud") < F.size("words"))).withColumn("but", F.array_position("low", "but").cast("int") - 1)
     value = lambda e: F.aggregate(F.array(F.array(*(F.get("finds", e + k) for k in range(-BEFORE, AFTER + 1)))), F.lit(0.0), lambda _, near: _value(near))
     total = F.aggregate(F.sequence(F.lit(0), F.size("finds") - 1), F.lit(0).cast("decimal(28,6)"), lambda s, e: (s + value(e).cast("decimal(18,6)")).cast("decimal(28,6)"))
-    scored = at.select(*keys, total.cast("double").alias("s"))
-    loud, asks = count_char(text, "!"), count_char(text, "?")
+    loud, asks = count_char(F.col("text"), "!"), count_char(F.col("text"), "?")
     marks = F.least(loud, F.lit(4)) * EXCLAIMED + F.when(asks > 3, 0.96).when(asks > 1, asks * 0.18).otherwise(0.0)
-    total = F.col("s") + F.signum("s") * marks
-    return df.join(scored, keys, "left").withColumn("s", F.coalesce(total, F.lit(0.0))).withColumn("compound", F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4)).drop("s")
+    scored = at.select("row", "text", F.when(F.col("finds").isNotNull(), total).cast("double").alias("s"))
+    scored = scored.select("row", F.coalesce(F.col("s") + F.signum("s") * marks, F.lit(0.0)).alias("s"))
+    return scored.select("row.*", F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4).alias("compound"))
 
 
 def user_sentiment(scored: DataFrame) -> DataFrame:
