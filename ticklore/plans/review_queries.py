@@ -58,8 +58,8 @@ def shown_records(spark, d):
 
 
 def every_record(spark, d):
-    """With include_all, each row that is not inferred stays."""
-    return records.record_history(records_of(event_tables(spark, d)), include_all=True).filter("NOT inferred").select("chat_index", "cs")
+    """With include_all, each row that is not inferred stays; inferred ones go first, so that none stands for another of its day and time."""
+    return records.record_history(records.include(records_of(event_tables(spark, d)), inferred=False), include_all=True).select("chat_index", "cs")
 
 
 def latest(spark, d):
