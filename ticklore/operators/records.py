@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticklore.functions.scalars import SIGNED_TIME, TIME, audit_text, format_time, let, normalize_class, parse_time, serialize_candidates
-from ticklore.operators.filters import class_matches, likely_record, likely_relay, likely_run, map_family, map_family_like, name_matches
+from ticklore.operators.filters import class_matches, likely_record, likely_relay, likely_run, map_family, map_family_like
 from ticklore.operators.playtime import top_n
 from ticklore.operators.scan import SLICE_ROWS, sliced
 from ticklore.sources.shared import stored
@@ -158,6 +158,11 @@ def parsed(e: Column) -> Column:
     return F.explode(F.array_compact(F.array(e)))
 
 
+def beginnings(names: DataFrame) -> DataFrame:
+    """names (session_id, full, and others) with a row for each beginning of a name, of up to STEM characters."""
+    return names.withColumn("begin", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("full"), F.lit(STEM))), lambda n: F.substring(F.col("full"), F.lit(1), n))))
+
+
 def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     """Adds id64, clean_id, candidates: by the line's user, else by exact name, else by the beginning of a name cut to `abc...`.
 
@@ -172,8 +177,7 @@ def resolve_identity(df: DataFrame, users: DataFrame) -> DataFrame:
     rows = rows.withColumn("stem", F.when(F.col("same").isNull() & F.col("low").endswith("...") & (stem != ""), stem))
     cut = rows.filter("stem IS NOT NULL").select("session_id", "stem", F.substring("stem", 1, STEM).alias("begin")).distinct()
     full = named.join(cut.select("session_id").distinct(), "session_id", "left_semi").select("session_id", F.col("low").alias("full"), F.col("same").alias("some"))
-    begins = full.withColumn("begin", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("full"), F.lit(STEM))), lambda n: F.substring(F.col("full"), F.lit(1), n))))
-    begun = cut.join(begins, ["session_id", "begin"]).filter("startswith(full, stem)").groupBy("session_id", "stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
+    begun = cut.join(beginnings(full), ["session_id", "begin"]).filter("startswith(full, stem)").groupBy("session_id", "stem").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("some")))).alias("begun"))
     rows = rows.join(begun, ["session_id", "stem"], "left").withColumn("found", F.coalesce("same", "begun"))
     known = F.col("d64").isNotNull() | F.col("did").isNotNull()
     # Identities, not names, tell whether it is one.
@@ -370,8 +374,14 @@ def player_records(records: DataFrame, users: DataFrame) -> DataFrame:
 
     users: session_id, player_key, name.
     """
-    names = users.filter("trim(name) <> ''").groupBy("session_id", "player_key").agg(F.collect_set("name").alias("names"))
-    return records.join(names, "session_id").filter(name_matches(F.col("player"), F.col("names"))).drop("names")
+    names = users.filter("trim(name) <> ''").select("session_id", "player_key", F.lower("name").alias("full")).distinct()
+    asked = records.select("session_id", "player").distinct()
+    whole = asked.withColumn("full", F.lower("player")).join(names, ["session_id", "full"]).select("session_id", "player", "player_key")
+    # Of a cut name the beginning is looked up among the beginnings of the session's names: no row meets all of them.
+    cut = asked.filter(F.col("player").endswith("...") & (F.length("player") > 3)).withColumn("stem", F.lower(F.expr("substring(player, 1, length(player) - 3)"))).withColumn("begin", F.substring("stem", 1, STEM))
+    begun = cut.join(beginnings(names.join(cut.select("session_id").distinct(), "session_id", "left_semi")), ["session_id", "begin"]).filter("startswith(full, stem)").select("session_id", "player", "player_key")
+    held = whole.unionByName(begun).distinct()
+    return records.join(held, ["session_id", "player"]).select(*records.columns, "player_key")
 
 
 def include_counts(records: DataFrame, keys: list[str] | None = None) -> DataFrame:
