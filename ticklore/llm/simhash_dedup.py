@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, Poly, among, keyed, mix, small_batches, table, word_bounds, written
+from .common import LOWER_BYTES, Poly, among, columns, keyed, mix, small_batches, table, word_bounds, written
 from .graph import components
 from .spans import texts_of
 
@@ -269,12 +269,14 @@ def simhash_dedup(docs: DataFrame, words: int = 5, bits: int = 3, leaf_rows: int
     return each.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Least shingle hashes by which documents are brought together: of documents of a similarity of 0.8, all but 3 in a million share one of eight.
+#: Least shingle hashes by which documents are first brought together: of documents of a similarity of 0.8, all but 3 in a million share one of eight. The rest is found by rest_links().
 KEYS = 8
 #: Bits by which the fingerprints and the sign bits of such documents differ at most: five standard deviations above the mean of each.
 WIDE, SIGNS = 26, 19
 #: Rows of a group, and shingles of a row, that block_pairs() reckons with.
 GROUP_ROWS, ROW_SHINGLES = 4_096, 1_000
+#: Documents that tell which shingles are common, about, and how many of those are told; ranges of hashes whose parities a sketch holds; rows of a part of a key.
+COMMON_ROWS, COMMON, PARITIES, PART_ROWS = 8_192, 1 << 18, 512, 2_000
 _WORD, _RUN = Poly(83), Poly(97)
 
 
@@ -361,12 +363,86 @@ def block_pairs(met: DataFrame, shard_rows: int) -> DataFrame:
     return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "weight")
 
 
+def parities(h: np.ndarray) -> np.ndarray:
+    """A bit for each of PARITIES ranges of hashes: whether it holds an odd number of them. As longs. Sets differ by at least as many hashes as bits."""
+    return np.packbits((np.bincount((h % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
+
+
+def common_shingles(rows: DataFrame, words: int, n: int) -> np.ndarray:
+    """Shingles that several of about COMMON_ROWS rows hold, sorted. They come last in the order of prefixes: which they are changes the work, not the pairs."""
+
+    def run(batches):
+        for batch in batches:
+            for text in texts_of(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, words).view(np.int64))], names=["h"])
+
+    some = rows.filter(F.pmod(F.xxhash64("rid"), F.lit(1 << 31)) < int(min(1.0, COMMON_ROWS / max(1, n)) * (1 << 31))).select("rid", "text")
+    told = some.mapInArrow(run, "h long").groupBy("h").count().filter("count > 1").orderBy(F.desc("count"), "h").limit(COMMON).select("h")
+    return np.sort(columns(told)[0].view(np.uint64))
+
+
+def rest_links(rows: DataFrame, named: DataFrame, n: int, words: int, similarity: float) -> DataFrame:
+    """named: node, component. Links (u, v) of similar sets that lie in different components, all of them.
+
+    Sets that are similar share a shingle among the first (1 - similarity) n + 1 of each, in any order that is one for all. Pairs that do are
+    left out only where their sizes, or the parities of their hashes, say that they differ by too much; the others are decided on the whole sets.
+    """
+    common = rows.sparkSession.sparkContext.broadcast(common_shingles(rows, words, n))
+    longs = PARITIES // 64
+
+    def run(batches):
+        for batch in batches:
+            sizes, keys, bits = [], [], []
+            for text in texts_of(batch):
+                h = shingle_set(text, words)
+                at = np.minimum(np.searchsorted(common.value, h), max(0, len(common.value) - 1))
+                often = common.value[at] == h if len(common.value) else np.zeros(len(h), bool)
+                first = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1 if len(h) else 0
+                sizes.append(len(h))
+                keys.append(np.concatenate([h[~often], h[often]])[:first].view(np.int64))
+                bits.append(parities(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["node", "n", "keys", "bits"])
+
+    told = rows.select("rid", "text").mapInArrow(run, "node long, n int, keys array<long>, bits array<long>")
+    told = written(told.join(named, "node").select("node", "component", "n", "keys", *[F.get("bits", F.lit(i)).alias(f"b{i}") for i in range(longs)]), "prefixes")
+    keys = told.select("node", "component", F.explode("keys").alias("key"))
+    # A key whose rows are of one component has nothing more to tell.
+    shared = keys.groupBy("key").agg(F.count("*").alias("times"), F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b").select("key", F.ceil(F.col("times") / PART_ROWS).cast("int").alias("parts"))
+    met = written(keys.select("node", "key").join(shared, "key"), "shared").join(told.drop("keys"), "node")
+    # Each two parts of a key meet, so that none of its groups has more than about PART_ROWS rows a side.
+    dealt = met.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("meets", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    info = ["node", "component", "n", *[f"b{i}" for i in range(longs)]]
+    left = dealt.select("key", F.col("part").alias("i"), F.col("meets").alias("j"), *[F.col(c).alias(f"u_{c}") for c in info])
+    right = dealt.select("key", F.col("meets").alias("i"), F.col("part").alias("j"), *[F.col(c).alias(f"v_{c}") for c in info])
+    apart = sum((F.bit_count(F.col(f"u_b{i}").bitwiseXOR(F.col(f"v_b{i}"))) for i in range(longs)), F.lit(0))
+    least, most = F.least("u_n", "v_n"), F.greatest("u_n", "v_n")
+    may = (F.col("u_node") < F.col("v_node")) & (F.col("u_component") != F.col("v_component")) & (least >= most * similarity - 1e-9) & (apart <= (F.col("u_n") + F.col("v_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
+    pairs = written(left.join(right, ["key", "i", "j"]).filter(may).select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct(), "pairs")
+
+    def sets(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in texts_of(batch)], pa.binary())], names=["node", "shingles"])
+
+    def decide(batches):
+        for batch in batches:
+            a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)] for i in (2, 3))
+            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)]
+            alike = [c >= similarity * (len(x) + len(y) - c) - 1e-9 for c, x, y in zip(both, a, b)]
+            yield batch.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
+
+    asked = among(rows, pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))), "rid").select("rid", "text")
+    asked = written(asked.mapInArrow(sets, "node long, shingles binary"), "asked")
+    side = lambda c: asked.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(decide, "u long, v long")
+
+
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = GROUP_ROWS, unique: bool = False) -> DataFrame:
     """doc_id, component_id for each row: components of documents whose sets of word shingles are at least so similar.
 
     At that similarity fingerprints differ by 10 bits in the mean, where no ball is smaller than the space and no tree can prune.
-    So documents meet by their KEYS least shingle hashes; within a key, SimHash fingerprints and sign bits of the sets leave out
-    what is far off, and what stays is decided on the whole sets. Groups are of bounded size: a key of many rows is split, and all
+    So documents meet by their KEYS least shingle hashes first; within a key, SimHash fingerprints and sign bits of the sets leave out
+    what is far off, and what stays is decided on the whole sets. That joins nearly all that belongs together; what it may have missed,
+    rest_links() finds between the components: no pair is lost. Groups are of bounded size: a key of many rows is split, and all
     pairs of its parts meet. Equal sets are one node throughout. Documents without words are copies of each other; rows that share
     a doc_id are documents of their own; null doc_ids never name a component. unique: as in keyed().
     """
@@ -397,7 +473,12 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_r
 
     asked = among(rows, marks.select(F.col("node").alias("rid")), "rid").select("rid", "text").mapInArrow(sets, "node long, shingles binary")
     links = marks.join(asked, "node").groupBy("key", "i", "j").applyInPandas(lambda pdf: alike_links(pdf, similarity), "u long, v long")
-    named = nodes.select(*same, "node", "least").join(components(links).withColumnRenamed("component", "c"), "node", "left").select(*same, "least", F.coalesce("c", "node").alias("component"))
+    near = components(links)
+    first = written(nodes.select("node").join(near, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "first")
+    rest = written(rest_links(rows, first, each.count(), words, similarity), "rest")
+    if rest.limit(1).count():
+        near = components(near.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(rest))
+    named = nodes.select(*same, "node", "least").join(near.withColumnRenamed("component", "c"), "node", "left").select(*same, "least", F.coalesce("c", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     classes = written(named.join(least, "component").select(*same, "component_id"), "classes")
     return each.select("doc_id", *same).join(classes, same).select("doc_id", "component_id")
