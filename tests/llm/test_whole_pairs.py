@@ -72,3 +72,5 @@ def test_parities_are_a_bound():
         a, b = pool[: n + m // 2], pool[n // 2 :]
         apart = int(np.bitwise_count(s.parities(a) ^ s.parities(b)).sum())
         assert apart <= len(np.setxor1d(a, b))
+        for x, y in ((512, 512), (4096, 512), (1024, 8192)):
+            assert s.bits_apart(s.parities(a, x), s.parities(b, y)) == s.bits_apart(s.parities(a, min(x, y)), s.parities(b, min(x, y))) <= len(np.setxor1d(a, b))

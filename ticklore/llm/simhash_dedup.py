@@ -363,9 +363,17 @@ def block_pairs(met: DataFrame, shard_rows: int) -> DataFrame:
     return own.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).withColumn("member", F.col("own") == F.col("i")).drop("parts", "own", "other", "weight")
 
 
-def parities(h: np.ndarray) -> np.ndarray:
-    """A bit for each of PARITIES ranges of hashes: whether it holds an odd number of them. As longs. Sets differ by at least as many hashes as bits."""
-    return np.packbits((np.bincount((h % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1).astype(np.uint8)).view(np.int64)
+def parities(h: np.ndarray, ranges: int = PARITIES) -> np.ndarray:
+    """A bit for each of so many ranges of hashes: whether it holds an odd number of them. As bytes. Sets differ by at least as many hashes as bits."""
+    return np.packbits((np.bincount((h % np.uint64(ranges)).astype(np.int64), minlength=ranges) & 1).astype(np.uint8))
+
+
+def bits_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """By how many bits parities() differ, those of more ranges folded to those of fewer; the ranges are powers of two."""
+    while len(a) != len(b):
+        a, b = sorted((a, b), key=len)
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def common_shingles(rows: DataFrame, words: int, n: int) -> np.ndarray:
@@ -400,7 +408,7 @@ def rest_links(rows: DataFrame, named: DataFrame, n: int, words: int, similarity
                 first = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1 if len(h) else 0
                 sizes.append(len(h))
                 keys.append(np.concatenate([h[~often], h[often]])[:first].view(np.int64))
-                bits.append(parities(h))
+                bits.append(parities(h).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["node", "n", "keys", "bits"])
 
     told = rows.select("rid", "text").mapInArrow(run, "node long, n int, keys array<long>, bits array<long>")
@@ -419,21 +427,40 @@ def rest_links(rows: DataFrame, named: DataFrame, n: int, words: int, similarity
     may = (F.col("u_node") < F.col("v_node")) & (F.col("u_component") != F.col("v_component")) & (least >= most * similarity - 1e-9) & (apart <= (F.col("u_n") + F.col("v_n")) * ((1 - similarity) / (1 + similarity)) + 1e-6)
     pairs = written(left.join(right, ["key", "i", "j"]).filter(may).select(F.col("u_node").alias("u"), F.col("v_node").alias("v")).distinct(), "pairs")
 
-    def sets(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, words).tobytes() for t in texts_of(batch)], pa.binary())], names=["node", "shingles"])
+    def wide(h):
+        return parities(h, 1 << max(9, (2 * len(h)).bit_length()))
 
-    def decide(batches):
-        for batch in batches:
-            a, b = ([np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(i)] for i in (2, 3))
-            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)]
-            alike = [c >= similarity * (len(x) + len(y) - c) - 1e-9 for c, x, y in zip(both, a, b)]
-            yield batch.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
-
-    asked = among(rows, pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))), "rid").select("rid", "text")
-    asked = written(asked.mapInArrow(sets, "node long, shingles binary"), "asked")
-    side = lambda c: asked.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_set"))
-    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(decide, "u long, v long")
+    def told_by(tell):
+        def run(batches):
+            for batch in batches:
+                each = [shingle_set(t, words) for t in texts_of(batch)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(h) for h in each], pa.int32()), pa.array([tell(h).tobytes() for h in each], pa.binary())], names=["node", "n", "told"])
+
+        return run
+
+    def decided(pairs, tell, test, name):
+        """The pairs whose two sets, each told as tell() says, pass test(n, told of one, n, told of the other)."""
+        asked = among(rows, pairs.select(F.col("u").alias("rid")).unionByName(pairs.select(F.col("v").alias("rid"))), "rid").select("rid", "text")
+        asked = written(asked.mapInArrow(told_by(tell), "node long, n int, told binary"), name)
+        side = lambda c: asked.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("told").alias(f"{c}_told"))
+
+        def decide(batches):
+            for batch in batches:
+                one = [[(n.as_py(), x.as_buffer()) for n, x in zip(batch.column(i), batch.column(i + 1))] for i in (2, 4)]
+                yield batch.select(["u", "v"]).filter(pa.array([test(*x, *y) for x, y in zip(*one)], pa.bool_()))
+
+        return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_n", "u_told", "v_n", "v_told").mapInArrow(decide, "u long, v long")
+
+    def may_be(n, x, m, y):
+        return bits_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= (n + m) * (1 - similarity) / (1 + similarity) + 1e-6
+
+    def alike(n, x, m, y):
+        both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+        return both >= similarity * (n + m - both) - 1e-9
+
+    # Of long sets as many parities as they need: a thirtieth of the sets. Few pairs are left for the sets themselves.
+    close = written(decided(pairs, wide, may_be, "wide"), "close")
+    return decided(close, lambda h: h, alike, "asked")
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similarity: float = 0.8, shard_rows: int = GROUP_ROWS, unique: bool = False) -> DataFrame:
